@@ -1,9 +1,15 @@
 """The queries of the training-data operators, by name, and SQL for those that SQL can express."""
 
-from stakeflow.llm import byte_bpe, token_counts
+from stakeflow.llm import byte_bpe, chat_format, html_extract, language_id, quality_crf, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op2_html_extract": html_extract.op2_html_extract,
+    "op3_quality_crf": quality_crf.op3_quality_crf,
+    "op7_chat_format": chat_format.op7_chat_format,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
+    "op9_language_id": language_id.op9_language_id,
+}
+ORACLES: dict = {
+    "op7_chat_format": chat_format.OP7_SQL,
 }
-ORACLES: dict = {}
