@@ -60,3 +60,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
             where = tempfile.mkdtemp(prefix="spark-checkpoint-")
         sc.setCheckpointDir(where)
     return df.checkpoint(eager=True)
+
+
+#: Sides of joins are broadcast up to so many bytes.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` written down, and marked for broadcast if its rows, counted, are below ``most`` bytes; else to be shuffled."""
+    from pyspark.sql import functions as F
+
+    df = checkpointed(df)
+    return F.broadcast(df) if df.count() * row_bytes <= most else df
