@@ -1,4 +1,6 @@
 """The queries over the driver's tables, by name, and the SQL that each must agree with."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from stakeflow.plans import sequence_queries
+
+QUERIES: dict = dict(sequence_queries.QUERIES)
+ORACLES: dict = dict(sequence_queries.ORACLES)
