@@ -28,16 +28,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document of the smallest doc_id of each class of near duplicates."""
     found = near_dedup.near_duplicate_classes(docs)
     gone = small(found.where("doc_id <> class_id").select("doc_id").distinct(), 16)
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = small(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), 16)  # rows that are there twice
+    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand in earlier ones, their other words joined by spaces. Texts that repeat
     nothing stay as they are; documents of which nothing is left go."""
-    cut = substring_dedup.remove_repeats(docs).where("n_removed > 0").select("doc_id", "kept")
-    both = docs.join(cut, "doc_id", "left")
-    text = F.coalesce("kept", "text")
-    return both.where("kept is null or kept <> ''").withColumns({"text": text, "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.char_length("kept").cast("long"))}).select(docs.columns)
+    cut = substring_dedup.remove_repeats(docs).where("n_removed > 0").select("doc_id", F.col("kept").alias("__kept")).dropDuplicates(["doc_id"])
+    both = docs.join(cut, "doc_id", "left").where("__kept is null or __kept <> ''")
+    n_chars = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.char_length("__kept").cast("long"))
+    return both.withColumns({"text": F.coalesce("__kept", "text"), "n_chars": n_chars}).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
