@@ -1,6 +1,9 @@
 """The queries over the driver's tables, by name, and the SQL that each must agree with."""
 
-from stakeflow.plans import sequence_queries
+from stakeflow.plans import ranking_queries, sequence_queries
 
-QUERIES: dict = dict(sequence_queries.QUERIES)
-ORACLES: dict = dict(sequence_queries.ORACLES)
+QUERIES: dict = {}
+ORACLES: dict = {}
+for _module in (sequence_queries, ranking_queries):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
