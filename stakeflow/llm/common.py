@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,22 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def words_of(text: str | None) -> list[str]:
-    """The words of a text; none for null.
-
-    ``str.split`` splits at more characters than the six of WORD, so texts that hold others take the translated way.
-    """
-    if not text:
-        return []
-    if text.isascii():
-        # of ASCII, only \x1c-\x1f split besides the six
-        if not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return text.split()
-        return [w for w in text.translate(_BLANKS).split(" ") if w]
-    return [w for w in text.translate(_BLANKS).split(" ") if w]
-
-
-_BLANKS = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text in UTF-8; none for null. Bytes are split at the six characters of WORD only."""
+    return text.encode("utf-8", "replace").split() if text else []
 
 
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: pa.Schema, rows: int = 1000) -> DataFrame:
@@ -46,22 +34,32 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
     return df.mapInArrow(run, from_arrow_schema(schema))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there, so that its lineage ends.
-
-    The folder is the session's ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary folder is set.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary folder is set."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
             import tempfile
 
             where = tempfile.mkdtemp(prefix="spark-checkpoint-")
         sc.setCheckpointDir(where)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read from there, so that its lineage ends."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``checkpointed``, as a Parquet table, which is a fraction of a checkpoint's size."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Sides of joins are broadcast up to so many bytes.
 BROADCAST_BYTES = 32 << 20
 

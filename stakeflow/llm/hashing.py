@@ -18,7 +18,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of each word."""
     digest = xxhash.xxh3_128_digest
     both = np.frombuffer(b"".join([digest(w) for w in words]), "<u8").reshape(-1, 2)
@@ -54,6 +54,6 @@ class Runs:
         return mix((self.sums[n:] - self.sums[:m]) * self.inverse[:m] + np.uint64(n))
 
 
-def text_key(words: list[str]) -> bytes | None:
+def text_key(words: list[bytes]) -> bytes | None:
     """128 bits that stand for a sequence of words; None for no words."""
-    return xxhash.xxh3_128_digest(" ".join(words)) if words else None
+    return xxhash.xxh3_128_digest(b" ".join(words)) if words else None

@@ -19,14 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.llm.common import checkpointed, map_batches, small, table, words_of
+from stakeflow.llm.common import map_batches, small, table, words_of, written
 from stakeflow.llm.hashing import Runs, text_key, word_hashes
 
 WINDOW, ANCHOR = 13, 6
+#: Ranges of documents are broadcast up to so many bytes, else shuffled.
+BROADCAST_BYTES = 64 << 20
 
 
-def _paths(words: list[str], window: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, hash of the words, first window and number of windows of each path of a document."""
+def _paths(words: list[bytes], lengths: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Anchor hash, hash of the words, first window and number of windows of the paths of documents one after another;
+    first windows are counted over all words."""
     n = len(words) - window + 1
     hi, lo = word_hashes(words)
     h = Runs(hi).all_of(anchor)
@@ -39,11 +42,27 @@ def _paths(words: list[str], window: int, anchor: int) -> tuple[np.ndarray, ...]
     for k in range(width - 1, -1, -1):  # the leftmost of equal anchors is written last
         same = h[k : k + n] == least
         at[same] = places[same] + k
-    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    ends = np.append(starts[1:], n)
+    # windows that don't reach into the next document
+    firsts = lengths.cumsum() - lengths
+    inside = np.ones(len(words) + 1, bool)
+    for end in (firsts + lengths)[lengths > 0]:
+        inside[max(0, end - window + 1) : end] = False
+    inside = np.flatnonzero(inside[:n])
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), inside, inside
+    of = at[inside]
+    breaks = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    starts, counts = inside[breaks], np.diff(np.append(breaks, len(inside)))
     # an anchor's place within the path is part of what the path holds
-    held = Runs(lo).at(starts, ends - 1 + window) ^ (at[starts] - starts).astype(np.uint64)
-    return least[starts].view(np.int64), held.view(np.int64), starts, ends - starts
+    held = Runs(lo).at(starts, starts + counts - 1 + window) ^ (at[starts] - starts).astype(np.uint64)
+    return least[starts].view(np.int64), held.view(np.int64), starts, counts
+
+
+def _gathered(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """All words of some texts, how many each has, and where each begins."""
+    split = [words_of(t) for t in texts]
+    lengths = np.array([len(w) for w in split], np.int64)
+    return [w for one in split for w in one], lengths, lengths.cumsum() - lengths
 
 
 def paths(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -51,44 +70,42 @@ def paths(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
     schema = pa.schema([("anchor", pa.int64()), ("held", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        out = [[np.zeros(0, np.int64)] for _ in range(5)]
-        for doc, text in zip(cols["doc_id"], cols["text"]):
-            words = words_of(text)
-            if len(words) >= window:
-                least, held, pos, n = _paths(words, window, anchor)
-                for column, values in zip(out, (least, held, np.full(len(pos), doc, np.int64), pos, n)):
-                    column.append(values)
-        return {name: np.concatenate(x) for name, x in zip(schema.names, out)}
+        words, lengths, firsts = _gathered(cols["text"])
+        if len(words) < window:
+            return {name: [] for name in schema.names}
+        least, held, at, n = _paths(words, lengths, window, anchor)
+        of = np.searchsorted(firsts, at, side="right") - 1
+        return {"anchor": least, "held": held, "doc": np.array(cols["doc_id"], np.int64)[of], "pos": at - firsts[of], "n": n}
 
     return map_batches(docs.select("doc_id", "text"), run, schema, rows=200)
 
 
 def _windows(docs: DataFrame, ranges: DataFrame, window: int) -> DataFrame:
-    """h1, h2, doc, pos: the windows of ``docs`` within ``ranges`` (doc_id, ranges of first window and number)."""
+    """h1, h2, doc, pos: the windows of ``docs`` within ``ranges`` (doc_id, ranges)."""
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        out = [[np.zeros(0, np.int64)] for _ in range(4)]
-        for doc, text, some in zip(cols["doc_id"], cols["text"], cols["ranges"]):
-            at = np.unique(np.concatenate([np.arange(r["pos"], r["pos"] + r["n"]) for r in some]))
-            both = [Runs(h).at(at, at + window).view(np.int64) for h in word_hashes(words_of(text))]
-            for column, values in zip(out, (*both, np.full(len(at), doc, np.int64), at)):
-                column.append(values)
-        return {name: np.concatenate(x) for name, x in zip(schema.names, out)}
+        words, lengths, firsts = _gathered(cols["text"])
+        at = [np.unique(np.concatenate([np.arange(p, p + n) for p, n in _unpacked(r)])) for r in cols["ranges"]]
+        sizes = [len(x) for x in at]
+        pos = np.concatenate(at)
+        places = pos + np.repeat(firsts, sizes)
+        h1, h2 = (Runs(h).at(places, places + window).view(np.int64) for h in word_hashes(words))
+        return {"h1": h1, "h2": h2, "doc": np.repeat(np.array(cols["doc_id"], np.int64), sizes), "pos": pos}
 
     return map_batches(docs.select("doc_id", "text").join(ranges, "doc_id"), run, schema, rows=200)
 
 
-def _of_documents(ranges: DataFrame) -> DataFrame:
-    """The ranges (doc, pos, n) of each document, which are no more than its words."""
-    return ranges.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("pos", "n")).alias("ranges"))
+def _unpacked(ranges: list[int]) -> list[tuple[int, int]]:
+    return [(r >> 8, r & 255) for r in ranges]
 
 
-def _small_ranges(ranges: DataFrame) -> DataFrame:
-    """``_of_documents``, broadcast while the ranges are few."""
-    by_doc = checkpointed(_of_documents(ranges))
-    size = by_doc.agg(F.sum(F.size("ranges") * 16 + 48)).first()[0] or 0
-    return F.broadcast(by_doc) if size <= 32 << 20 else by_doc
+def _ranges(rows: DataFrame) -> DataFrame:
+    """The ranges (doc, pos, n) of each document, no more than its words, as numbers of which the low byte is n; marked
+    for broadcast while they are few, by their measured size."""
+    by_doc = written(rows.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.shiftleft(F.col("pos").cast("long"), 8) + F.col("n")).alias("ranges")))
+    size = by_doc.agg(F.sum(F.size("ranges") * 8 + 32)).first()[0] or 0
+    return F.broadcast(by_doc) if size <= BROADCAST_BYTES else by_doc
 
 
 def repeated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -98,11 +115,12 @@ def repeated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     """
     rows = paths(docs, window, anchor)
     shared = rows.groupBy("anchor").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.min("held").alias("held_lo"), F.max("held").alias("held_hi")).where("source < last")
-    hits = checkpointed(rows.drop("held").join(shared.select("anchor", "source", (F.col("held_lo") == F.col("held_hi")).alias("whole")), "anchor").where("not whole or doc > source"))
+    hits = rows.drop("held").join(shared.select("anchor", "source", (F.col("held_lo") == F.col("held_hi")).alias("whole")), "anchor").where("not whole or doc > source")
+    hits = written(hits.select("doc", "pos", "n", "whole"))
     compact = hits.where("whole").select("doc", "pos", "n")
-    single = _windows(docs, _small_ranges(hits.where("not whole").select("doc", "pos", "n")), window)
-    first = single.groupBy("h1", "h2").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).where("source < last").drop("last")
-    return compact.unionByName(single.join(first, ["h1", "h2"]).where("doc > source").select("doc", "pos", F.lit(1).alias("n")))
+    single = _windows(docs, _ranges(hits.where("not whole")), window)
+    first = single.groupBy("h1", "h2").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).where("source < last").select("h1", "h2", "source")
+    return compact.unionByName(single.join(small(first, 40), ["h1", "h2"]).where("doc > source").select("doc", "pos", F.lit(1).alias("n")))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -119,10 +137,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         got = [(d, text_key(w)) for d, t in zip(cols["doc_id"], cols["text"]) if len(w := words_of(t)) >= window]
         return {"doc_id": [d for d, _ in got], "key": [k for _, k in got]}
 
-    texts = checkpointed(map_batches(known, keys, keyed))
+    texts = written(map_batches(known, keys, keyed))
     several = texts.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     copies = small(texts.join(several, "key").where("doc_id <> first").select("doc_id").distinct(), 16)
-    ranges = _small_ranges(repeated(known.join(copies, "doc_id", "left_anti"), window, anchor))
+    ranges = _ranges(repeated(known.join(copies, "doc_id", "left_anti"), window, anchor))
     marked = docs.select("doc_id", "text").join(copies.withColumn("copy", F.lit(True)), "doc_id", "left").join(ranges, "doc_id", "left")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
@@ -135,11 +153,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                 words = []
             elif some:
                 change = np.zeros(len(words) + 1, np.int64)
-                np.add.at(change, [r["pos"] for r in some], 1)
-                np.add.at(change, [r["pos"] + r["n"] - 1 + window for r in some], -1)
+                for p, n_windows in _unpacked(some):
+                    change[p] += 1
+                    change[p + n_windows - 1 + window] -= 1
                 words = [words[i] for i in np.flatnonzero(change.cumsum()[:-1] == 0)]
             gone.append(n[-1] - len(words))
-            kept.append(" ".join(words))
+            kept.append(b" ".join(words).decode())
         return {"doc_id": cols["doc_id"], "n_words": n, "n_removed": gone, "kept": kept}
 
     return map_batches(marked.select("doc_id", "text", "copy", "ranges"), run, schema)
