@@ -7,9 +7,11 @@ gets about k (ln k + 5) hits whatever its size; where a coordinate stays empty,
 a coordinate with the probability of their weighted Jaccard similarity.
 
 Equal word sequences are one class, of which one text goes on. Classes that agree in a band of coordinates share a
-bucket. Instead of all pairs of a bucket, its members are compared exactly with one pivot; members that are joined
-need no more comparison. While more pairs of unjoined members than ``direct`` per member are left, other pivots are
-taken; then what is left is compared pair by pair, so that no link of a bucket is lost.
+bucket. First its members are compared exactly with one pivot each. What is then in one component needs no more
+comparison. In small buckets the other pairs are compared one by one. Documents that share large buckets are dealt to
+blocks, and each pair of blocks is a tile of its own task, which compares the pairs that share a band and aren't joined
+yet, and returns the links that join components only. So no link of a bucket is lost, and what is shuffled and returned
+stays in proportion to the documents and the tiles that they are in.
 """
 
 from __future__ import annotations
@@ -18,19 +20,20 @@ import math
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.llm.common import checkpointed, map_batches, small, table, words_of
+from stakeflow.llm.common import map_batches, small, table, words_of, written
 from stakeflow.llm.components import components
 from stakeflow.llm.hashing import Runs, mix, text_key, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Bands of so many coordinates: a pair at the threshold shares no band once in 300,000 times.
 BANDS, ROWS = 24, 4
-#: Rounds of pivots at most, and pairs for each member that are compared directly.
-ROUNDS, DIRECT = 6, 8
+#: Buckets of more members are compared in tiles, of blocks of so many documents.
+HOT, BLOCK = 64, 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -39,7 +42,7 @@ def _steps(n: int) -> np.uint64:
     return np.uint64(n * int(_STEP) & (1 << 64) - 1)
 
 
-def shingles(words: list[str], n: int = SHINGLE) -> np.ndarray:
+def shingles(words: list[bytes], n: int = SHINGLE) -> np.ndarray:
     """Hashes of all runs of n words, in order; fewer words are one run. None for no words."""
     return Runs(word_hashes(words)[0]).all_of(min(n, len(words))) if words else np.zeros(0, np.uint64)
 
@@ -152,49 +155,77 @@ def similar(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> Dat
     return map_batches(two.select("a", "b", "text_a", "text_b"), run, schema, rows=200)
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS, direct: int = DIRECT) -> DataFrame:
+def tiled(hot: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float, n: int, block: int) -> DataFrame:
+    """Links (a, b) that join components of ``hot`` (bucket, rep, component), among reps (rep, bands) with a common band."""
+    pivots = hot.groupBy("bucket").agg(F.min("rep").alias("pivot"))
+    edges = hot.join(pivots, "bucket").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    groups = components(edges)  # of documents that large buckets connect
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    of = hot.select("rep", F.col("component").alias("of")).distinct()
+    dealt = groups.join(sizes, "component").select(F.col("id").alias("rep"), F.col("component").alias("g"), "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("block"))
+    rows = written(dealt.join(of, "rep").join(reps, "rep").join(texts.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "rep"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
+    tiles = rows.withColumn("t", F.explode(pairs)).select("g", "t.i", "t.j", "block", "rep", "of", "bands", "text")
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        part = part.sort_values("rep")
+        bands = np.array(part["bands"].tolist(), np.int64)
+        reps, label = part["rep"].to_numpy(), part["of"].to_numpy().copy()
+        sets = [np.unique(shingles(words_of(t), n)) for t in part["text"]]
+        sizes = np.array([len(x) for x in sets])
+        left, right = (np.flatnonzero(part["block"].to_numpy() == k) for k in (i, j))
+        out = []
+        for x in left:
+            # sizes of sets that are similar enough are near each other
+            fits = (np.minimum(sizes[right], sizes[x]) >= threshold * np.maximum(sizes[right], sizes[x])) & (label[right] != label[x]) & (right != x)
+            near = right[fits]
+            near = near[(bands[near] == bands[x]).any(axis=1)]
+            if not len(near):
+                continue
+            others = np.concatenate([sets[y] for y in near])
+            at = np.minimum(np.searchsorted(sets[x], others), sizes[x] - 1)
+            common = np.add.reduceat(sets[x][at] == others, sizes[near].cumsum() - sizes[near], dtype=np.int64)
+            for y in near[common >= threshold * (sizes[near] + sizes[x] - common)]:
+                if label[x] != label[y]:
+                    out.append((min(reps[x], reps[y]), max(reps[x], reps[y])))
+                    label[label == label[y]] = label[x]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return tiles.groupBy("g", "i", "j").applyInPandas(run, "a long, b long")
+
+
+def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """doc_id and class_id of every row of ``docs`` (doc_id, text).
 
     A class holds what is reachable over pairs whose sets of n-word shingles have a Jaccard similarity of ``threshold``
     or more; its id is its smallest doc_id. Words are runs of anything but ASCII white space, unchanged; texts of fewer
     than n words are one shingle. Texts without words, null ones included, are each a class of their own. Repeated rows
-    come back as often, in one class. Shingles are compared by 64-bit hashes.
+    come back as often, in one class. Rows with a null doc_id are left out. Shingles are compared by 64-bit hashes.
     """
-    sig = checkpointed(signatures(docs.where("doc_id is not null"), n, bands, rows))
+    sig = written(signatures(docs.where("doc_id is not null"), n, bands, rows))
     first = sig.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
     banded = first.select("rep", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
-    members = checkpointed(banded.join(shared.select("bucket", "pivot"), "bucket").select("bucket", "rep", "pivot"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "bucket")).alias("pivot")).where("n > 1")
+    members = written(banded.join(shared, "bucket").select("bucket", "rep", "pivot", "n"))
     texts = docs.select("doc_id", "text").join(small(members.select(F.col("rep").alias("doc_id")).distinct(), 16), "doc_id", "left_semi")
 
-    tried = checkpointed(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    links = checkpointed(similar(tried, texts, threshold, n))
-    members = members.drop("pivot")
-    for turn in range(1, rounds + 1):
-        of = components(links)
-        members = members.select("bucket", "rep").join(of.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("rep", F.xxhash64("rep", "bucket", F.lit(turn))).alias("pivot")).where("lo < hi")
-        members = checkpointed(members.join(mixed.select("bucket", "pivot"), "bucket"))
-        held = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        most = held.groupBy("bucket").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max_by("component", F.struct("n", "component")).alias("most"))
-        left, count = most.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.sum("all")).first()
-        if not left:
-            return _classes(sig, of)
-        last = turn == rounds or left <= direct * count
-        if last:  # each member outside its bucket's largest component, with all members of other components
-            big = members.join(most.select("bucket", "most"), "bucket")
-            few = big.where("component <> most").select("bucket", F.col("rep").alias("x"), F.col("component").alias("cx"))
-            found = few.join(members.select("bucket", F.col("rep").alias("y"), F.col("component").alias("cy")), "bucket").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        else:
-            at = members.where("rep = pivot").select("bucket", F.col("component").alias("of_pivot"))
-            found = members.join(at, "bucket").where("component <> of_pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
-        found = checkpointed(found.distinct().join(tried, ["a", "b"], "left_anti"))
-        links = checkpointed(links.unionByName(similar(found, texts, threshold, n)))
-        tried = tried.unionByName(found)
-        members = members.drop("component", "pivot")
-        if last:
-            break
-    return _classes(sig, components(links))
+    tried = written(members.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
+    links = written(similar(tried, texts, threshold, n))
+    of = components(links)
+    members = members.join(of.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    members = written(members.join(mixed, "bucket", "left_semi"))
+    few = members.where(F.col("n") <= hot).select("bucket", "rep", "component")
+    found = few.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca")).join(few.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb")), "bucket").where("a < b and ca <> cb")
+    found = written(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    more = written(similar(found, texts, threshold, n))
+    large = members.where(F.col("n") > hot).drop("n")
+    if not large.isEmpty():
+        more = more.unionByName(written(tiled(large, first, texts, threshold, n, block)))
+    if not more.isEmpty():
+        of = components(links.unionByName(more))
+    return _classes(sig, of)
 
 
 def _classes(sig: DataFrame, of: DataFrame) -> DataFrame:

@@ -31,8 +31,8 @@ EDGE = [None, "", " \n", "a", "word " * 30_000, "word " * 30_000, "x" * 200_000]
 
 
 def test_words_split_at_ascii_white_space_only():
-    assert words_of("a\x1cb c\x85d \t e\n\x0b\x0cf\r") == ["a\x1cb c\x85d", "e", "f"]
-    assert words_of("a\x1cb") == ["a\x1cb"] and words_of(None) == []
+    assert [w.decode() for w in words_of("a\x1cb\u00a0c\x85d \t e\n\x0b\x0cf\r")] == ["a\x1cb\u00a0c\x85d", "e", "f"]
+    assert words_of(None) == words_of(" ") == []
 
 
 def test_prefix_counts_are_those_of_the_library_at_every_prefix():
@@ -169,20 +169,20 @@ def near_truth(rows):
     return {i: root(i) for i, _ in rows}
 
 
-@pytest.mark.parametrize("direct", [8, 0])
-def test_near_duplicates_are_brute_force_classes(spark, direct):
+@pytest.mark.parametrize("hot, block", [(64, 512), (2, 4)])
+def test_near_duplicates_are_brute_force_classes(spark, hot, block):
     r = random.Random(7)
     rows = []
     for g in range(12):
         base = [r.choice("abcdefgh") * r.randint(1, 3) + str(r.randint(0, 50)) for _ in range(r.choice([3, 40, 120]))]
         for k in range(r.choice([1, 3, 9])):
             w = list(base)
-            for _ in range(r.randint(0, len(w) // 30)):
+            for _ in range(r.randint(0, len(w) // 24)):
                 w[r.randrange(len(w))] = f"x{r.random()}"
             rows.append((len(rows) * 3 % 101 + 200 * g, "\n ".join(w)))
     rows += [(9001, None), (9002, ""), (9003, "  "), (9004, rows[0][1])]
     df = spark.createDataFrame([(*x, "k", [1]) for x in rows] + [(*rows[0], "k", [1])], "doc_id long, text string, key string, bands array<int>")
-    got = near_dedup.near_duplicate_classes(df, direct=direct).collect()
+    got = near_dedup.near_duplicate_classes(df, hot=hot, block=block).collect()
     assert len(got) == len(rows) + 1
     assert {x.doc_id: x.class_id for x in got} == near_truth(rows)
     assert near_dedup.near_duplicate_classes(df.limit(0)).count() == 0
@@ -214,7 +214,7 @@ def test_substrings_are_brute_force(spark):
     for i, t in rows:
         w = words_of(t)
         gone = {j for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < i for j in range(k, k + 13)}
-        assert (got[i].n_words, got[i].n_removed, got[i].kept) == (len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone))
+        assert (got[i].n_words, got[i].n_removed, got[i].kept) == (len(w), len(gone), b" ".join(x for j, x in enumerate(w) if j not in gone).decode())
     assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
