@@ -191,6 +191,7 @@ def drift(reference: DataFrame, current: DataFrame, columns: list[str], bins: in
     n = reduce(lambda d, s: d.join(s, ["feature_name", "bin"], "left"), (binned(reference, "r"), binned(current, "c")), grid).fillna(0)
     w = Window.partitionBy("feature_name")
     up = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    share = lambda c: F.col(c) / F.sum(c).over(w)
-    n = n.withColumns({"pr": F.greatest(share("r"), F.lit(1e-6)), "pc": F.greatest(share("c"), F.lit(1e-6)), "ks": F.abs(F.sum("r").over(up) / F.sum("r").over(w) - F.sum("c").over(up) / F.sum("c").over(w))})
+    share = lambda c: F.coalesce(F.col(c) / F.nullif(F.sum(c).over(w), F.lit(0)), F.lit(0.0))
+    upto = lambda c: F.coalesce(F.sum(c).over(up) / F.nullif(F.sum(c).over(w), F.lit(0)), F.lit(0.0))
+    n = n.withColumns({"pr": F.greatest(share("r"), F.lit(1e-6)), "pc": F.greatest(share("c"), F.lit(1e-6)), "ks": F.abs(upto("r") - upto("c"))})
     return n.groupBy("feature_name").agg(F.sum((F.col("pc") - F.col("pr")) * F.log(F.col("pc") / F.col("pr"))).alias("psi"), F.max("ks").alias("ks"))

@@ -31,5 +31,4 @@ def test_query(spark, duck, name):
     if name not in registry.ORACLES:
         assert got.num_rows > 0
         return
-    want = duck.execute(registry.ORACLES[name]).arrow()
-    assert rows(got) == rows(want.read_all() if hasattr(want, "read_all") else want)
+    assert rows(got) == rows(duck.sql(registry.ORACLES[name]).to_arrow_table())
