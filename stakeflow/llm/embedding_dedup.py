@@ -42,33 +42,44 @@ class Quantised:
         near = self.codes * self.scale[:, None]
         self.lost = np.sqrt(((self.unit - near) ** 2).sum(axis=1)) + SLACK
         self.length = np.sqrt((near * near).sum(axis=1)) + SLACK
+        self.singles = self.codes.astype(np.float32)
 
-    def products(self, rows: slice, other: Quantised, cols: slice) -> np.ndarray:
-        """Exact integer products of codes: sums below 2**24 are exact in single precision."""
-        out, dims = 0.0, self.codes.shape[1]
-        for at in range(0, dims, 1024):
-            part = slice(at, at + 1024)
-            got = self.codes[rows, part].astype(np.float32) @ other.codes[cols, part].astype(np.float32).T
-            out = got if dims <= 1024 else out + got.astype(np.float64)
+    def ordered(self, order: np.ndarray) -> Quantised:
+        out = object.__new__(Quantised)
+        out.__dict__.update({k: v[order] for k, v in self.__dict__.items()})
         return out
 
-    def links(self, rows: slice, other: Quantised, cols: slice, threshold: float) -> np.ndarray:
-        """Whether each pair's cosine is at the threshold or above."""
-        near = self.products(rows, other, cols) * self.scale[rows, None] * other.scale[None, cols]
-        off = self.length[rows, None] * other.lost[None, cols] + self.lost[rows, None] * (other.length + other.lost)[None, cols] + SLACK
+    def products(self, rows: slice, other: Quantised, cols: slice) -> np.ndarray:
+        """Exact integer products of codes: sums below 2**24 are exact in single precision."""
+        dims = self.codes.shape[1]
+        if dims <= 1024:
+            return self.singles[rows] @ other.singles[cols].T
+        return sum((self.singles[rows, at : at + 1024] @ other.singles[cols, at : at + 1024].T).astype(np.float64) for at in range(0, dims, 1024))
+
+    def links(self, rows: slice, other: Quantised, cols: slice, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns, from the slices' starts, of the pairs whose cosine is at the threshold or above."""
+        got = self.products(rows, other, cols)
+        s, t = self.scale[rows], other.scale[cols]
+        # one bound for each column that holds for all rows; vectors of like scale stand together, so that it is close
+        most = self.length[rows].max() * other.lost[cols] + self.lost[rows].max() * (other.length + other.lost)[cols] + SLACK
+        least = np.maximum(threshold - most, 0.0) / (s.max() * t) * (1 - 1e-6)
+        r, c = np.nonzero(got >= least.astype(got.dtype)[None, :])
+        near = got[r, c] * s[r] * t[c]
+        off = self.length[rows][r] * other.lost[cols][c] + self.lost[rows][r] * (other.length + other.lost)[cols][c] + SLACK
         linked = near - off >= threshold
-        r, c = np.nonzero((near + off >= threshold) & ~linked)
-        for at in range(0, len(r), 65_536):
-            i, j = r[at : at + 65_536], c[at : at + 65_536]
-            linked[i, j] = np.einsum("nd,nd->n", self.unit[rows][i], other.unit[cols][j]) >= threshold
-        return linked
+        unsure = np.flatnonzero((near + off >= threshold) & ~linked)
+        for at in range(0, len(unsure), 65_536):
+            k = unsure[at : at + 65_536]
+            linked[k] = np.einsum("nd,nd->n", self.unit[rows][r[k]], other.unit[cols][c[k]]) >= threshold
+        return r[linked], c[linked]
 
 
-def forest(linked: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join the ids of rows and columns as the links do, at most one an id where links are many."""
-    r, c = np.nonzero(linked)
+def forest(r: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the ids of rows and columns as the links (r, c) do, at most one an id where links are many."""
     if len(r) <= len(rows) + len(cols):
         return rows[r], cols[c]
+    linked = np.zeros((len(rows), len(cols)), bool)
+    linked[r, c] = True
     far = np.iinfo(np.int64).max
     of_row, of_col = rows.copy(), cols.copy()
     while True:
@@ -86,29 +97,30 @@ def _tile(threshold: float):
         _, left, right = key
         sides = []
         for block in dict.fromkeys((left, right)):
-            own = part[part["block"] == block].sort_values("id")
+            own = part[part["block"] == block]
             if not len(own):
                 break
-            sides.append((own["id"].to_numpy(np.int64), own["copies"].to_numpy(np.int64), Quantised(np.array(own["embedding"].tolist(), np.float64))))
+            q = Quantised(np.array(own["embedding"].tolist(), np.float64))
+            order = np.argsort(q.scale)
+            sides.append((own["id"].to_numpy(np.int64)[order], own["copies"].to_numpy(np.int64)[order], q.ordered(order)))
         out: list[pd.DataFrame] = []
         if len(sides) == (1 if left == right else 2):
             (ids, copies, a), (ids2, copies2, b) = sides[0], sides[-1]
-            n, n2 = np.zeros(len(ids), np.int64), np.zeros(len(ids2), np.int64)
+            n = np.zeros(len(ids), np.int64)
+            n2 = n if left == right else np.zeros(len(ids2), np.int64)
             for i in range(0, len(ids), SIDE):
                 for j in range(i if left == right else 0, len(ids2), SIDE):
                     rows, cols = slice(i, min(i + SIDE, len(ids))), slice(j, min(j + SIDE, len(ids2)))
-                    linked = a.links(rows, b, cols, threshold)
+                    r, c = a.links(rows, b, cols, threshold)
                     if left == right and i == j:
-                        linked = linked | linked.T
-                        np.fill_diagonal(linked, False)
-                    if not linked.any():
+                        r, c = r[r < c], c[r < c]
+                    if not len(r):
                         continue
-                    n[rows] += linked @ copies2[cols]
-                    if not (left == right and i == j):
-                        n2[cols] += copies[rows] @ linked
-                    x, y = forest(linked, ids[rows], ids2[cols])
+                    np.add.at(n, r + i, copies2[c + j])
+                    np.add.at(n2, c + j, copies[r + i])
+                    x, y = forest(r, c, ids[rows], ids2[cols])
                     out.append(pd.DataFrame({"id": x, "other": y, "n": 0}))
-            for of, k in ((ids, n), (ids2, n2)):
+            for of, k in ((ids, n),) if left == right else ((ids, n), (ids2, n2)):
                 out.append(pd.DataFrame({"id": of[k > 0], "other": of[k > 0], "n": k[k > 0]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"id": [], "other": [], "n": []}, dtype="int64")
 
