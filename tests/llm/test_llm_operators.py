@@ -47,8 +47,6 @@ def test_prefix_counts_are_those_of_the_library_at_every_prefix():
         assert [token_counts.count_at(steps, i) for i in range(len(s) + 1)] == want
         for budget in (0, 3, 10):
             assert token_counts.longest_prefix(steps, budget) == max(i for i, n in enumerate(want) if n <= budget)
-    for unit in ("▁there", "%%%Ⅷ"):
-        assert c._unit(unit) == c._many([unit])[0]
 
 
 def test_token_counts_of_edges(spark):
