@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -22,6 +24,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
+def released() -> None:
+    """Gives memory that Arrow and the allocator hold free back to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: pa.Schema, rows: int = 1000) -> DataFrame:
     """``mapInArrow`` over slices of at most ``rows`` rows: ``fn`` takes and returns columns as Python lists."""
 
@@ -30,7 +39,9 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
             for at in range(0, batch.num_rows, rows):
                 out = fn(batch.slice(at, rows).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+        released()
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # long texts: batches of a few MB
     return df.mapInArrow(run, from_arrow_schema(schema))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import xxhash
 
@@ -25,23 +23,26 @@ def word_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0].copy(), both[:, 1].copy()
 
 
-@lru_cache(maxsize=64)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, as many as 2**bits."""
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        p = np.full(1 << bits, base, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, n or more of each; one table of either is kept, and grows."""
+    if len(_powers[0]) < n:
+        size = 1 << max(12, (n - 1).bit_length())
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            p = np.full(size, base, np.uint64)
+            p[0] = 1
+            _powers[k] = np.multiply.accumulate(p)
+    return _powers[0], _powers[1]
 
 
 class Runs:
     """Hashes of any runs of a sequence of word hashes; equal runs have equal hashes wherever they stand."""
 
     def __init__(self, hashes: np.ndarray):
-        powers, self.inverse = _powers(max(10, len(hashes).bit_length()))
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers[: len(hashes)], dtype=np.uint64)))
+        up, self.inverse = powers(len(hashes) + 1)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)))
 
     def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
