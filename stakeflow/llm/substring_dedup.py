@@ -120,7 +120,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     compact = hits.where("whole").select("doc", "pos", "n")
     single = _windows(docs, _ranges(hits.where("not whole")), window)
     first = single.groupBy("h1", "h2").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).where("source < last").select("h1", "h2", "source")
-    return compact.unionByName(single.join(small(first, 40), ["h1", "h2"]).where("doc > source").select("doc", "pos", F.lit(1).alias("n")))
+    return compact.unionByName(single.join(small(first, 100), ["h1", "h2"]).where("doc > source").select("doc", "pos", F.lit(1).alias("n")))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
