@@ -131,6 +131,17 @@ def j15_profile_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.asof_join(rows.join(mapping, "player_id"), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us").select("row_id", "snapshot_us", "sessions_30d")
 
 
+@query(f"""WITH {PROFILE_SQL}, q AS (SELECT o_orderkey AS row_id, coalesce(canonical_id, CAST(o_custkey AS VARCHAR)) AS canonical_id, epoch_us(o_orderdate) AS t FROM orders LEFT JOIN mapping ON mapping.player_id = o_custkey)
+SELECT row_id, p.snapshot_us, p.sessions_30d FROM q ASOF LEFT JOIN prof p ON q.canonical_id = p.canonical_id AND q.t >= p.snapshot_us""")
+def j15_profile_asof_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every order; nulls for players without a card or a snapshot yet."""
+    from stakeflow.plans.adapters import micros, read
+
+    mapping = identity.canonical_mapping(sessions(spark, sf_dir), CUTOFF)
+    rows = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("player_id"), micros("o_orderdate").alias("t"))
+    return asof.asof_join(identity.with_fallback(rows, mapping), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us").select("row_id", "snapshot_us", "sessions_30d")
+
+
 @query(f"""WITH {PROFILE_SQL} SELECT canonical_id, count(DISTINCT session_date) FILTER (session_us > {CUTOFF - 30 * DAY}) AS active_days_30d, round(coalesce(sum(theo_win) FILTER (session_us > {CUTOFF - 30 * DAY}), 0.0), 4) AS theo_win_sum_30d,
 round(coalesce(sum(turnover) FILTER (session_us > {CUTOFF - 30 * DAY}), 0.0), 4) AS turnover_sum_30d, CAST(floor(({CUTOFF} - min(session_us)) / {DAY}) AS BIGINT) AS days_since_first_session FROM base WHERE session_us <= {CUTOFF} GROUP BY canonical_id""")
 def a31_frozen_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
