@@ -86,3 +86,11 @@ def day_list(spark: SparkSession, start: str, end: str) -> DataFrame:
 
 def missing_snapshots(wanted: DataFrame, present: DataFrame) -> DataFrame:
     return wanted.join(present.select("day").distinct(), "day", "left_anti")
+
+
+def missing_snapshots_by_id(present: DataFrame, key: str = "canonical_id") -> DataFrame:
+    """The days from the first to the last of ``present`` (key, day) that each id lacks; rows without an id say nothing."""
+    pairs = present.select(key, "day").where(F.col(key).isNotNull()).distinct()
+    ends = present.agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
+    wanted = pairs.select(key).distinct().crossJoin(F.broadcast(ends)).select(key, F.explode(F.sequence("_lo", "_hi")).alias("day"))
+    return wanted.join(pairs, [key, "day"], "left_anti")

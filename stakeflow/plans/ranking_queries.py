@@ -149,3 +149,9 @@ def o13_missing_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = scored(spark, sf_dir)
     ends = df.agg(F.min("gaming_day").alias("lo"), F.max("gaming_day").alias("hi"))
     return splits.missing_snapshots(ends.select(F.explode(F.sequence("lo", "hi")).alias("day")), df.where("canonical_id = '7'").select(F.col("gaming_day").alias("day")))
+
+
+@query(f"""WITH {SCORED}, d AS (SELECT CAST(unnest(generate_series(min(gaming_day), max(gaming_day), INTERVAL 1 DAY)) AS DATE) AS day FROM scored)
+SELECT canonical_id, day FROM (SELECT DISTINCT canonical_id FROM scored WHERE canonical_id IS NOT NULL) CROSS JOIN d EXCEPT SELECT canonical_id, gaming_day FROM scored""")
+def o13_missing_snapshots_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.missing_snapshots_by_id(scored(spark, sf_dir).select("canonical_id", F.col("gaming_day").alias("day")))

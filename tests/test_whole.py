@@ -1,5 +1,8 @@
 """Registered queries do the whole job: every row, id and day of the tables."""
 
+from datetime import date, timedelta
+
+from stakeflow.operators import splits
 from stakeflow.plans import registry
 from tests.conftest import SF
 
@@ -8,3 +11,18 @@ def test_profile_asof_looks_up_every_order(spark):
     orders = [r.o_orderkey for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").collect()]
     got = [r.row_id for r in registry.QUERIES["j15_profile_asof_all"](spark, SF).select("row_id").collect()]
     assert sorted(got) == sorted(orders)
+
+
+def test_missing_days_of_every_id(spark):
+    day = lambda n: date(2026, 1, n)
+    rows = [("a", day(1)), ("a", day(3)), ("a", day(3)), ("b", day(2)), (None, day(4)), ("c", None)]
+    got = [(r.canonical_id, r.day.day) for r in splits.missing_snapshots_by_id(spark.createDataFrame(rows, "canonical_id string, day date")).collect()]
+    assert sorted(got) == [("a", 2), ("a", 4), ("b", 1), ("b", 3), ("b", 4), *[("c", n) for n in (1, 2, 3, 4)]]
+
+
+def test_missing_snapshots_query_covers_all_users(spark):
+    have = {(str(r.user_id), r.ts.date()) for r in spark.read.parquet(f"{SF}/events.parquet").select("user_id", "ts").collect()}
+    lo, hi = min(d for _, d in have), max(d for _, d in have)
+    want = {(i, lo + timedelta(n)) for i, _ in have for n in range((hi - lo).days + 1)} - have
+    got = [(r.canonical_id, r.day) for r in registry.QUERIES["o13_missing_snapshots_all"](spark, SF).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len({i for i, _ in want}) > 1
