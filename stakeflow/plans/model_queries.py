@@ -122,19 +122,19 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id AS bet_id FROM events")
 def t3_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read(spark, sf_dir, "events")  # sets the zone
-    return streams.drain(streams.dedup_stream(_stream(spark, sf_dir)), "t3_dedup_stream").select("bet_id")
+    return streams.stored(streams.dedup_stream(_stream(spark, sf_dir)).select("bet_id"))
 
 
 @query("SELECT user_id * 1000 + day(ts) AS session_id, count(*) AS bets, round(sum(value), 6) + 0 AS wager, epoch_us(min(ts)) AS first_us FROM events GROUP BY 1, CAST(ts AS DATE)")
 def t4_session_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read(spark, sf_dir, "events")
     df = _stream(spark, sf_dir).withColumn("session_id", F.col("player_id") * 1000 + F.dayofmonth("ts"))
-    out = streams.drain(streams.session_totals_stream(df), "t4_session_totals_stream", "complete")
+    out = streams.stored(streams.session_totals_stream(df), "complete")
     return out.select("session_id", "bets", (F.round("wager", 6) + 0).alias("wager"), micros("first_ts").alias("first_us"))
 
 
 @query(f"WITH {BETS}, s AS (SELECT *, CASE WHEN lag(us) OVER w IS NULL OR us - lag(us) OVER w >= {720 * MINUTE} THEN 1 ELSE 0 END AS new FROM bets WINDOW w AS (PARTITION BY player_id ORDER BY us, bet_id)), q AS (SELECT *, sum(new) OVER (PARTITION BY player_id ORDER BY us, bet_id ROWS UNBOUNDED PRECEDING) AS r FROM s) SELECT player_id, count(*) AS bet_count, min(us) AS run_start_us, max(us) AS run_end_us FROM q GROUP BY player_id, r")
 def t5_runs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read(spark, sf_dir, "events")
-    out = streams.drain(streams.runs_stream(_stream(spark, sf_dir), "719 minutes 59.999999 seconds"), "t5_runs_stream", "complete")
+    out = streams.stored(streams.runs_stream(_stream(spark, sf_dir), "719 minutes 59.999999 seconds"), "complete")
     return out.select("player_id", "bet_count", micros("run_start").alias("run_start_us"), micros("run_end").alias("run_end_us"))

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed to the folder in ``spark.checkpoint.dir``; where that is unset, as in tests, to a temporary one."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's folder in ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary one is set."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
             import tempfile
 
             where = tempfile.mkdtemp(prefix="spark-checkpoint-")
         sc.setCheckpointDir(where)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -5,6 +5,7 @@ Batch functions are shared: what a stream scores in ``foreachBatch`` is what a b
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stakeflow.operators import serving
+from stakeflow.sources.materialise import shared_folder
 from stakeflow.sources.tables import upsert
 
 #: A pause of 30 minutes splits a run; a session window of 30 minutes would join events that far apart.
@@ -101,7 +103,22 @@ def corrections(before: DataFrame, after: DataFrame, key: str, columns: list[str
 
 
 def drain(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that a stream gives over the files that are there, as a table in memory: for tests and small results."""
+    """All that a stream gives over the files that are there, as a table in the driver's memory: for tests only."""
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.table(name)
+
+
+def stored(df: DataFrame, mode: str = "append") -> DataFrame:
+    """All that a stream gives over the files that are there, as Parquet in the shared folder, with its checkpoint beside
+    it: no row goes through the driver. A complete result takes the place of the batch's before it."""
+    at = f"{shared_folder(df.sparkSession)}/stream-{uuid.uuid4().hex}"
+    out = f"{at}/rows"
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True)
+    if mode == "append":
+        q = w.format("parquet").start(out)
+    else:
+        df.sparkSession.createDataFrame([], df.schema).write.parquet(out)  # where no batch comes
+        q = w.foreachBatch(lambda new, _: new.write.mode("overwrite").parquet(out)).start()
+    q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(out)

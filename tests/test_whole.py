@@ -2,8 +2,13 @@
 
 from datetime import date, timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
 from stakeflow.operators import splits
 from stakeflow.plans import registry
+from stakeflow.sources.materialise import shared_folder
+from stakeflow.streaming import queries as streams
 from tests.conftest import SF
 
 
@@ -26,3 +31,26 @@ def test_missing_snapshots_query_covers_all_users(spark):
     want = {(i, lo + timedelta(n)) for i, _ in have for n in range((hi - lo).days + 1)} - have
     got = [(r.canonical_id, r.day) for r in registry.QUERIES["o13_missing_snapshots_all"](spark, SF).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len({i for i, _ in want}) > 1
+
+
+@pytest.mark.parametrize("name", ["t3_dedup_stream", "t4_session_totals_stream", "t5_runs_stream"])
+def test_streams_stay_out_of_the_driver(spark, name):
+    got = registry.QUERIES[name](spark, SF)
+    files = got.inputFiles()
+    where = shared_folder(spark).removeprefix("file:")
+    assert files and all(f.removeprefix("file://").startswith(where) for f in files)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_stored_streams_of_several_batches_and_of_none(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2), (1, 3), (2, 5)], "k long, v long")
+    for v in (2, 3, 5):
+        df.where(F.col("v") == v).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = lambda: streams.stream_table(spark, f"{tmp_path}/in", df.schema, files_per_batch=1)
+    total = lambda d: d.groupBy("k").agg(F.sum("v").alias("v"))
+    rows = lambda d: sorted((r.k, r.v) for r in d.collect())
+    assert rows(streams.stored(stream())) == [(1, 2), (1, 3), (2, 5)]
+    assert rows(streams.stored(total(stream()), "complete")) == [(1, 5), (2, 5)]
+    (tmp_path / "none").mkdir()
+    none = lambda: streams.stream_table(spark, f"{tmp_path}/none", df.schema)
+    assert rows(streams.stored(none())) == [] and rows(streams.stored(total(none()), "complete")) == []
