@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stakeflow.operators.sequence import in_order, so_far, tie_key, up_to_row
+from stakeflow.operators.sequence import in_order, so_far, tie_key
 
 MINUTE = 60_000_000
 
@@ -88,7 +88,7 @@ def add_features(bets: DataFrame, features: Iterable[Feature], key: str = "canon
     steps = validate_features(features, bets.columns)
     df = bets.where(F.col(key).isNotNull() & F.col("us").isNotNull())
     df = df if cutoff_us is None else df.where(F.col("us") <= cutoff_us)
-    df = df.withColumn(*tie_key(key))
+    df, up_to_row = tie_key(df, key)
     done: set[str] = set(df.columns)
     while steps:
         now = [f for f in steps if all(d in done for d in f.depends_on)]
@@ -98,7 +98,7 @@ def add_features(bets: DataFrame, features: Iterable[Feature], key: str = "canon
             if f.kind == "lag":
                 e = F.lag(e, f.rows or 1).over(in_order(key))
             elif f.kind == "window" and f.minutes is not None:
-                e = e.over(up_to_row(key, int(f.minutes * unit)))
+                e = e.over(up_to_row(int(f.minutes * unit)))
             elif f.kind == "window" and f.rows is not None:
                 e = e.over(in_order(key).rowsBetween(-f.rows, 0))
             elif f.kind == "window":
@@ -175,8 +175,9 @@ def game_timeline(games: DataFrame, unit: float = MINUTE) -> DataFrame:
     changed = (~F.coalesce(real, F.lit(False))) | F.coalesce(F.lag("outcome").over(o) != F.col("outcome"), F.lit(True))
     df = games.withColumn("_group", F.sum(changed.cast("int")).over(o.rowsBetween(Window.unboundedPreceding, 0)))
     here = F.when(real, F.count("*").over(Window.partitionBy("table_id", "_group").orderBy("us", "game_id").rowsBetween(Window.unboundedPreceding, 0))).otherwise(0)
-    df = df.withColumns({"_streak": here, "_turnover": F.lag("total_turnover").over(o), "_win": F.lag("casino_win").over(o)}).withColumn("_tie_us", F.col("us") * 1024 + F.least(F.row_number().over(Window.partitionBy("table_id", "us").orderBy("game_id")), F.lit(1023)))
-    span = lambda m: Window.partitionBy("table_id").orderBy("_tie_us").rangeBetween(-int(m * unit * 1024) + 1024, 0)
+    df = df.withColumns({"_streak": here, "_turnover": F.lag("total_turnover").over(o), "_win": F.lag("casino_win").over(o)})
+    df, up_to_row = tie_key(df, "table_id", "game_id")
+    span = lambda m: up_to_row(int(m * unit) - 1)
     last20 = o.rowsBetween(-20, -1)
     share = lambda s: F.coalesce(F.avg((F.col("outcome") == s).cast("double")).over(last20), F.lit(0.0))
     players = F.coalesce(F.lag("num_players").over(o), F.lit(0))

@@ -6,7 +6,9 @@ the key, and frames that Spark evaluates as it streams over a partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 MINUTE = 60_000_000
@@ -134,22 +136,34 @@ def session_running(bets: DataFrame) -> DataFrame:
     return df.withColumns({"session_average": F.col("session_wager") / F.col("session_bets"), "bets_per_minute": F.when(F.col("session_minutes") > 0, F.col("session_bets") / F.col("session_minutes")).otherwise(0.0)})
 
 
-def tie_key(key: str, name: str = "_tie_us") -> tuple[str, Column]:
-    """A time that tells ties apart, for RANGE frames that stop at the row: 1024 steps a microsecond-tick."""
-    tie = F.row_number().over(Window.partitionBy(key, "us").orderBy("bet_id"))
-    return name, F.col("us") * 1024 + F.least(tie, F.lit(1023))
+def tie_key(df: DataFrame, key: str, order: str = "bet_id", name: str = "_tie_us") -> tuple[DataFrame, Callable[[int], WindowSpec]]:
+    """Adds a time that tells ties apart, and gives the RANGE frame on it from ``width`` before a row, inclusive, up to the
+    row itself.
+
+    A microsecond has twice as many steps as there are rows of a key at one time, at most (counted here). A frame that
+    reaches back by the width and that many steps takes all rows at its first microsecond and none before it. Where
+    longs don't hold the steps, decimals do.
+    """
+    most, lo, hi = df.groupBy(key, "us").agg(F.count("*").alias("n")).where("us is not null").agg(F.max("n"), F.min("us"), F.max("us")).first()
+    most, lo, reach = (most, lo, hi - lo + 1) if most else (1, 0, 1)
+    step, us = 2 * most, F.col("us")
+    at = (us - lo) * step if (reach + 1) * step < 2**62 else (us.cast("decimal(20,0)") - F.lit(lo)) * F.lit(step).cast("decimal(17,0)")
+    tie = F.row_number().over(Window.partitionBy(key, "us").orderBy(order))
 
+    def up_to_row(width: int) -> WindowSpec:
+        back = min(width, reach) * step + most
+        if back >= 2**63:
+            raise ValueError(f"{most} rows at one time are too many for a window of {width}")
+        return Window.partitionBy(key).orderBy(name).rangeBetween(-back, 0)
 
-def up_to_row(key: str, width: int, name: str = "_tie_us"):
-    """The frame from ``width`` before the row, inclusive, up to the row itself, on a tie_key."""
-    return Window.partitionBy(key).orderBy(name).rangeBetween(-(width * 1024 + 1023), 0)
+    return df.withColumn(name, at + tie), up_to_row
 
 
 def session_windows(bets: DataFrame, counts=(5, 15, 30), wagers=(10, 30), unit: int = MINUTE) -> DataFrame:
     """Adds bets_last_k and wager_last_k within the session, for each k minutes."""
-    df = bets.where("session_id is not null and us is not null").withColumn(*tie_key("session_id"))
-    more = {f"bets_last_{k}": F.count("*").over(up_to_row("session_id", k * unit)) for k in counts}
-    more |= {f"wager_last_{k}": F.sum("wager").over(up_to_row("session_id", k * unit)) for k in wagers}
+    df, up_to_row = tie_key(bets.where("session_id is not null and us is not null"), "session_id")
+    more = {f"bets_last_{k}": F.count("*").over(up_to_row(k * unit)) for k in counts}
+    more |= {f"wager_last_{k}": F.sum("wager").over(up_to_row(k * unit)) for k in wagers}
     return df.withColumns(more).drop("_tie_us")
 
 

@@ -5,7 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from stakeflow.operators import splits
+from stakeflow.operators import features, sequence, splits
 from stakeflow.plans import registry
 from stakeflow.sources.materialise import shared_folder
 from stakeflow.streaming import queries as streams
@@ -54,3 +54,27 @@ def test_stored_streams_of_several_batches_and_of_none(spark, tmp_path):
     (tmp_path / "none").mkdir()
     none = lambda: streams.stream_table(spark, f"{tmp_path}/none", df.schema)
     assert rows(streams.stored(none())) == [] and rows(streams.stored(total(none()), "complete")) == []
+
+
+@pytest.mark.parametrize("far", [0, 4 * 10**15])
+def test_frames_stop_at_the_row_among_many_ties(spark, far):
+    """Also where longs don't hold the steps, by a row ``far`` ahead; and none a microsecond outside the window."""
+    width = 5 * features.MINUTE
+    times = [(0, 3), (1, 1), (width, 2), (width + 1, 1300), *([(far, 1)] if far else [])]
+    us = [t for t, n in times for _ in range(n)]
+    df = spark.createDataFrame([(1, i, t, 1.0) for i, t in enumerate(us)], "session_id long, bet_id long, us long, wager double")
+    declared = [features.Feature("n", "count(bet_id)", "window", 5), features.Feature("first", "min(bet_id)", "window", 5)]
+    got = {r.bet_id: r for r in sequence.session_windows(features.add_features(df, declared, key="session_id"), (5,), (5,)).collect()}
+    assert len(got) == len(us)
+    for i, t in enumerate(us):
+        first = next(k for k, x in enumerate(us) if x >= t - width)
+        assert (got[i].n, got[i].first, got[i].bets_last_5, got[i].wager_last_5) == (i - first + 1, first, i - first + 1, i - first + 1.0)
+
+
+def test_game_timeline_stops_at_the_round_among_many_ties(spark):
+    n, late = 1100, 5 * features.MINUTE
+    rows = [(1, i, 0, "TIE", 1, 1.0, 1.0) for i in range(n)] + [(1, n, 1, "TIE", 1, 1.0, 1.0), (1, n + 1, late, "TIE", 1, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "table_id long, game_id long, us long, outcome string, num_players int, total_turnover double, casino_win double")
+    got = {r.game_id: r for r in features.game_timeline(df).collect()}
+    assert [got[i].table_net_outcome_w15m for i in range(n + 2)] == [float(i) for i in range(n + 2)]
+    assert got[n + 1].table_turnover_w5m_over_w15m == 2 / (n + 1)
