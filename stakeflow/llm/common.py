@@ -8,11 +8,14 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 #: Words of a text: runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of the rows that Python takes in at once; one row may be longer.
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,26 +34,39 @@ def released() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def slices(batch: pa.RecordBatch, rows: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and about ``most`` bytes."""
+    step = max(1, min(rows, batch.num_rows * most // max(1, batch.nbytes)))
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        if part.num_rows > 1 and part.nbytes > 2 * most:  # long rows that stand together
+            yield from slices(part, part.num_rows // 2, most)
+        else:
+            yield part
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: pa.Schema, rows: int = 1000) -> DataFrame:
-    """``mapInArrow`` over slices of at most ``rows`` rows: ``fn`` takes and returns columns as Python lists."""
+    """``mapInArrow`` over slices bounded in rows and bytes: ``fn`` takes and returns columns as Python lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                out = fn(batch.slice(at, rows).to_pydict())
+            for part in slices(batch, rows):
+                out = fn(part.to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
         released()
 
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # long texts: batches of a few MB
     return df.mapInArrow(run, from_arrow_schema(schema))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary folder is set."""
+    """The session's ``spark.checkpoint.dir``. Where that is unset, a single machine, as in tests, gets a temporary folder;
+    on a cluster that is an error, as executors and driver share no such folder."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             import tempfile
 
             where = tempfile.mkdtemp(prefix="spark-checkpoint-")
@@ -71,13 +87,62 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        spark, folder = t.sparkSession, shared_folder(t.sparkSession)
+        files = t.inputFiles()
+        if files:
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            if path.getName().startswith("table-") and spark._jvm.org.apache.hadoop.fs.Path(folder).getName() == path.getParent().getName():
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Sides of joins are broadcast up to so many bytes.
 BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` written down, and marked for broadcast if its rows, counted, are below ``most`` bytes; else to be shuffled."""
-    from pyspark.sql import functions as F
-
-    df = checkpointed(df)
+    df = written(df)
     return F.broadcast(df) if df.count() * row_bytes <= most else df
+
+
+#: Rows from which frequent keys are found, and how many of them make a key frequent.
+SAMPLE_ROWS, HOT_ROWS = 1_000_000, 500
+
+
+def frequent(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that about one in two thousand rows of a table have, or more: at most 2,000, from a hashed part of it.
+
+    Which keys are found changes only how a plan deals its rows, not its result.
+    """
+    n = rows.count()
+    part = rows if n <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n, seed=1)
+    return part.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") >= HOT_ROWS).drop("__n")
+
+
+def with_group(rows: DataFrame, keys: list[str], measures: dict[str, Column], keep: Column) -> DataFrame:
+    """Adds aggregates of each row's key to the rows of a table, and keeps those that ``keep`` holds for.
+
+    Rows of frequent keys stay where they are: their keys' aggregates are summed up in parts and broadcast, of at most
+    2,000 keys. The others are dealt by key once, and aggregated there by a window.
+    """
+    hot = written(frequent(rows, keys))
+    here = Window.partitionBy(*keys)
+    if hot.isEmpty():
+        return rows.withColumns({k: c.over(here) for k, c in measures.items()}).where(keep)
+    few = rows.join(F.broadcast(hot), keys, "left_anti").withColumns({k: c.over(here) for k, c in measures.items()}).where(keep)
+    many = rows.join(F.broadcast(hot), keys, "left_semi")
+    sums = written(many.groupBy(*keys).agg(*[c.alias(k) for k, c in measures.items()]))
+    return few.unionByName(many.join(F.broadcast(sums), keys).where(keep))
+
+
+def with_side(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows``, a table, joined to ``side``, which has a row a key at most: the sides of frequent keys, at most 2,000, are
+    broadcast, so that no task gets all rows of such a key."""
+    hot = written(frequent(rows, keys))
+    if hot.isEmpty():
+        return rows.join(side, keys, how)
+    many = rows.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(side.join(F.broadcast(hot), keys, "left_semi")), keys, how)
+    return rows.join(F.broadcast(hot), keys, "left_anti").join(side, keys, how).unionByName(many)

@@ -198,7 +198,9 @@ def test_components(spark):
     assert got == of
 
 
-def test_substrings_are_brute_force(spark):
+@pytest.mark.parametrize("bits", [64, 4])
+def test_substrings_are_brute_force(spark, bits):
+    """Also where almost all nodes collide."""
     r = random.Random(11)
     rows = [(i, " ".join(r.choice("ab") for _ in range(r.choice([0, 5, 13, 14, 20, 60])))) for i in range(80)]
     rows += [(100 + i, t) for i, t in rows if r.random() < 0.3] + [(500, None), (501, ""), (502, "w " * 5000)]
@@ -207,7 +209,7 @@ def test_substrings_are_brute_force(spark):
         for k in range(len(t) - 12):
             first.setdefault(tuple(t[k : k + 13]), i)
     df = spark.createDataFrame([(*x, "k", "y") for x in rows], "doc_id long, text string, key string, kept string")
-    got = {x.doc_id: x for x in substring_dedup.remove_repeats(df).collect()}
+    got = {x.doc_id: x for x in substring_dedup.remove_repeats(df, bits=bits).collect()}
     assert len(got) == len(rows)
     for i, t in rows:
         w = words_of(t)
