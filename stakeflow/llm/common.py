@@ -112,37 +112,41 @@ def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFra
 SAMPLE_ROWS, HOT_ROWS = 1_000_000, 500
 
 
-def frequent(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that about one in two thousand rows of a table have, or more: at most 2,000, from a hashed part of it.
+def frequent(rows: DataFrame, keys: list[str]) -> Column:
+    """Whether a row has one of the keys that about one in two thousand rows of a table has, or more.
 
+    They are found in a part of the rows, and there are at most 2,000 of them, whose hashes are all that the driver gets.
     Which keys are found changes only how a plan deals its rows, not its result.
     """
     n = rows.count()
     part = rows if n <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n, seed=1)
-    return part.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") >= HOT_ROWS).drop("__n")
+    found = part.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS).select("h").collect()
+    return F.xxhash64(*keys).isin([r.h for r in found])
 
 
 def with_group(rows: DataFrame, keys: list[str], measures: dict[str, Column], keep: Column) -> DataFrame:
-    """Adds aggregates of each row's key to the rows of a table, and keeps those that ``keep`` holds for.
+    """Adds aggregates of each row's key to the rows of a table, and keeps those that ``keep`` holds for. Keys aren't null.
 
-    Rows of frequent keys stay where they are: their keys' aggregates are summed up in parts and broadcast, of at most
-    2,000 keys. The others are dealt by key once, and aggregated there by a window.
+    Rows are dealt by key once, and aggregated there by a window. Those of frequent keys are dealt further by a hash of
+    the row; their keys' aggregates are summed up in parts before, and broadcast, for at most 2,000 keys.
     """
-    hot = written(frequent(rows, keys))
-    here = Window.partitionBy(*keys)
-    if hot.isEmpty():
+    hot = frequent(rows, keys)
+    sums = written(rows.where(hot).groupBy(*keys).agg(*[c.alias(f"__{k}") for k, c in measures.items()]))
+    if sums.isEmpty():
+        here = Window.partitionBy(*keys)
         return rows.withColumns({k: c.over(here) for k, c in measures.items()}).where(keep)
-    few = rows.join(F.broadcast(hot), keys, "left_anti").withColumns({k: c.over(here) for k, c in measures.items()}).where(keep)
-    many = rows.join(F.broadcast(hot), keys, "left_semi")
-    sums = written(many.groupBy(*keys).agg(*[c.alias(k) for k, c in measures.items()]))
-    return few.unionByName(many.join(F.broadcast(sums), keys).where(keep))
+    spread = F.when(hot, F.pmod(F.xxhash64(*rows.columns), F.lit(4096))).otherwise(0)
+    marked = rows.join(F.broadcast(sums), keys, "left").withColumn("__spread", spread)
+    here = Window.partitionBy(*keys, "__spread")
+    out = marked.withColumns({k: F.coalesce(F.col(f"__{k}"), c.over(here)) for k, c in measures.items()})
+    return out.where(keep).select(*rows.columns, *measures)
 
 
 def with_side(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows``, a table, joined to ``side``, which has a row a key at most: the sides of frequent keys, at most 2,000, are
     broadcast, so that no task gets all rows of such a key."""
-    hot = written(frequent(rows, keys))
-    if hot.isEmpty():
+    hot = frequent(rows, keys)
+    many = rows.where(hot)
+    if many.isEmpty():
         return rows.join(side, keys, how)
-    many = rows.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(side.join(F.broadcast(hot), keys, "left_semi")), keys, how)
-    return rows.join(F.broadcast(hot), keys, "left_anti").join(side, keys, how).unionByName(many)
+    return rows.where(~hot).join(side, keys, how).unionByName(many.join(F.broadcast(side.where(hot)), keys, how))

@@ -1,6 +1,6 @@
 """Operator 4: near duplicates by DartMinHash signatures and banded joining.
 
-Darts are thrown at the plane of weights and ranks of each element, a Poisson number into each unit cell, where and
+A text's elements are its shingles, each weighted by how often the text has it. Darts are thrown at the plane of weights and ranks of each element, a Poisson number into each unit cell, where and
 for which coordinate of the signature the element's hash decides. Those under the element's weight and below a rank
 limit hit; each coordinate keeps the hit of the lowest rank. The limit falls with the total weight, so that a document
 gets about k (ln k + 5) hits whatever its size; where a coordinate stays empty, it is doubled. Two documents agree in
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.llm.common import map_batches, small, table, words_of, written
+from stakeflow.llm.common import map_batches, removed, small, table, with_group, with_side, words_of, written
 from stakeflow.llm.components import components
 from stakeflow.llm.hashing import Runs, mix, text_key, word_hashes
 
@@ -47,14 +47,18 @@ def shingles(words: list[bytes], n: int = SHINGLE) -> np.ndarray:
     return Runs(word_hashes(words)[0]).all_of(min(n, len(words))) if words else np.zeros(0, np.uint64)
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of sorted distinct hashes."""
-    if not len(a) or not len(b):
+def weighted(text: str | None, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of a text and how often each occurs: its elements and their weights."""
+    return np.unique(shingles(words_of(text), n), return_counts=True)
+
+
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard: the sum of lesser weights by that of greater ones."""
+    if not len(a[0]) or not len(b[0]):
         return 0.0
-    both = np.concatenate((a, b))
-    both.sort()
-    common = int((both[1:] == both[:-1]).sum())
-    return common / (len(both) - common)
+    at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    common = int(np.minimum(a[1][at], b[1])[a[0][at] == b[0]].sum())
+    return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
 @lru_cache(maxsize=8)
@@ -68,38 +72,44 @@ def _poisson(limit: int = 24) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def dart_signature(elements: np.ndarray, weights: np.ndarray | None = None, k: int = BANDS * ROWS) -> np.ndarray:
-    """k coordinates for distinct hashed elements of positive weights, 1 if not given."""
-    w = np.ones(len(elements)) if weights is None else weights.astype(np.float64)
+def dart_signature(elements: np.ndarray, weights: np.ndarray, k: int = BANDS * ROWS) -> np.ndarray:
+    """k coordinates for distinct hashed elements of positive weights.
+
+    Each unit cell of an element's region, and of ranks, has its darts; all cells of a document are looked at together.
+    """
+    w = weights.astype(np.float64)
     limit = k * (math.log(k) + 5) / w.sum()
     above = _poisson()
-    slots = [(a, np.flatnonzero(w > a)) for a in range(math.ceil(w.max()))]
+    units = np.ceil(w).astype(np.int64)
+    of = np.repeat(np.arange(len(w)), units)
+    unit = np.arange(len(of)) - np.repeat(units.cumsum() - units, units)
+    base, low, high = mix(elements[of] + unit.astype(np.uint64) * _STEP), unit.astype(np.float64), w[of]
     while True:
         ids, ranks, coords = [], [], []
-        for a, which in slots:
-            ranks_at = np.arange(math.ceil(limit), dtype=np.uint64)
-            cell = mix(mix(elements[which] + _steps(a))[:, None] ^ mix(ranks_at * _STEP + np.uint64(1))[None, :]).ravel()
-            rank_at, of = np.tile(ranks_at.astype(np.float64), len(which)), np.repeat(w[which], len(ranks_at))
-            for m, least in enumerate(above):
-                more = cell >= least
-                if not more.any():
-                    break
-                cell, rank_at, of = cell[more], rank_at[more], of[more]
-                dart = mix(cell + _steps(m + 1))
-                second = mix(dart ^ _STEP)
-                rank = rank_at + (dart >> np.uint64(11)) * 2.0**-53
-                hit = (rank < limit) & (a + (second >> np.uint64(32)) * 2.0**-32 < of)
-                ids.append(dart[hit])
-                ranks.append(rank[hit])
-                coords.append((second[hit] & np.uint64(0xFFFFFFFF)) % np.uint64(k))
-        ids, ranks, coords = (np.concatenate(x) for x in (ids, ranks, coords))
-        order = np.lexsort((ids, ranks))[::-1]
-        out, full = np.zeros(k, np.uint64), np.zeros(k, bool)
-        coords = coords.astype(np.int64)
-        out[coords[order]] = ids[order]  # the lowest rank is written last
-        full[coords] = True
-        if full.all():
-            return out
+        ranks_at = np.arange(math.ceil(limit), dtype=np.uint64)
+        cell = mix(base[:, None] ^ mix(ranks_at * _STEP + np.uint64(1))[None, :]).ravel()
+        rank_at, at = np.tile(ranks_at.astype(np.float64), len(base)), np.repeat(np.arange(len(base)), len(ranks_at))
+        for m, least in enumerate(above):
+            more = cell >= least
+            if not more.any():
+                break
+            cell, rank_at, at = cell[more], rank_at[more], at[more]
+            dart = mix(cell + _steps(m + 1))
+            second = mix(dart ^ _STEP)
+            rank = rank_at + (dart >> np.uint64(11)) * 2.0**-53
+            hit = (rank < limit) & (low[at] + (second >> np.uint64(32)) * 2.0**-32 < high[at])
+            ids.append(dart[hit])
+            ranks.append(rank[hit])
+            coords.append((second[hit] & np.uint64(0xFFFFFFFF)) % np.uint64(k))
+        if ids:
+            ids, ranks, coords = (np.concatenate(x) for x in (ids, ranks, coords))
+            order = np.lexsort((ids, ranks))[::-1]
+            out, full = np.zeros(k, np.uint64), np.zeros(k, bool)
+            coords = coords.astype(np.int64)
+            out[coords[order]] = ids[order]  # the lowest rank is written last
+            full[coords] = True
+            if full.all():
+                return out
         limit *= 2
 
 
@@ -111,7 +121,7 @@ def band_hashes(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return h.view(np.int64)
 
 
-def signatures(docs: DataFrame, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, multiset: bool = False) -> DataFrame:
+def signatures(docs: DataFrame, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, key (of the word sequence) and the bands of every row of ``docs``; both null for texts without words."""
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
@@ -120,22 +130,18 @@ def signatures(docs: DataFrame, n: int = SHINGLE, bands: int = BANDS, rows: int
         for text in cols["text"]:
             words = words_of(text)
             keys.append(text_key(words))
-            if words:
-                elements, counts = np.unique(shingles(words, n), return_counts=True)
-                out.append(band_hashes(dart_signature(elements, counts if multiset else None, bands * rows), rows).tolist())
-            else:
-                out.append(None)
+            out.append(band_hashes(dart_signature(*weighted(text, n), bands * rows), rows).tolist() if words else None)
         return {"doc_id": cols["doc_id"], "key": keys, "bands": out}
 
     return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def similar(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
-    """Of ``pairs`` (a, b) those whose texts' shingle sets are similar enough."""
+    """Of ``pairs`` (a, b) those whose texts' weighted shingles are similar enough."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        known: dict[int, np.ndarray] = {}
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         a, b = [], []
         for x, y, s, t in zip(cols["a"], cols["b"], cols["text_a"], cols["text_b"]):
             sets = []
@@ -143,26 +149,24 @@ def similar(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> Dat
                 if key not in known:
                     if len(known) >= 64:
                         known.pop(next(iter(known)))
-                    known[key] = np.unique(shingles(words_of(text), n))
+                    known[key] = weighted(text, n)
                 sets.append(known[key])
-            if jaccard(*sets) >= threshold:
+            if similarity(*sets) >= threshold:
                 a.append(x)
                 b.append(y)
         return {"a": a, "b": b}
 
     one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return map_batches(two.select("a", "b", "text_a", "text_b"), run, schema, rows=200)
+    return map_batches(two.select("a", "b", "text_a", "text_b"), run, schema)
 
 
 def tiled(hot: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float, n: int, block: int) -> DataFrame:
-    """Links (a, b) that join components of ``hot`` (bucket, rep, component), among reps (rep, bands) with a common band."""
-    pivots = hot.groupBy("bucket").agg(F.min("rep").alias("pivot"))
-    edges = hot.join(pivots, "bucket").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    groups = components(edges)  # of documents that large buckets connect
+    """Links (a, b) that join components of ``hot`` (bucket, rep, pivot, component), among reps (rep, bands) with a common band."""
+    groups = components(hot.select(F.col("rep").alias("a"), F.col("pivot").alias("b")))  # of documents that large buckets connect
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     of = hot.select("rep", F.col("component").alias("of")).distinct()
-    dealt = groups.join(sizes, "component").select(F.col("id").alias("rep"), F.col("component").alias("g"), "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("block"))
+    dealt = with_side(written(groups), sizes, ["component"]).select(F.col("id").alias("rep"), F.col("component").alias("g"), "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("block"))
     rows = written(dealt.join(of, "rep").join(reps, "rep").join(texts.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "rep"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     tiles = rows.withColumn("t", F.explode(pairs)).select("g", "t.i", "t.j", "block", "rep", "of", "bands", "text")
@@ -172,21 +176,24 @@ def tiled(hot: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float, n
         part = part.sort_values("rep")
         bands = np.array(part["bands"].tolist(), np.int64)
         reps, label = part["rep"].to_numpy(), part["of"].to_numpy().copy()
-        sets = [np.unique(shingles(words_of(t), n)) for t in part["text"]]
-        sizes = np.array([len(x) for x in sets])
+        sets = [weighted(t, n) for t in part["text"]]
+        sizes = np.array([c.sum() for _, c in sets])
         left, right = (np.flatnonzero(part["block"].to_numpy() == k) for k in (i, j))
         out = []
         for x in left:
-            # sizes of sets that are similar enough are near each other
+            # sums of weights that are similar enough are near each other
             fits = (np.minimum(sizes[right], sizes[x]) >= threshold * np.maximum(sizes[right], sizes[x])) & (label[right] != label[x]) & (right != x)
             near = right[fits]
             near = near[(bands[near] == bands[x]).any(axis=1)]
             if not len(near):
                 continue
-            others = np.concatenate([sets[y] for y in near])
-            at = np.minimum(np.searchsorted(sets[x], others), sizes[x] - 1)
-            common = np.add.reduceat(sets[x][at] == others, sizes[near].cumsum() - sizes[near], dtype=np.int64)
-            for y in near[common >= threshold * (sizes[near] + sizes[x] - common)]:
+            mine, weight = sets[x]
+            others, weights = (np.concatenate([sets[y][k] for y in near]) for k in (0, 1))
+            at = np.minimum(np.searchsorted(mine, others), len(mine) - 1)
+            shared = np.where(mine[at] == others, np.minimum(weight[at], weights), 0)
+            lengths = np.array([len(sets[y][0]) for y in near])
+            common = np.add.reduceat(shared, lengths.cumsum() - lengths, dtype=np.int64)
+            for y in near[common / (sizes[near] + sizes[x] - common) >= threshold]:
                 if label[x] != label[y]:
                     out.append((min(reps[x], reps[y]), max(reps[x], reps[y])))
                     label[label == label[y]] = label[x]
@@ -198,56 +205,59 @@ def tiled(hot: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float, n
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """doc_id and class_id of every row of ``docs`` (doc_id, text).
 
-    A class holds what is reachable over pairs whose sets of n-word shingles have a Jaccard similarity of ``threshold``
-    or more; its id is its smallest doc_id. Words are runs of anything but ASCII white space, unchanged; texts of fewer
-    than n words are one shingle. Texts without words, null ones included, are each a class of their own. Repeated rows
-    come back as often, in one class. Rows with a null doc_id are left out. Shingles are compared by 64-bit hashes.
+    A class holds what is reachable over pairs whose n-word shingles, weighted by how often a text has them, have a
+    weighted Jaccard similarity of ``threshold`` or more; its id is its smallest doc_id. Words are runs of anything but
+    ASCII white space, unchanged; texts of fewer than n words are one shingle. Texts without words, null ones included,
+    are each a class of their own; so are rows with a null doc_id, whose class_id is null. Repeated rows come back as
+    often, in one class. An empty table gives no rows; other columns are not read. Shingles are compared by 64-bit hashes.
     """
     sig = written(signatures(docs.where("doc_id is not null"), n, bands, rows))
-    first = sig.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
-    banded = first.select("rep", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "bucket")).alias("pivot")).where("n > 1")
-    members = written(banded.join(shared, "bucket").select("bucket", "rep", "pivot", "n"))
+    words = sig.where("key is not null")
+    first = words.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
+    banded = written(first.select("rep", F.explode("bands").alias("bucket")))
+    pivot = F.min(F.struct(F.xxhash64("rep", "bucket").alias("h"), "rep"))
+    members = with_group(banded, ["bucket"], {"n": F.count("*"), "p": pivot}, F.col("n") > 1)
+    members = written(members.select("bucket", "rep", F.col("p.rep").alias("pivot"), "n"))
+    removed(banded)
     texts = docs.select("doc_id", "text").join(small(members.select(F.col("rep").alias("doc_id")).distinct(), 16), "doc_id", "left_semi")
 
     tried = written(members.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
     links = written(similar(tried, texts, threshold, n))
     of = components(links)
-    members = members.join(of.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    members = written(members.join(mixed, "bucket", "left_semi"))
-    few = members.where(F.col("n") <= hot).select("bucket", "rep", "component")
+    joined = written(members.join(of.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "pivot", "n", F.coalesce("component", "rep").alias("component")))
+    removed(members)
+    mixed = written(with_group(joined, ["bucket"], {"lo": F.min("component"), "hi": F.max("component")}, F.col("lo") < F.col("hi")).drop("lo", "hi"))
+    removed(joined)
+    few = mixed.where(F.col("n") <= hot).select("bucket", "rep", "component")
     found = few.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca")).join(few.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb")), "bucket").where("a < b and ca <> cb")
     found = written(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     more = written(similar(found, texts, threshold, n))
-    large = members.where(F.col("n") > hot).drop("n")
+    large = mixed.where(F.col("n") > hot).drop("n")
     if not large.isEmpty():
         more = more.unionByName(written(tiled(large, first, texts, threshold, n, block)))
     if not more.isEmpty():
         of = components(links.unionByName(more))
-    return _classes(sig, of)
-
-
-def _classes(sig: DataFrame, of: DataFrame) -> DataFrame:
-    first = sig.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    joined = sig.select("doc_id", "key").join(first, "key", "left").join(of.withColumnRenamed("id", "rep"), "rep", "left")
-    return joined.select("doc_id", F.coalesce("component", "rep", "doc_id").alias("class_id"))
+    copies = written(with_group(written(words.select("doc_id", "key")), ["key"], {"rep": F.min("doc_id")}, F.lit(True)).select("doc_id", "rep"))
+    known = with_side(copies, of.withColumnRenamed("id", "rep"), ["rep"], "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
+    alone = sig.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    lost = docs.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    return known.unionByName(alone).unionByName(lost)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicate_classes(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 OP4_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), s AS (
-  SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END, ' ') AS shingle
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM w WHERE len(w) > 0)
-), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  SELECT doc_id, array_to_string(CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END, ' ') AS shingle, count(*) AS weight
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM w WHERE len(w) > 0) GROUP BY 1, 2
+), n AS (SELECT doc_id, sum(weight) AS n FROM s GROUP BY doc_id),
 links AS MATERIALIZED (
-  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.weight, y.weight)) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
   JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE c::DOUBLE / (x.n + y.n - c) >= 0.8
 ), reach AS (
   SELECT doc_id AS id, doc_id AS other FROM documents

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -150,7 +151,7 @@ def near_truth(rows):
     sets = {}
     for i, t in rows:
         w = words_of(t)
-        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else None
+        sets[i] = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else None
     of = {i: i for i, _ in rows}
 
     def root(i):
@@ -161,7 +162,7 @@ def near_truth(rows):
     ids = [i for i in sets if sets[i]]
     for x in ids:
         for y in ids:
-            if x < y and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]):
+            if x < y and (sets[x] & sets[y]).total() >= 0.8 * (sets[x] | sets[y]).total():
                 a, b = sorted((root(x), root(y)))
                 of[b] = a
     return {i: root(i) for i, _ in rows}
@@ -179,6 +180,8 @@ def test_near_duplicates_are_brute_force_classes(spark, hot, block):
                 w[r.randrange(len(w))] = f"x{r.random()}"
             rows.append((len(rows) * 3 % 101 + 200 * g, "\n ".join(w)))
     rows += [(9001, None), (9002, ""), (9003, "  "), (9004, rows[0][1])]
+    # equal sets of shingles of different weights are not similar
+    rows += [(9010 + k, "one line that comes again and again " * k) for k in (2, 9, 10)]
     df = spark.createDataFrame([(*x, "k", [1]) for x in rows] + [(*rows[0], "k", [1])], "doc_id long, text string, key string, bands array<int>")
     got = near_dedup.near_duplicate_classes(df, hot=hot, block=block).collect()
     assert len(got) == len(rows) + 1
