@@ -3,9 +3,10 @@
 A text is halved until its parts are short; short parts are encoded on their own, and neighbours are joined on the way
 up. Between a character that isn't white space and one that is, every scan of the pattern ends a match, whatever
 stands before, and what follows depends on nothing before it. So the tokens left of the last such place in the left
-part and right of the first such place in the right part stand; the window between is encoded anew. It grows from the
-seam outwards until it has such a place on either side. Joining is associative, with the empty text as its unit.
-Decoding concatenates the bytes of halves in the same way.
+part and right of the first such place in the right part stand, and the window between is encoded anew. It is doubled
+around the seam until it has such a place on either side. Joining is associative, with the empty text as its unit.
+Decoding concatenates the bytes of halves in the same way. That holds for patterns of which no match has white space
+after another character.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stakeflow.llm.common import map_batches, table
 
 #: Characters and tokens of the parts that are encoded and decoded at once.
-LEAF = 16_384
+LEAF = 256
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
@@ -41,18 +42,22 @@ class TreeCodec:
         if hi - lo <= self.leaf:
             return self.coder.encode_ordinary(text[lo:hi])
         mid = (lo + hi) // 2
-        return self._join(text, lo, mid, hi, self._encode(text, lo, mid), self._encode(text, mid, hi))
-
-    def _join(self, text: str, lo: int, mid: int, hi: int, left: list[int], right: list[int]) -> list[int]:
-        """The tokens of text[lo:hi] from those of its parts before and after mid."""
+        start, end = _window(text, lo, mid, hi)
+        if start == lo and end == hi:  # nothing in it stands whatever is beside it
+            return self.coder.encode_ordinary(text[lo:hi])
+        if end - start > 4 * self.leaf:  # halves that meet where tokens stand need no window
+            start = end = mid = start if start > lo else end
+        left, right = self._encode(text, lo, mid), self._encode(text, mid, hi)
+        return self._join(text, (start, mid, end), left, right)
+
+    def _join(self, text: str, window: tuple[int, int, int], left: list[int], right: list[int]) -> list[int]:
+        """The tokens of two neighbours from their own: those of the window around the seam are encoded anew."""
+        start, mid, end = window
+        if start == end:
+            return left + right
         code = self.coder.encode_ordinary
-        start, end = mid, mid
-        while start > lo and not (start < mid and _ends(text, start)):
-            start -= 1
-        while end < hi and not (end > mid and _ends(text, end)):
-            end += 1
         drop, skip = len(code(text[start:mid])), len(code(text[mid:end]))
-        return [*left[: len(left) - drop], *code(text[start:end]), *right[skip:]]
+        return left[: len(left) - drop] + code(text[start:end]) + right[skip:]
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= self.leaf:
@@ -61,6 +66,21 @@ class TreeCodec:
         return self.decode(ids[:mid]) + self.decode(ids[mid:])
 
 
+def _window(text: str, lo: int, mid: int, hi: int) -> tuple[int, int]:
+    """The window around a seam outside which tokens stand: it is doubled until it has such a place on either side, or
+    reaches the ends."""
+    start, end, reach = None, None, 8
+    while start is None or end is None:
+        if start is None:
+            at = max(lo, mid - reach)
+            start = next((i for i in range(mid - 1, at, -1) if _ends(text, i)), lo if at == lo else None)
+        if end is None:
+            at = min(hi, mid + reach)
+            end = next((i for i in range(mid + 1, at) if _ends(text, i)), hi if at == hi else None)
+        reach *= 2
+    return start, end
+
+
 def _ends(text: str, at: int) -> bool:
     """Whether every scan has a match that ends at ``at``."""
     return text[at].isspace() and text[at] not in _UNSURE and not (text[at - 1].isspace() or text[at - 1] in _UNSURE)

@@ -109,7 +109,8 @@ def read_loss(formatted: Column, spans: Column) -> Column:
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = f"{END}{START}assistant ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.unionByName(spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string"))
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    turns = turns.unionByName(more)
     chats = format_conversations(turns.withColumn("parts", text_parts(F.col("text"))))
     back = chats.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

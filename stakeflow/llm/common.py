@@ -150,3 +150,25 @@ def with_side(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inn
     if many.isEmpty():
         return rows.join(side, keys, how)
     return rows.where(~hot).join(side, keys, how).unionByName(many.join(F.broadcast(side.where(hot)), keys, how))
+
+
+#: Texts of more characters teach nothing, so that a sample of rows is bounded in bytes too.
+FIT_CHARS = 100_000
+
+
+def sampled_ids(rows: DataFrame, group: str, k: int, key: str = "doc_id") -> dict[int, list]:
+    """For each group, of which there are few, at most ``k`` keys of the smallest hashes, and how many rows it has, first.
+
+    Groups are counted, and only rows below a hash that about one and a half times ``k`` of them are below come to the
+    driver, which ranks them. Null groups and keys aren't taken.
+    """
+    rows = rows.where(F.col(group).isNotNull() & F.col(key).isNotNull()).select(F.col(group).alias("g"), F.col(key).alias("k"))
+    sizes = {r.g: r.n for r in rows.groupBy("g").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return {}
+    u = F.pmod(F.xxhash64("k"), F.lit(1 << 40))
+    below = F.coalesce(*[F.when(F.col("g") == g, F.lit(min(1 << 40, ((3 * k) // 2 + 200) * (1 << 40) // n))) for g, n in sizes.items()])
+    found: dict = {g: [] for g in sizes}
+    for r in rows.where(u < below).select("g", "k", u.alias("u")).distinct().collect():
+        found[r.g].append((r.u, r.k))
+    return {g: [sizes[g], *[x for _, x in sorted(rs)[:k]]] for g, rs in found.items()}

@@ -1,24 +1,29 @@
 """Operator 2: main text of pages by the consensus of each host's pages.
 
-Each page's containers are scored by the text of their blocks, less that of links; the best one votes, with its share
-of the page's text, for its path of tags and classes, digits generalised. Spark adds up the votes of each host. Then
-every page is extracted again from the elements at its host's winning path, or from its own best container where the
-page has none there.
+Every page scores its containers, and votes: for the tag-class path of its best one, and on each of its paths, with the
+text and the heading that stand there. Paths are generalised: classes without digits, and hashed, so that
+deep nesting costs nothing. Spark adds up the votes of each host. What a host's pages say of a path decides:
 
-Most hosts agree with the path that wins over all hosts, so only the others' winners are joined to the pages; they are
-broadcast while their size, which is measured, is below a bound, and shuffled beyond it.
+* the path that most of them hold their text at is extracted, and where a page has none, its own best container;
+* a path at which pages of different headings show the same text is boilerplate;
+* an element whose class, id or role is a boilerplate word is dropped, unless the host's headings stand there.
+
+Then every page is extracted again by its host's paths. Hosts' paths are broadcast while their size, which is measured,
+is below a bound, and shuffled beyond it.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.llm.common import checkpointed, map_batches, table
+from stakeflow.llm.common import map_batches, table, with_side, written
 
 # Kinds of HTML elements.
 CONTAINERS = frozenset("article main section div body td center".split())
@@ -27,31 +32,46 @@ DROPPED = frozenset("head script style noscript template nav footer aside form b
 RAW = frozenset("script style textarea title noscript iframe".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in a class, an id or a role that mark what isn't the article.
+#: An element of a group closes the last open one of it, unless one of the fence is open within that.
+GROUPS = (({"li"}, {"ul", "ol"}), ({"td", "th"}, {"tr", "table"}), ({"tr"}, {"table"}), ({"dt", "dd"}, {"dl"}))
+#: Whole classes, ids and roles that mark what isn't the article, where the host's pages have no heading there.
 BOILERPLATE = frozenset(
-    "ad ads advert advertisement adverts adsense sponsor sponsored promo promoted banner cookie cookies consent gdpr notice notices alert popup modal overlay sidebar side rail menu menubar nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments reply replies disqus share sharing social follow related recommended newsletter subscribe subscription signup login search widget toolbar pagination pager skip complementary contentinfo".split()
+    "ad ads advert advertisement adverts adsense sponsor sponsored promo promoted banner cookie cookies consent gdpr notice notices alert popup modal overlay sidebar rail menu menubar nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments reply replies disqus share sharing social follow related recommended newsletter subscribe subscription signup login search widget toolbar pagination pager complementary contentinfo".split()
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<", re.S)
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-PART = re.compile(r"[^\W_]+")
+CLOSING = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
+
+#: Hosts' paths of at most so many bytes are broadcast.
+BROADCAST_BYTES = 16 << 20
+#: A path needs pages of so many headings, and this share of the host's, for its text to count.
+HEADINGS, SHARE = 3, 0.01
+#: Shares of the page's text that its best container holds: an article, and any other.
+ARTICLE_HOLDS, HOLDS = 0.5, 0.9
 
-#: Winners of at most so many bytes are broadcast.
-BROADCAST_BYTES = 32 << 20
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
 
 
 class Page:
-    """The blocks of a page outside boilerplate: (text, characters in links, path of each container it stands in)."""
+    """The elements of a page and its blocks of text, in order; an element comes after the one that it stands in."""
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, int, tuple[tuple[int, str], ...]]] = []
+        self.parent: list[int] = [-1]
+        self.path: list[int] = [0]
+        self.tag: list[str] = [""]
+        self.hinted: list[bool] = [False]
+        self.dropped: list[bool] = [False]
+        self.blocks: list[tuple[str, int, int]] = []  # text, its characters in links, element
+        self.heading = ""
         self._run(source or "")
 
     def _run(self, source: str) -> None:
-        stack: list[tuple[str, bool, str]] = []  # tag, whether dropped, path
-        boxes: list[tuple[int, str]] = []  # the containers of the stack: a number of their own and their path
-        depth_of_box: list[int] = []
+        stack = [0]
+        open_at: dict[str, list[int]] = defaultdict(list)  # where in the stack each tag is open
         text: list[str] = []
-        count = linked = links = dropped = 0
+        linked = links = 0
         raw = ""
 
         def flush() -> None:
@@ -59,28 +79,26 @@ class Page:
             if text:
                 joined = " ".join("".join(text).split())
                 if joined:
-                    self.blocks.append((joined, min(linked, len(joined)), tuple(boxes)))
+                    self.blocks.append((joined, min(linked, len(joined)), stack[-1]))
+                    if self.tag[stack[-1]] == "h1" and not self.heading:
+                        self.heading = joined
                 text.clear()
             linked = 0
 
         def pop() -> None:
-            nonlocal dropped
-            if depth_of_box and depth_of_box[-1] == len(stack):
-                depth_of_box.pop()
-                boxes.pop()
-            dropped -= stack.pop()[1]
+            open_at[self.tag[stack.pop()]].pop()
 
         at, n = 0, len(source)
         while at < n:
             if raw:
-                end = re.compile(rf"</{raw}\b", re.I).search(source, at)
+                end = CLOSING[raw].search(source, at)
                 at, raw = end.start() if end else n, ""
                 continue
             m = TOKEN.match(source, at)
             at = m.end()
             tag = m[1]
             if tag is None:
-                if not dropped and (s := m[0])[:2] not in ("<!", "<?"):
+                if not self.dropped[stack[-1]] and (s := m[0])[:2] not in ("<!", "<?"):
                     s = html.unescape(s)
                     text.append(s)
                     linked += len(s) if links else 0
@@ -90,72 +108,130 @@ class Page:
             tag = tag.lower()
             closing = source[m.start() + 1] == "/"
             if tag == "br":
-                if not dropped:
-                    text.append(" ")
+                text.append(" ")
                 continue
             if tag == "a":
                 links = not closing
                 continue
             known = tag in BLOCKS or tag in DROPPED
             if closing:
-                if known and any(x[0] == tag for x in stack):
-                    if tag in BLOCKS:
+                if open_at[tag]:
+                    if known:
                         flush()
-                    while stack[-1][0] != tag:
+                    while self.tag[stack[-1]] != tag:
                         pop()
                     pop()
                 continue
-            names = [(k.lower(), a or b or c) for k, a, b, c in NAMES.findall(m[2])] if m[2] else []
-            off = bool(names) and tag not in ("html", "body", "article", "main") and any(w in BOILERPLATE for _, v in names for w in PART.findall(v.lower()))
-            if not known and not off:
+            names = [(k.lower(), c) for k, a, b, d in NAMES.findall(m[2]) for c in (a or b or d).lower().split()] if m[2] else []
+            hinted = any(c in BOILERPLATE for _, c in names)
+            if not known and not hinted:
                 continue
+            flush()
             if tag in VOID:
-                if not dropped:
-                    flush()
                 continue
-            if not dropped:
-                flush()
-            while tag in BLOCKS and stack and stack[-1][0] in PARAGRAPHS:
+            while tag in BLOCKS and self.tag[stack[-1]] in PARAGRAPHS:
                 pop()
-            for group, fence in (({"li"}, {"ul", "ol"}), ({"td", "th"}, {"tr", "table"}), ({"tr"}, {"table"}), ({"dt", "dd"}, {"dl"})):
+            for group, fence in GROUPS:
                 if tag in group:
-                    k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in group | fence), -1)
-                    while k >= 0 and stack[k][0] in group and len(stack) > k:
-                        pop()
-            inside = any(x[0] in ("article", "main") for x in stack)
-            drop = off or tag in DROPPED and not (tag == "header" and inside)
-            classes = ".".join(sorted(re.sub(r"\d+", "#", c.lower()) for k, v in names if k == "class" for c in v.split()))
-            path = f"{stack[-1][2] if stack else ''}/{tag}{'.' + classes if classes else ''}"
-            stack.append((tag, drop, path))
-            dropped += drop
-            if tag in CONTAINERS and not dropped:
-                count += 1
-                boxes.append((count, path))
-                depth_of_box.append(len(stack))
+                    last = max((open_at[t][-1] for t in group | fence if open_at[t]), default=0)
+                    if last and self.tag[stack[last]] in group:
+                        while len(stack) > last:
+                            pop()
+            inside = open_at["article"] or open_at["main"]
+            up = stack[-1]
+            classes = ".".join(sorted(re.sub(r"\d+", "#", c) for k, c in names if k == "class"))
+            self.parent.append(up)
+            self.path.append(_hash(f"{self.path[up]}/{tag}.{classes}"))
+            self.tag.append(tag)
+            self.hinted.append(hinted and tag not in ("html", "body", "article", "main"))
+            self.dropped.append(self.dropped[up] or tag in DROPPED and not (tag == "header" and inside))
+            open_at[tag].append(len(stack))
+            stack.append(len(self.path) - 1)
             if tag in RAW:
                 raw = tag
         flush()
 
-    def best(self) -> tuple[int, str, float] | None:
-        """Number, path and share of the text of the container of the highest score; None for a page without blocks."""
-        scores: dict[tuple[int, str], float] = {}
-        total = 0.0
-        for text, linked, boxes in self.blocks:
-            value = float(len(text) - linked)
-            total += value
-            for up, box in enumerate(reversed(boxes[-3:])):
-                scores[box] = scores.get(box, 0.0) + value / (1 << up)
-        if not scores:
+    def off(self, drop: frozenset = frozenset(), keep: frozenset = frozenset()) -> list[bool]:
+        """Which elements are left out: hinted ones without the page's heading, but for the paths ``keep``, and ``drop``."""
+        headed = [False] * len(self.path)
+        for _, _, e in self.blocks:
+            if self.tag[e] == "h1":
+                while e >= 0 and not headed[e]:
+                    headed[e] = True
+                    e = self.parent[e]
+        out = self.dropped.copy()
+        for e in range(1, len(out)):
+            out[e] = out[e] or out[self.parent[e]] or self.path[e] in drop or self.hinted[e] and not headed[e] and self.path[e] not in keep
+        return out
+
+    def sums(self, off: list[bool]) -> list[float]:
+        """The characters outside links of each element."""
+        out = [0.0] * len(self.path)
+        for text, linked, e in self.blocks:
+            if not off[e]:
+                out[e] += len(text) - linked
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+    def best(self, off: list[bool]) -> tuple[int, float] | None:
+        """The best container and its share of the text: an article or main element that holds half of it, else the
+        innermost container that holds nine tenths; None for a page without text there."""
+        sums = self.sums(off)
+        if not sums[0]:
             return None
-        (number, path), score = max(scores.items(), key=lambda x: (x[1], -x[0][0]))
-        return number, path, score / total if total else 0.0
+        for kinds, share in ((("article", "main"), ARTICLE_HOLDS), (CONTAINERS, HOLDS)):
+            found = [e for e, tag in enumerate(self.tag) if tag in kinds and sums[e] >= share * sums[0]]
+            if found:
+                e = max(found, key=lambda e: (e if share == HOLDS else sums[e], e))
+                return e, sums[e] / sums[0]
+        return None
+
+    def votes(self) -> list[tuple[int, float, int, int, bool, bool]]:
+        """For each path with text: weight as the page's best, hashes of heading and text, whether it is hinted, and whether
+        the heading stands there."""
+        off = self.off()
+        best = self.best(off)
+        size = len(self.path)
+        chars, texts, headed = [0] * size, [0] * size, [False] * size
+        for text, _, e in self.blocks:
+            chars[e] += len(text)
+            texts[e] += _hash(text)
+            headed[e] |= self.tag[e] == "h1"
+        for e in range(size - 1, 0, -1):
+            up = self.parent[e]
+            chars[up] += chars[e]
+            texts[up] += texts[e]
+            headed[up] |= headed[e]
+        heading = _hash(self.heading) if self.heading else texts[0]
+        by: dict[int, list] = {}
+        for e in range(1, size):
+            if not self.dropped[e] and chars[e]:
+                row = by.setdefault(self.path[e], [0.0, 0, False, False])
+                row[1] += texts[e]
+                row[2] |= self.hinted[e]
+                row[3] |= headed[e]
+        if best and self.path[best[0]] in by:
+            by[self.path[best[0]]][0] = best[1]
+        return [(_signed(p), w, _signed(heading & _MASK), _signed(t & _MASK), hint, h) for p, (w, t, hint, h) in by.items()]
+
+    def text(self, winner: int | None, drop: frozenset = frozenset(), keep: frozenset = frozenset()) -> str:
+        """The blocks at the path ``winner``, else those of the page's best container, else all; without what is left out."""
+        off = self.off(drop, keep)
+        at = [p == winner for p in self.path]
+        if not any(at[e] and not off[e] for e in range(1, len(at))) and (best := self.best(off)):
+            at[best[0]] = True
+        for e in range(1, len(at)):
+            at[e] = at[e] or at[self.parent[e]]
+        found = [t for t, _, e in self.blocks if at[e] and not off[e]]
+        return "\n".join(found or [t for t, _, e in self.blocks if not off[e]])
 
-    def text(self, path: str | None) -> str:
-        """The blocks at ``path``, else those of the page's best container, else all."""
-        found = [t for t, _, boxes in self.blocks if any(p == path for _, p in boxes)]
-        if not found and (best := self.best()):
-            found = [t for t, _, boxes in self.blocks if any(k == best[0] for k, _ in boxes)]
-        return "\n".join(found or [t for t, *_ in self.blocks])
+
+_MASK = (1 << 64) - 1
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def host(url: Column) -> Column:
@@ -164,37 +240,57 @@ def host(url: Column) -> Column:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """host, path, weight: what each page's best container says."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("weight", pa.float64())])
+    """host and what each page says of each of its paths."""
+    schema = pa.schema([("host", pa.string()), ("path", pa.int64()), ("weight", pa.float64()), ("heading", pa.int64()), ("text", pa.int64()), ("hinted", pa.bool_()), ("headed", pa.bool_())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        got = [(h, *b[1:]) for h, source in zip(cols["host"], cols["html"]) if (b := Page(source).best())]
-        return dict(zip(("host", "path", "weight"), map(list, zip(*got)))) if got else {"host": [], "path": [], "weight": []}
+        got = [(h, *v) for h, source in zip(cols["host"], cols["html"]) for v in Page(source).votes()]
+        return dict(zip(schema.names, map(list, zip(*got)))) if got else {k: [] for k in schema.names}
 
     return map_batches(pages.select(host(F.col("url")).alias("host"), "html"), run, schema)
 
 
+def consensus(votes: DataFrame) -> DataFrame:
+    """host, winner, drop and keep: the path that its pages extract, and the paths that they leave out or keep.
+
+    Only paths of ``SHARE`` of the host's headings are listed, so that a host's lists stay short. Equal votes go to the
+    lesser path. Headings and texts are counted by sketches.
+    """
+    by = votes.groupBy("host", "path").agg(
+        F.sum("weight").alias("weight"), F.approx_count_distinct("heading", 0.02).alias("headings"), F.approx_count_distinct("text", 0.02).alias("texts"),
+        F.bool_or("hinted").alias("hinted"), F.avg(F.col("headed").cast("double")).alias("headed"),
+    )
+    by = written(by)
+    whole = by.groupBy("host").agg(F.max("headings").alias("most"), F.max(F.struct(F.round("weight", 6).alias("weight"), F.bitwise_not("path").alias("less"))).alias("w"))
+    seen = (F.col("headings") >= HEADINGS) & (F.col("headings") >= SHARE * F.col("most"))
+    same = F.col("texts") * 2 <= F.col("headings")
+    wins = F.bitwise_not("path") == F.col("w.less")
+    drop = F.when(seen & same & (F.col("headed") < 0.5) & ~wins, F.col("path"))
+    keep = F.when(F.col("hinted") & (F.col("headed") >= 0.5) & (F.col("headings") >= SHARE * F.col("most")), F.col("path"))
+    listed = by.join(whole, "host").select("host", F.col("w"), drop.alias("drop"), keep.alias("keep")).where("drop is not null or keep is not null")
+    lists = listed.groupBy("host").agg(F.collect_list("drop").alias("drop"), F.collect_list("keep").alias("keep"))
+    return whole.select("host", F.when(F.col("w.weight") > 0, F.bitwise_not("w.less")).alias("winner")).join(lists, "host", "left")
+
+
 def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages`` (page_id, url, html).
 
     A null or empty html, and a page without text outside boilerplate, gives an empty text. Pages without a host vote
-    together. Equal votes go to the lesser path. Repeated rows give repeated rows. Unclosed and cut tags are allowed.
+    together. Repeated rows give repeated rows, and vote as often for the winner; an empty table gives none, and other
+    columns are not read. Unclosed and cut tags are allowed. Work and memory are in proportion to the page's length.
     """
-    voted = checkpointed(votes(pages).groupBy("host", "path").agg(F.sum("weight").alias("weight")))
-    overall = voted.groupBy("path").agg(F.sum("weight").alias("weight")).orderBy(F.round("weight", 6).desc(), "path").limit(1).collect()
-    common = overall[0]["path"] if overall else ""
-    winners = voted.groupBy("host").agg(F.min_by("path", F.struct(-F.round("weight", 6), F.col("path"))).alias("winner")).where(F.col("winner") != common)
-    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length("winner") + 32)).first()[0] or 0
-    winners = F.broadcast(winners) if size <= broadcast_bytes else winners
+    said = written(consensus(votes(pages)))
+    size = said.agg(F.sum(F.octet_length("host") + 8 * (F.coalesce(F.size("drop"), F.lit(0)) + F.coalesce(F.size("keep"), F.lit(0))) + 64)).first()[0] or 0
     keyed = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    joined = keyed.join(winners, "host", "left").select("page_id", "url", "html", F.coalesce("winner", F.lit(common)).alias("winner"))
+    joined = keyed.join(F.broadcast(said), "host", "left") if size <= broadcast_bytes else with_side(keyed, said, ["host"], "left")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        texts = [Page(source).text(path) for source, path in zip(cols["html"], cols["winner"])]
+        unsigned = lambda xs: frozenset(x & _MASK for x in xs or ())
+        texts = [Page(source).text(None if w is None else w & _MASK, unsigned(d), unsigned(k)) for source, w, d, k in zip(cols["html"], cols["winner"], cols["drop"], cols["keep"])]
         return {"page_id": cols["page_id"], "url": cols["url"], "text": texts, "n_chars": list(map(len, texts))}
 
-    return map_batches(joined, run, schema)
+    return map_batches(joined.select("page_id", "url", "html", "winner", "drop", "keep"), run, schema)
 
 
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

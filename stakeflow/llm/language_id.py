@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from stakeflow.llm.common import map_batches, table
+from stakeflow.llm.common import FIT_CHARS, map_batches, sampled_ids, table
 
 BUCKETS = 1 << 16
 FIT_ROWS = 800
@@ -117,21 +117,24 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def learn(docs: DataFrame, rows_per_label: int = FIT_ROWS) -> Model | None:
-    """A model from ``docs`` (doc_id, text, lang); rows of null lang or no letter teach nothing. None without rows."""
+    """A model from ``docs`` (doc_id, text, lang); rows of null lang or no letter teach nothing, and those of
+    more than ``FIT_CHARS`` characters or of a null doc_id count for document frequencies only. None without rows."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     n, df = document_frequencies(known)
     if not n:
         return None
-    ranked = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang").withColumn("k", ranked).where(F.col("k") <= rows_per_label).select("doc_id").distinct()
-    sample = known.join(F.broadcast(ids), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "lang").collect()
+    ids = sorted({(i,) for _, *some in sampled_ids(docs, "lang", rows_per_label).values() for i in some})
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long"))
+    sample = known.where(F.char_length("text") <= FIT_CHARS).join(chosen, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "lang").collect()
     return fit([(r.text, r.lang) for r in sample], np.log((1 + n) / (1 + df)) + 1.0) if sample else None
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred and score for each row of ``docs`` (doc_id, text).
 
-    A null text, one without a letter, and any text where nothing could be learned is ``und`` with score 0.
+    A null text, one without a letter, and any text where nothing could be learned is ``und`` with score 0; of languages
+    of equal score the first by name is taken. Repeated rows give repeated rows, an empty table none; columns but doc_id
+    and text are not read, and whole texts are, whatever their length.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -17,10 +17,10 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.llm.common import map_batches, table
+from stakeflow.llm.common import FIT_CHARS, map_batches, sampled_ids, table
 from stakeflow.llm.language_id import held_out
 
 FIT_ROWS = 1500
@@ -164,18 +164,26 @@ def fit(rows: list[tuple[str, int, float]], steps: int = 150, ridge: float = 1e-
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows_per_label: int = FIT_ROWS) -> Chain:
-    """A chain from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality); null labels teach nothing."""
+    """A chain from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality).
+
+    Null labels and ids, texts of more than ``FIT_CHARS`` characters and ids of either table alone teach nothing; of
+    several labels of one id the greater one counts. Without rows the chain scores every text alike."""
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sizes = {r.quality: r.n for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    ranked = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("k", ranked).where(F.col("k") <= rows_per_label).drop("k")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").select("text", "quality").collect()
-    got = Counter(r.quality for r in rows)
-    return fit([(r.text, r.quality, sizes[r.quality] / got[r.quality]) for r in rows])
+    chosen = sampled_ids(known, "quality", rows_per_label)
+    of = {i: y for y, (_, *ids) in chosen.items() for i in ids}
+    sample = docs.sparkSession.createDataFrame([(i,) for i in of], "doc_id long")
+    texts = docs.select("doc_id", "text").where(F.char_length("text") <= FIT_CHARS)
+    rows = sorted(map(tuple, texts.join(F.broadcast(sample), "doc_id").collect()))
+    got = Counter(of[i] for i, _ in rows)
+    return fit([(text, of[i], chosen[of[i]][0] / got[of[i]]) for i, text in rows])
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted for each row of ``docs`` (doc_id, text); texts without a line get the chain's base score."""
+    """doc_id, score, predicted for each row of ``docs`` (doc_id, text).
+
+    Null and empty texts, and those of white space, get the chain's base score. Texts are scored whole, whatever their
+    length. Repeated rows give repeated rows, an empty table none; columns but doc_id and text are not read, and a null
+    doc_id stays null."""
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
     sent = docs.sparkSession.sparkContext.broadcast(chain)
 

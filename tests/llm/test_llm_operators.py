@@ -67,6 +67,19 @@ def test_tree_encoding_is_the_library_s(leaf):
         assert ids == c.coder.encode_ordinary(s) and c.decode(ids) == s.encode()
 
 
+def test_most_texts_are_joined_from_parts():
+    import duckdb
+
+    c = byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    assert sum(len(t) > c.leaf for t in texts) > len(texts) / 2
+    for t in texts:
+        ids = c.encode(t)
+        assert ids == c.coder.encode_ordinary(t) and c.decode(ids) == t.encode()
+    for t in ("x" * 100_000, "ab " * 10 + "語" * 50_000 + " z", " " * 50_000 + "a"):
+        assert c.encode(t) == c.coder.encode_ordinary(t)
+
+
 def test_byte_bpe_of_edges(spark):
     coded = byte_bpe.encode_decode(odd_docs(spark, EDGE), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     for r in coded.collect():
@@ -88,6 +101,36 @@ def test_extraction_drops_boilerplate_and_follows_the_host(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_hosts_votes_change_the_text(spark):
+    """Against a count of every page's paths: what recurs under other headings goes, a hinted box with the headings stays."""
+    page = '<body><article><div class="header"><h1>{0}</h1></div><p>{1}</p><div class="x{2}">Our app is new</div><p class="sig">{3}</p></article></body>'
+    rows = [(i, f"http://a.example/{i}", page.format(f"Head {i}", f"text {i} " * 9, i, "same" if i % 2 else f"by {i}")) for i in range(8)]
+    rows += [(20, "http://a.example/20", '<body><article><div class="header">No h1 here</div><p>other text</p></article></body>')]
+    rows += [(30 + i, f"http://b.example/{i}", page.format("One head", "one text", 1, "same")) for i in range(4)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):  # the box's text is one under eight headings; the signature's are five under eight
+        assert got[i] == f"Head {i}\n{('text %d ' % i * 9).strip()}\n" + ("same" if i % 2 else f"by {i}")
+        assert "Our app" in html_extract.Page(rows[i][2]).text(None)  # a page alone doesn't know
+    assert got[20] == "No h1 here\nother text"
+    assert got[30] == "One head\none text\nOur app is new\nsame"  # copies of one page say nothing
+
+
+def test_extraction_of_words_within_classes_and_deep_or_broken_pages():
+    import time
+
+    texts = [html_extract.Page(x).text(None) for x in (
+        '<body><article><h1 class="headline-header">Title kept</h1><p>one</p></article></body>',
+        '<article><p>x</p><p class="notice-period">ab</p><div class="post-follow-up">cd</div></article>',
+        '<body><div class="content has-sidebar"><p>text</p></div><div class="sidebar">no</div></body>',
+    )]
+    assert texts == ["Title kept\none", "x\nab\ncd", "text"]
+    began = time.process_time()
+    for source in ("<div>" * 200_000 + "x", "x" * 1_000_000, '<a title="' * 20_000, "<ul><li>" + "<div>" * 20_000 + "<li>x" * 5_000):
+        page = html_extract.Page(source)
+        page.votes(), page.text(None)
+    assert time.process_time() - began < 15
+
+
 def test_forward_backward_is_brute_force():
     import itertools
 
@@ -237,20 +280,22 @@ def test_decontamination_is_brute_force(spark):
         p, t = [[r.choice("abc") for _ in range(r.randint(1, 12))] for _ in range(2)]
         assert decontaminate.nearest(p, t)[0] == distance(p, t)
     vocab = [f"w{i}" for i in range(12)]
-    items = [(i, " ".join(r.choice(vocab) for _ in range(r.randint(8, 30)))) for i in range(8)] + [(90, None), (91, "too short"), (92, "")]
+    items = [(i, " ".join(r.choice(vocab) for _ in range(r.randint(2, 30)))) for i in range(12)] + [(90, None), (91, "short one"), (92, ""), (93, "alone"), (94, "短い文です"), (None, "no id here"), (95, "two texts under"), (95, "one id")]
     docs = []
     for d in range(60):
         w = [r.choice(vocab) for _ in range(r.randint(0, 60))]
         if d % 2:
-            x = items[r.randrange(8)][1].split()
+            x = items[r.randrange(12)][1].split()
             for _ in range(r.randint(0, 5)):
                 x[r.randrange(len(x))] = "other"
             w[5:5] = x
         docs.append((d, ", ".join(w).upper()))
-    docs += [(100, None), (101, "")]
+    docs += [(100, None), (101, ""), (102, "a short one"), (103, "Alone!"), (104, "これは短い文ですね"), (105, "no id here"), (106, "one id; two texts under"), (107, "short")]
     df = spark.createDataFrame([(*x, 1) for x in docs], "doc_id long, text string, item_id int")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    want = {(d, i) for d, t in docs if t for i, x in items if x and len(x.split()) >= 8 and distance(decontaminate.words(x), decontaminate.words(t)) <= int(0.15 * len(x.split()))}
+    size = lambda x: len(decontaminate.words(x))
+    want = {(d, i) for d, t in docs if t for i, x in items if x and distance(decontaminate.words(x), decontaminate.words(t)) <= max(0, min(int(0.15 * size(x)), size(x) // 2 - 1))}
+    assert {(102, 91), (103, 93), (104, 94), (105, None), (106, 95)} <= want
     for block in (1 << 20, 64):
         got = decontaminate.contaminated(df, bench, block_bytes=block).collect()
         assert {(x.doc_id, x.item_id) for x in got} == want and len(got) == len(want)
@@ -325,6 +370,48 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     assert got[0].text == rows[0][1] and got[61].text == " ".join(rows[44][1].split()[:50]) and got[61].n_tokens > 0
 
 
+def test_stages_of_the_pipeline_on_odd_tables(spark, tmp_path):
+    """Nulls, repeated rows, columns that clash with the stages' own, and no rows."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "a passage that nobody has")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __kept int, count int, lang_pred int, component int"
+    text = " ".join(f"wort{i}" for i in range(40))
+    rows = [(1, text, "aa", "s", 0, 1, 2, 3, 4), (1, text, "aa", "s", 0, 1, 2, 3, 4), (2, text, "aa", None, None, None, None, None, None), (None, "noch etwas anderes", None, None, 0, 1, 2, 3, 4), (3, None, None, None, None, 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = {name: stage(spark, docs, str(tmp_path)) for name, stage in corpus_pipeline.STAGES[:-1]}
+    assert all(df.columns == docs.columns for df in kept.values())
+    ids = {name: sorted((r.doc_id or -1) for r in df.collect()) for name, df in kept.items()}
+    assert ids == {"language_id": [-1, 1, 1, 2], "near_dedup": [-1, 1, 3], "substring_dedup": [-1, 1, 1, 3], "decontaminate": [-1, 1, 1, 2, 3]}
+    none = docs.limit(0)
+    assert all(stage(spark, none, str(tmp_path)).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_language_and_quality_samples_are_the_smallest_hashes(spark):
+    from stakeflow.llm.common import sampled_ids
+
+    df = spark.range(5000).selectExpr("id AS doc_id", "CASE WHEN id % 10 = 0 THEN 'b' WHEN id % 10 < 9 THEN 'a' END AS lang", "xxhash64(id) AS h")
+    rows = [(r.lang, r.h & ((1 << 40) - 1), r.doc_id) for r in df.collect() if r.lang]
+    for k in (7, 700):
+        want = {g: [sum(x[0] == g for x in rows), *[i for *_, i in sorted(x for x in rows if x[0] == g)[:k]]] for g in "ab"}
+        assert sampled_ids(df, "lang", k) == want
+    assert sampled_ids(df.limit(0), "lang", 5) == {}
+
+
+def test_embeddings_of_exact_ties_at_the_threshold(spark):
+    rows = [(i, [3.0, 4.0] if i % 2 else [4.0, 3.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for threshold, linked in ((0.6 * 0.8 + 0.8 * 0.6, True), (0.9600001, False)):
+        got = embedding_dedup.near_duplicates(df, threshold).collect()
+        assert {r.n_links for r in got} == {199 if linked else 99} and {r.component_id for r in got} == ({0} if linked else {0, 1})
+
+
+def test_chat_of_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 0, "user", "x", 5, 6, 7)], "conv_id long, turn long, role string, text string, no int, seg int, start int")
+    out = chat_format.format_conversations(df.withColumn("parts", chat_format.text_parts(df["text"]))).first()
+    assert out.formatted == "<|im_start|>user<|im_sep|>x<|im_end|>" and out.n_turns == 1
+
+
 def test_sql_oracles_are_registered():
     from stakeflow.llm import registry
 
