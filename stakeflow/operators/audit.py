@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stakeflow.functions.ids import clean_card_id
 from stakeflow.operators.dedup import dedup_sessions
+from stakeflow.operators.ranking import value_quantiles
 
 SECOND, MINUTE = 1_000_000, 60_000_000
 DAY = 1440 * MINUTE
@@ -18,19 +20,25 @@ def ingest_delay(df: DataFrame, event: str = "us", seen: str = "etl_us", late_se
     """Exact quantiles, maximum, and late rows of the delay in seconds, of rows with both times."""
     d = df.where(F.col(event).isNotNull() & F.col(seen).isNotNull()).withColumn("_d", (F.col(seen) - F.col(event)) / SECOND)
     late = F.count_if(F.col("_d") > late_sec)
-    q = F.percentile("_d", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    out = d.groupBy(*by).agg(q.alias("q"), F.max("_d").alias("max_sec"), F.count("*").alias("rows"), late.alias("late"), (late / F.count("*")).alias("late_ratio"))
-    return out.select(*by, F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), F.col("q")[2].alias("p99"), "max_sec", "rows", "late", "late_ratio")
+    out = d.groupBy(*by).agg(F.max("_d").alias("max_sec"), F.count("*").alias("rows"), late.alias("late"), (late / F.count("*")).alias("late_ratio"))
+    q = value_quantiles(d, "_d", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, *by)
+    both = q.join(out, [q[c].eqNullSafe(out[c]) for c in by]) if by else q.join(F.broadcast(out))
+    return both.select(*[q[c] for c in by], "p50", "p95", "p99", "max_sec", "rows", "late", "late_ratio")
 
 
 def delay_profile(df: DataFrame, *by: str, event: str = "us", seen: str = "etl_us") -> DataFrame:
-    """Rows, nulls, negative delays, and the shares within a minute, seven minutes and over a day."""
+    """Rows, nulls, rows seen in 1970, negative delays, the shares within a minute, seven minutes and over a day, and the
+    delays' mean, deviation, bounds and quantiles; of rows with both times but for the first three."""
     d = (F.col(seen) - F.col(event)) / SECOND
     n = F.count("_d")
     x = df.withColumn("_d", d)
     share = lambda c: F.count_if(c) / F.nullif(n, F.lit(0))
     d = F.col("_d")
-    return x.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(d.isNull()).alias("nulls"), share(d < 0).alias("negative"), share(d <= 60).alias("in_1m"), share(d <= 420).alias("in_7m"), share(d > 86400).alias("over_1d"), F.avg("_d").alias("mean"), F.stddev_samp("_d").alias("sd"), F.min("_d").alias("least"), F.max("_d").alias("most"))
+    year = F.count_if(F.year(F.timestamp_micros(F.col(seen))) == 1970)
+    out = x.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(d.isNull()).alias("nulls"), year.alias("in_1970"), share(d < 0).alias("negative"), share(d <= 60).alias("in_1m"), share(d <= 420).alias("in_7m"), share(d > 86400).alias("over_1d"), F.avg("_d").alias("mean"), F.stddev_samp("_d").alias("sd"), F.min("_d").alias("least"), F.max("_d").alias("most"))
+    q = value_quantiles(x, "_d", {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}, *by)
+    on = [out[c].eqNullSafe(q[c]) for c in by] if by else F.lit(True)
+    return out.join(q, on, "left").select(*[out[c] for c in out.columns], "p50", "p90", "p95", "p99")
 
 
 def row_digest(df: DataFrame) -> Column:
@@ -40,18 +48,42 @@ def row_digest(df: DataFrame) -> Column:
 
 
 def frame_digest(df: DataFrame) -> DataFrame:
-    """Count, sum and exclusive or of row hashes: equal for equal rows in any order and partitioning."""
+    """Count, sum, exclusive or and sum of squares of row hashes: equal for equal rows in any order and partitioning."""
     h = F.conv(F.substring(row_digest(df), 1, 15), 16, 10).cast("long")
-    return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("sum"), F.coalesce(F.bit_xor("h"), F.lit(0)).cast("long").alias("xor"))
+    return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("sum"), F.coalesce(F.bit_xor("h"), F.lit(0)).cast("long").alias("xor"), F.sum(F.pmod("h", F.lit(1 << 30)).cast("decimal(38,0)") * F.pmod("h", F.lit(1 << 30)).cast("decimal(10,0)")).cast("decimal(38,0)").cast("string").alias("squares"))
+
+
+def digest_until(df: DataFrame, until_us: int, time: str = "snapshot_us") -> DataFrame:
+    """The digest of the rows up to a time."""
+    return frame_digest(df.where(F.col(time) <= until_us))
+
+
+def reproducible(build: Callable[[], DataFrame], partitions: tuple[int, ...] = (1, 7, 64)) -> DataFrame:
+    """partitions, and the digest of what ``build`` gives when its shuffles have so many parts, and whether all agree."""
+    spark = build().sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        out = []
+        for n in partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            out.append((n, *frame_digest(build()).first()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    same = len({x[1:] for x in out}) == 1
+    return spark.createDataFrame([(*x, same) for x in out], "partitions int, rows long, sum string, xor long, squares string, same boolean")
 
 
 def feature_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls, zeros, mean, population deviation, bounds and quantiles of each column, unpivoted in one pass."""
+    """Nulls, zeros, mean, population deviation, bounds and quantiles of each column: all moments in one wide aggregate,
+    the quantiles from counts by value."""
+    d = {c: F.col(c).cast("double") for c in columns}
+    one = df.agg(F.count("*").alias("n"), *[F.struct(F.count_if(v.isNull()).alias("nulls"), F.count_if(v == 0).alias("zeros"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{c}") for c, v in d.items()])
+    moments = one.select(F.col("n").alias("rows"), F.expr(f"stack({len(columns)}, {', '.join(f'{c!r}, `_{c}`' for c in columns)}) AS (feature_name, m)")).select("feature_name", "rows", "m.*")
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
     long = df.select(F.expr(f"stack({len(columns)}, {stack}) AS (feature_name, v)"))
-    q = F.percentile("v", F.array(*[F.lit(p) for p in (0.01, 0.05, 0.5, 0.95, 0.99)]))
-    out = long.groupBy("feature_name").agg(F.count("*").alias("rows"), F.count_if(F.col("v").isNull()).alias("nulls"), F.count_if(F.col("v") == 0).alias("zeros"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), q.alias("q"))
-    return out.select("feature_name", "rows", "nulls", "zeros", "mean", "std", "min", "max", *[F.col("q")[i].alias(n) for i, n in enumerate(("p1", "p5", "p50", "p95", "p99"))])
+    names = {"p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+    q = value_quantiles(long, "v", names, "feature_name")
+    return moments.join(F.broadcast(q), "feature_name", "left").select("feature_name", "rows", "nulls", "zeros", "mean", "std", "min", "max", *names)  # a row a column
 
 
 def column_std(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -143,10 +175,31 @@ def late_cards(sessions: DataFrame) -> DataFrame:
     return by.where("versions > 1 and first = '' and card is not null").select("session_id", "versions", "card")
 
 
+def late_card_bets(bets: DataFrame, late: DataFrame, top: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Bets and wager of the sessions of ``late_cards``, in all, and the ``top`` sessions of most versions with theirs."""
+    own = bets.join(late.select("session_id"), "session_id", "left_semi").groupBy("session_id").agg(F.count("*").alias("bets"), F.sum("wager").alias("wager"))
+    each = late.join(own, "session_id", "left").fillna(0, ["bets", "wager"])
+    return each.agg(F.count("*").alias("sessions"), F.sum("bets").alias("bets"), F.sum("wager").alias("wager")), each.orderBy(F.desc("versions"), F.desc("bets"), "session_id").limit(top)
+
+
+def status_groups(df: DataFrame, key: str, status: str, value: str) -> DataFrame:
+    """Of each status: rows, distinct keys, and the sum, mean and share of the value."""
+    by = df.groupBy(status).agg(F.count("*").alias("rows"), F.count_distinct(key).alias("keys"), F.sum(value).alias("total"), F.avg(value).alias("mean"))
+    whole = df.agg(F.sum(value).alias("_all"))
+    return by.join(F.broadcast(whole)).withColumn("share", F.col("total") / F.nullif("_all", F.lit(0.0))).drop("_all")  # one row
+
+
 def time_quality(sessions: DataFrame) -> DataFrame:
-    """Missing ends, negative durations, and lags from end to update."""
-    df = dedup_sessions(sessions).withColumn("_lag", (F.col("lud_us") - F.col("end_us")) / SECOND)
-    return df.agg(F.count("*").alias("rows"), F.count_if(F.col("end_us").isNull()).alias("no_end"), F.count_if(F.col("end_us") < F.col("start_us")).alias("negative"), F.percentile("_lag", F.lit(0.5)).alias("p50_lag"), F.percentile("_lag", F.lit(0.99)).alias("p99_lag"))
+    """Missing starts and ends, negative durations, and quantiles of durations in minutes and of the lags in seconds from
+    end to update and from update to load."""
+    df = dedup_sessions(sessions)
+    timed = {"duration": (F.col("end_us") - F.col("start_us")) / MINUTE, "lag": (F.col("lud_us") - F.col("end_us")) / SECOND, "load": (F.col("etl_us") - F.col("lud_us")) / SECOND}
+    one = df.agg(F.count("*").alias("rows"), F.count_if(F.col("start_us").isNull()).alias("no_start"), F.count_if(F.col("end_us").isNull()).alias("no_end"), F.count_if(F.col("end_us") < F.col("start_us")).alias("negative"))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("name"), v.alias("v")) for k, v in timed.items()])).alias("x")).select("x.*")
+    q = value_quantiles(long, "v", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, "name")
+    for k in timed:
+        one = one.join(F.broadcast(q.where(F.col("name") == k).select(*[F.col(p).alias(f"{p}_{k}") for p in ("p50", "p90", "p99")])), how="left")  # one row
+    return one
 
 
 def frame_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

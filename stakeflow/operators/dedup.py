@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def newest(df: DataFrame, key: str, *order: Column) -> DataFrame:
     """The first row of each key in the order given; ties go by a hash of all columns, so that the choice is the same
     for any partitioning."""
-    tie = F.xxhash64(*[F.to_json(F.struct(*df.columns))])
+    tie = F.xxhash64(*df.columns)
     w = Window.partitionBy(key).orderBy(*order, tie)
     return df.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 

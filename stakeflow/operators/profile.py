@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stakeflow.functions.ids import clean_card_id
 from stakeflow.operators.dedup import dedup_sessions, unflagged
+from stakeflow.operators.ranking import value_quantiles
 
 MINUTE = 60_000_000
 DAY = 1440 * MINUTE
@@ -28,40 +31,59 @@ def profile_sessions(sessions: DataFrame, mapping: DataFrame) -> DataFrame:
 def player_profile(rows: DataFrame, snapshots: DataFrame, delay: int = 7 * MINUTE, max_lookback_days: int = 365, reach_days: int = 366) -> DataFrame:
     """A row for each snapshot and canonical_id of ``rows`` (profile_sessions): 45 measures of the windows before it.
 
-    ``snapshots`` (snapshot_us) are dates, and few: each session is put to those within reach. A session counts once it
-    is ``delay`` old. Ids of at most one game in reach have no profile. Windows longer than ``max_lookback_days`` are null.
+    ``snapshots`` (snapshot_us) are days, and few. A session counts once it is ``delay`` old. Ids of at most one game in
+    reach have no profile. Windows longer than ``max_lookback_days`` are null.
+
+    Sessions are summed up by id, day and place first, and only these sums go to the snapshots. A day or place is within
+    a window if its latest session is, so that distinct counts need no sets.
     """
-    snap = F.col("snapshot_us")
-    near = (F.col("session_us") + delay <= snap) & (F.col("session_us") + delay >= snap - reach_days * DAY)
-    df = rows.join(F.broadcast(snapshots), near)
-    within = lambda d: F.col("session_us") >= snap - d * DAY
-    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0)
-    column = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
-
-    def measure(name: str, d: int) -> Column:
-        w = within(d)
-        if name == "sessions":
-            return F.count_if(w).cast("double")
-        if name == "active_days":
-            return F.count_distinct(F.when(w, F.col("session_date"))).cast("double")
-        if name == "win_session_rate":
-            return F.avg(F.when(w, F.when(value("player_win") > 0, 1.0).otherwise(0.0)))
-        if name == "avg_session_duration_min":
-            return F.avg(F.when(w & F.col("end_us").isNotNull(), (F.col("session_us") - F.col("start_us")) / MINUTE))
-        if name.startswith("distinct_"):
-            c = {"distinct_table_cnt": "table_id", "distinct_pit_cnt": "pit_id", "distinct_gaming_area_cnt": "gaming_area"}[name]
-            return F.count_distinct(F.when(w, column(c))).cast("double")
-        return F.sum(F.when(w, value(name.removesuffix("_sum"))))
-
-    cols = {f"{name}_{d}d": measure(name, d) for name, days in WINDOWS.items() for d in days if d <= max_lookback_days}
-    by = df.groupBy("snapshot_us", "canonical_id")
-    day = F.to_date(F.timestamp_micros("snapshot_us"))
-    out = by.agg(F.datediff(F.first(day), F.max("session_date")).cast("double").alias("days_since_last_session"), F.datediff(F.first(day), F.min("session_date")).cast("double").alias("days_since_first_session"), *[c.alias(k) for k, c in cols.items()], F.sum("num_games_with_wager").alias("_games"))
-    shares = df.groupBy("snapshot_us", "canonical_id", "table_id").agg(*[F.sum(F.when(within(d), F.col("turnover"))).alias(f"_t{d}") for d in (30, 90)])
-    shares = shares.groupBy("snapshot_us", "canonical_id").agg(F.max("_t30").alias("_t30"), F.max("_t90").alias("_t90"))
-    out = out.where("_games > 1").join(shares, ["snapshot_us", "canonical_id"])
+    times = sorted({r.snapshot_us for r in snapshots.select("snapshot_us").collect()})
+    parts = [_profile_of(rows, [t for t in times if t % DAY == phase], phase, delay, max_lookback_days, reach_days) for phase in sorted({t % DAY for t in times})]
+    return reduce(DataFrame.unionByName, parts) if parts else _profile_of(rows.limit(0), [0], 0, delay, max_lookback_days, reach_days)
+
+
+def _profile_of(rows: DataFrame, times: list[int], phase: int, delay: int, most_days: int, reach_days: int) -> DataFrame:
+    """For snapshots at one time of the day: days are counted from there."""
+    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in rows.columns else F.lit(0.0)
+    place = lambda c: F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")
+    t = F.col("session_us") - phase
+    ended = F.col("end_us").isNotNull()
+    sums = {"sessions": F.count("*").cast("double"), "wins": F.sum(F.when(value("player_win") > 0, 1.0).otherwise(0.0)), "timed": F.sum(F.when(ended, 1.0).otherwise(0.0)), "minutes": F.sum(F.when(ended, (F.col("session_us") - F.col("start_us")) / MINUTE).otherwise(0.0))}
+    sums |= {c: F.sum(value(c)) for c in ("turnover", "player_win", "theo_win", "num_bets", "num_games_with_wager")}
+    keys = ["canonical_id", F.col("session_date").alias("date"), F.floor(t / DAY).alias("day"), F.floor((t + delay) / DAY).alias("late"), F.ceil((t + delay) / DAY).alias("known"), place("table_id").alias("table"), place("pit_id").alias("pit"), place("gaming_area").alias("area")]
+    daily = rows.groupBy(*keys).agg(*[c.alias(k) for k, c in sums.items()])
+    near = F.filter(F.array(*[F.lit((x - phase) // DAY) for x in times]), lambda s: (F.col("known") <= s) & (F.col("late") >= s - reach_days))
+    at = daily.withColumn("snap", F.explode(near))
+    within = lambda d: F.col("snap") - F.col("day") <= d
+    total = lambda c, d: F.sum(F.when(within(d), F.col(c)))
+    plain = {"turnover_sum": "turnover", "player_win_sum": "player_win", "theo_win_sum": "theo_win", "num_bets_sum": "num_bets", "num_games_with_wager_sum": "num_games_with_wager"}
+    cols, places = {}, {}
     for name, days in WINDOWS.items():
-        out = out.withColumns({f"{name}_{d}d": F.lit(None).cast("double") for d in days if d > max_lookback_days}) if max_lookback_days < max(days) else out
+        for d in days:
+            to = places if name == "active_days" or name.startswith("distinct_") else cols
+            if d > most_days:
+                c = F.max(F.lit(None).cast("double"))
+            elif name == "sessions":
+                c = F.coalesce(total("sessions", d), F.lit(0.0))
+            elif name == "win_session_rate":
+                c = total("wins", d) / F.nullif(total("sessions", d), F.lit(0.0))
+            elif name == "avg_session_duration_min":
+                c = total("minutes", d) / F.nullif(total("timed", d), F.lit(0.0))
+            elif name in plain:
+                c = total(plain[name], d)
+            else:
+                kind = {"active_days": "date", "distinct_table_cnt": "table", "distinct_pit_cnt": "pit", "distinct_gaming_area_cnt": "area"}[name]
+                c = F.count_if((F.col("kind") == kind) & within(d)).cast("double")
+            to[f"{name}_{d}d"] = c
+    whole = at.groupBy("snap", "canonical_id").agg(F.max("date").alias("_last"), F.min("date").alias("_first"), F.sum("num_games_with_wager").alias("_games"), *[c.alias(k) for k, c in cols.items()]).where("_games > 1")
+    kinds = F.explode(F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in ("date", "table", "pit", "area")]), lambda x: x["value"].isNotNull() | (x["kind"] == "table")))
+    each = at.select("snap", "canonical_id", "day", "turnover", kinds.alias("x")).select("*", "x.*").groupBy("snap", "canonical_id", "kind", "value").agg(F.max("day").alias("day"), *[total("turnover", d).alias(f"_t{d}") for d in (30, 90)])
+    of_table = F.col("kind") == "table"
+    places = {k: F.count_if(F.col("value").isNotNull() & (F.col("kind") == "table") & within(int(k.rsplit("_", 1)[1][:-1]))).cast("double") if k.startswith("distinct_table") and int(k.rsplit("_", 1)[1][:-1]) <= most_days else c for k, c in places.items()}
+    spread = each.groupBy("snap", "canonical_id").agg(*[c.alias(k) for k, c in places.items()], *[F.max(F.when(of_table, F.col(f"_t{d}"))).alias(f"_t{d}") for d in (30, 90)])
+    out = whole.join(spread, ["snap", "canonical_id"]).withColumn("snapshot_us", F.col("snap") * DAY + phase)
+    day = F.to_date(F.timestamp_micros("snapshot_us"))
+    out = out.withColumns({"days_since_last_session": F.datediff(day, "_last").cast("double"), "days_since_first_session": F.datediff(day, "_first").cast("double")})
     per = lambda a, b: F.col(a) / F.nullif(F.col(b), F.lit(0.0))
     out = out.withColumns({
         **{f"turnover_per_bet_mean_{d}d": per(f"turnover_sum_{d}d", f"num_bets_sum_{d}d") for d in (30, 180)},
@@ -73,7 +95,8 @@ def player_profile(rows: DataFrame, snapshots: DataFrame, delay: int = 7 * MINUT
         "active_days_per_session_30d": per("active_days_30d", "sessions_30d"),
         **{f"top_table_share_{d}d": per(f"_t{d}", f"turnover_sum_{d}d") for d in (30, 90)},
     })
-    return out.withColumn("turnover_per_bet_30d_over_180d", per("turnover_per_bet_mean_30d", "turnover_per_bet_mean_180d")).drop("_games", "_t30", "_t90")
+    out = out.withColumn("turnover_per_bet_30d_over_180d", per("turnover_per_bet_mean_30d", "turnover_per_bet_mean_180d"))
+    return out.drop("snap", "_first", "_last", "_games", "_t30", "_t90")
 
 
 def frozen_profile(rows: DataFrame, at_us: int, days: int = 30) -> DataFrame:
@@ -101,3 +124,34 @@ def patron_history(sessions: DataFrame) -> DataFrame:
     df = dedup_sessions(sessions).select(F.coalesce(card, F.col("player_id").cast("string")).alias("canonical_id"), card.isNotNull().alias("rated"), F.coalesce("end_us", "lud_us").alias("us"))
     by = df.groupBy("canonical_id").agg(F.count("*").alias("sessions"), F.min("us").alias("first_us"), F.max("us").alias("last_us"), F.bool_or("rated").alias("rated"))
     return by.withColumn("span_days", (F.col("last_us") - F.col("first_us")) / DAY)
+
+
+def history_summary(history: DataFrame, thresholds: tuple[int, ...] = (10, 50, 100), top: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Of ``patron_history``: ids, quantiles of sessions and the share of ids above each threshold, by rated; and the ids
+    of the longest spans. Quantiles come from counts by value, so that no task holds all of them."""
+    counts = history.groupBy("rated", "sessions").agg(F.count("*").alias("n"))
+    shares = counts.groupBy("rated").agg(F.sum("n").alias("ids"), *[(F.sum(F.when(F.col("sessions") > t, F.col("n")).otherwise(0)) / F.sum("n")).alias(f"over_{t}") for t in thresholds])
+    quantiles = value_quantiles(history, "sessions", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, "rated")
+    return shares.join(quantiles, "rated"), history.orderBy(F.desc("span_days"), "canonical_id").limit(top)
+
+
+def merged_profiles(ids: DataFrame, *sources: DataFrame, key: str = "canonical_id") -> DataFrame:
+    """For each id the first value that isn't null of each column, of sources in order, and the number of the source that
+    had the id first, from 1."""
+    out = ids.select(key).distinct()
+    columns = list(dict.fromkeys(c for s in sources for c in s.columns if c != key))
+    for i, s in enumerate(sources):
+        out = out.join(s.select(key, F.lit(i + 1).alias(f"_in{i}"), *[F.col(c).alias(f"_{i}_{c}") for c in columns if c in s.columns]), key, "left")
+    merged = [F.coalesce(*[F.col(f"_{i}_{c}") for i, s in enumerate(sources) if c in s.columns]).alias(c) for c in columns]
+    return out.select(key, *merged, F.coalesce(*[F.col(f"_in{i}") for i in range(len(sources))]).alias("source"))
+
+
+def profiles_at(ids: DataFrame, profiles: DataFrame, at_us: int, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """For each id its newest profile at or before a time, nulls without one; and counts of ids, of those without a
+    profile, and of rows that came too late."""
+    wanted = ids.select("canonical_id").where("canonical_id is not null").distinct()
+    near = profiles.join(wanted, "canonical_id", "left_semi")
+    best = near.where(F.col("snapshot_us") <= at_us).groupBy("canonical_id").agg(F.max_by(F.struct("snapshot_us", *columns), "snapshot_us").alias("_r"))
+    out = wanted.join(best, "canonical_id", "left").select("canonical_id", "_r.*")
+    late = near.agg(F.count_if(F.col("snapshot_us") > at_us).alias("dropped_rows"))
+    return out, out.agg(F.count("*").alias("ids"), F.count_if(F.col("snapshot_us").isNull()).alias("missing")).join(F.broadcast(late))  # one row each

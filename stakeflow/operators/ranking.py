@@ -15,13 +15,13 @@ from stakeflow.sources.materialise import materialised
 RECALLS, BETA = (0.001, 0.01, 0.1, 0.5), 0.5
 
 
-def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column], parts: int = 64) -> DataFrame:
+def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """Adds running sums over all rows in a global order, by name.
 
-    Rows are range-partitioned, and written down with their partition, as ranges come from a sample; the totals of
-    partitions, one row each, are summed up and joined back.
+    Rows are range-partitioned, into as many parts as the session shuffles into or fewer, and written down with their
+    part, as ranges come from a sample; the totals of parts, one row each, are summed up and joined back.
     """
-    ranged = materialised(df.withColumns({f"_v_{k}": c for k, c in sums.items()}).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    ranged = materialised(df.withColumns({f"_v_{k}": c for k, c in sums.items()}).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     totals = ranged.groupBy("_part").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a partition
     offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums])
@@ -31,9 +31,33 @@ def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column], par
     return out.drop("_part", *[f"_{p}_{k}" for p in "vo" for k in sums])
 
 
-def global_index(df: DataFrame, *order: Column, name: str = "row_index", parts: int = 64) -> DataFrame:
+def value_quantiles(df: DataFrame, column: str, quantiles: dict[str, float], *by: str) -> DataFrame:
+    """Exact interpolated quantiles of each group, by name; nulls and NaN don't count, and groups of nothing else go.
+
+    Values are counted first, and put in one order with their group, so that no task holds a group's values."""
+    v = F.col(column).cast("double")
+    counts = df.where(F.col(column).isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("_v")).agg(F.count("*").alias("_n"))
+    run = prefix_sums(counts, [*[F.col(c).asc_nulls_first() for c in by], F.col("_v").asc()], {"_upto": F.col("_n")})
+    whole = run.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_n")).alias("_before"), F.sum("_n").alias("_all"))
+    if by:
+        same = [run[c].eqNullSafe(whole[f"_g_{c}"]) for c in by] if (whole := whole.withColumnsRenamed({c: f"_g_{c}" for c in by})) else []
+        at = run.join(whole, same).drop(*[f"_g_{c}" for c in by])
+    else:
+        at = run.join(F.broadcast(whole))  # one row
+    first, last = F.col("_upto") - F.col("_n") - F.col("_before"), F.col("_upto") - F.col("_before")
+    out = []
+    for name, p in quantiles.items():
+        place = F.lit(p) * (F.col("_all") - 1)
+        lo, hi = F.floor(place), F.ceil(place)
+        value = lambda i: F.max(F.when((first <= i) & (i < last), F.col("_v")))
+        out += [value(lo).alias(f"_lo_{name}"), value(hi).alias(f"_hi_{name}"), F.max(place - lo).alias(f"_part_{name}")]
+    got = at.groupBy(*by).agg(*out)
+    return got.select(*by, *[(F.col(f"_lo_{n}") + F.col(f"_part_{n}") * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n) for n in quantiles])
+
+
+def global_index(df: DataFrame, *order: Column, name: str = "row_index") -> DataFrame:
     """Adds the row's number from 0 in a global order that has no ties."""
-    return prefix_sums(df, list(order), {name: F.lit(1).cast("long")}, parts).withColumn(name, F.col(name) - 1)
+    return prefix_sums(df, list(order), {name: F.lit(1).cast("long")}).withColumn(name, F.col(name) - 1)
 
 
 def pr_curve(scored: DataFrame, *by: str) -> DataFrame:
@@ -117,8 +141,8 @@ def worst(segments: DataFrame, k: int = 10, least: int = 1) -> DataFrame:
 def quantile_weights(df: DataFrame, proxy: Column, negative: tuple[float, float] = (0.90, 1.6), positive: tuple[float, float] = (0.75, 1.15)) -> DataFrame:
     """Adds weight: rows at or above their label's quantile of the proxy weigh more."""
     df = df.withColumn("_proxy", proxy)
-    q = df.groupBy("label").agg(F.percentile("_proxy", F.lit(negative[0])).alias("_neg"), F.percentile("_proxy", F.lit(positive[0])).alias("_pos"))
-    j = df.join(F.broadcast(q), "label", "left")
+    q = value_quantiles(df, "_proxy", {"_neg": negative[0], "_pos": positive[0]}, "label").where(F.col("label").isin(0, 1))
+    j = df.join(F.broadcast(q), "label", "left")  # two rows
     w = F.when((F.col("label") == 0) & (F.col("_proxy") >= F.col("_neg")), negative[1]).when((F.col("label") == 1) & (F.col("_proxy") >= F.col("_pos")), positive[1]).otherwise(1.0)
     return j.withColumn("weight", w).drop("_proxy", "_neg", "_pos")
 
@@ -142,3 +166,48 @@ def decile_labels(df: DataFrame, column: str, name: str = "decile") -> DataFrame
 
 def decile_bounds(labelled: DataFrame, column: str, name: str = "decile") -> DataFrame:
     return labelled.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+
+
+def precision_at_recall(scored: DataFrame, recall: float, tie: str = "bet_id") -> DataFrame:
+    """precision, threshold and achieved recall of the best point row by row, ties told apart by ``tie``, the first of
+    equals: one row. Zero precision at the last row's score where no point has the recall."""
+    ok = scored.where(F.col("score").isNotNull() & F.col("label").isin(0, 1)).select(tie, "score", "label")
+    run = materialised(prefix_sums(ok, [F.desc("score"), F.asc(tie)], {"_n": F.lit(1), "_tp": F.col("label")}))
+    total = run.agg(F.sum("label").alias("_pos"), F.min("score").alias("_low"), F.max("score").alias("_high"))
+    points = run.join(F.broadcast(total.select("_pos"))).where(F.col("_tp") / F.nullif("_pos", F.lit(0)) >= recall)  # one row
+    best = points.agg(F.max_by(F.struct((F.col("_tp") / F.col("_n")).alias("p"), "score", (F.col("_tp") / F.col("_pos")).alias("r")), F.struct(F.col("_tp") / F.col("_n"), -F.col("_n"))).alias("b"))
+    out = best.join(F.broadcast(total))
+    none = F.col("b").isNull()
+    return out.select(
+        F.coalesce("b.p", F.lit(0.0)).alias("precision"), F.when(none, F.when(F.col("_pos") > 0, F.col("_low")).otherwise(F.coalesce("_high", F.lit(0.0)))).otherwise(F.col("b.score")).alias("threshold"),
+        F.when(none, F.when(F.col("_pos") > 0, 1.0).otherwise(0.0)).otherwise(F.col("b.r")).alias("recall"),
+    )
+
+
+def operating_points(scored: DataFrame, threshold: float, hours: float, recalls: tuple[float, ...] = RECALLS, min_alerts: int = 1) -> DataFrame:
+    """``micro_metrics`` with the average precision, and the threshold, precision and alerts an hour at each recall floor."""
+    curve = materialised(pr_curve(scored))
+    out = micro_metrics(scored, threshold, hours).join(F.broadcast(average_precision(curve)), how="left")  # one row each
+    for r in recalls:
+        name = f"{r:g}".replace(".", "_")
+        pick = pick_threshold(curve, r, min_alerts)
+        pick = pick.select(F.col("threshold").alias(f"threshold_r{name}"), F.col("precision").alias(f"precision_r{name}"), (F.col("alerts") / hours).alias(f"alerts_per_hour_r{name}"))
+        out = out.join(F.broadcast(pick), how="left")
+    return out
+
+
+def rank_deciles(df: DataFrame, column: str, tie: str, name: str = "decile") -> DataFrame:
+    """Adds 1 to 10 by plain rank, ``int(rank * 10 / n) + 1``, ties told apart by ``tie``; nulls and NaN aren't ranked."""
+    ok = F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
+    keys = global_index(df.where(ok).select(F.col(tie).alias("_tie"), F.col(column).alias("_v")), F.col("_v").asc(), F.col("_tie").asc(), name="_rank")
+    n = df.where(ok).count()
+    bucket = keys.select("_tie", F.least(F.lit(10), F.floor(F.col("_rank") * 10 / max(1, n)) + 1).cast("int").alias(name))
+    return df.join(bucket, df[tie] == bucket["_tie"], "left").drop("_tie")
+
+
+def slice_report(scored: DataFrame, threshold: float, *dims: str, least: int = 30) -> DataFrame:
+    """``segment_errors`` with each segment's precision less that of all rows, and whether it has few rows."""
+    hit, pos = F.col("score") >= threshold, F.col("label") == 1
+    whole = scored.agg((F.count_if(hit & pos) / F.nullif(F.count_if(hit), F.lit(0))).alias("_precision"))
+    df = segment_errors(scored, threshold, *dims).join(F.broadcast(whole))  # one row
+    return df.withColumns({"precision_delta": F.col("precision") - F.col("_precision"), "low_n": F.col("n") < least}).drop("_precision")

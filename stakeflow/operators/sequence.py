@@ -101,20 +101,33 @@ def run_sequence(bets: DataFrame, key: str = "player_id", gap: int = 30 * MINUTE
     return df.withColumn("run_seq", F.sum("_new").over(so_far(key)).cast("long")).drop("_new")
 
 
-def table_head_count(bets: DataFrame, start: int = 31 * MINUTE, end: int = MINUTE, placeholder: int = -1, bucket: int | None = None) -> DataFrame:
+def table_head_count(bets: DataFrame, start: int = 31 * MINUTE, end: int = MINUTE, placeholder: int = -1, bucket: int | None = None, cutoff_us: int | None = None) -> DataFrame:
     """Adds head_count: distinct players at the table from ``start`` to ``end`` before the bet, bounds included.
 
-    A placeholder or null player isn't counted. One table may hold a third of all rows, so that its rows are cut into
-    time buckets of four times the window, each with a copy of the rows of the window before it.
+    A placeholder or null player isn't counted, nor are bets less than ``end`` before the cutoff. A player's bets that
+    reach one another are a stay, which counts one from its beginning to its end; the count is a running sum of both.
+    One table may hold a third of all rows, so that its time is cut into buckets, each of which begins with the stays
+    that reach into it.
     """
     width = bucket or 4 * start
-    own = F.floor(F.col("us") / width)
-    reach = F.floor((F.col("us") + start) / width)
-    valid = F.col("player_id").isNotNull() & (F.col("player_id") != placeholder)
-    df = bets.where("table_id is not null and us is not null").withColumns({"_own": own, "_bucket": F.explode(F.sequence(own, reach))})
-    w = Window.partitionBy("table_id", "_bucket").orderBy("us").rangeBetween(-start, -end)
-    df = df.withColumn("head_count", F.size(F.collect_set(F.when(valid, F.col("player_id"))).over(w)).cast("long"))
-    return df.where(F.col("_bucket") == F.col("_own")).drop("_own", "_bucket")
+    rows = bets.where("table_id is not null and us is not null")
+    pool = rows.where(F.col("player_id").isNotNull() & (F.col("player_id") != placeholder)).select("table_id", "player_id", "us")
+    pool = pool if cutoff_us is None else pool.where(F.col("us") <= cutoff_us - end)
+    order = Window.partitionBy("table_id", "player_id").orderBy("us")
+    apart = F.when(F.col("us") - F.lag("us").over(order) <= start - end, 0).otherwise(1)
+    stays = pool.withColumn("_new", apart).withColumn("_stay", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    stays = stays.groupBy("table_id", "player_id", "_stay").agg((F.min("us") + end).alias("_from"), (F.max("us") + start + 1).alias("_to"))
+    first = F.floor(F.col("_from") / width)
+    parts = stays.select("table_id", "_from", "_to", F.explode(F.sequence(first, F.floor((F.col("_to") - 1) / width))).alias("_bucket"))
+    none = F.lit(None).cast(rows.select(F.struct(*rows.columns).alias("r")).schema["r"].dataType)
+    step = lambda at, n: F.struct(at.alias("us"), F.lit(n).alias("step"))
+    ends = F.when(F.col("_to") < (F.col("_bucket") + 1) * width, step(F.col("_to"), -1))
+    steps = parts.select("table_id", "_bucket", F.explode(F.array_compact(F.array(step(F.greatest("_from", F.col("_bucket") * width), 1), ends))).alias("s"))
+    events = steps.select(F.col("table_id").alias("_table"), "_bucket", F.col("s.us").alias("_us"), F.col("s.step").alias("_step"), F.lit(0).alias("_kind"), none.alias("_row"))
+    seen = rows.select(F.col("table_id").alias("_table"), F.floor(F.col("us") / width).alias("_bucket"), F.col("us").alias("_us"), F.lit(0).alias("_step"), F.lit(1).alias("_kind"), F.struct(*rows.columns).alias("_row"))
+    run = Window.partitionBy("_table", "_bucket").orderBy("_us", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    counted = seen.unionByName(events).withColumn("head_count", F.sum("_step").over(run).cast("long")).where("_kind = 1")
+    return counted.select("_row.*", "head_count")
 
 
 def trip_sequence(runs: DataFrame, empty_days: int = 3) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stakeflow.operators.ranking import global_index
@@ -13,9 +13,38 @@ DAY = 86_400_000_000
 def time_ordered_split(df: DataFrame, train: float = 0.70, valid: float = 0.15, order: tuple[str, ...] = ("us", "canonical_id", "bet_id")) -> DataFrame:
     """Adds split: the first share of rows in order is train, the next valid, the rest test; nulls last."""
     n = df.count()
-    at = global_index(df, *[F.asc_nulls_last(c) for c in order])
-    a, b = int(n * train), int(n * (train + valid))
-    return at.withColumn("split", F.when(F.col("row_index") < a, "train").when(F.col("row_index") < b, "valid").otherwise("test")).drop("row_index")
+    return _cut(df, order, {"train": 0, "valid": int(n * train), "test": int(n * (train + valid))})
+
+
+def boundaries(df: DataFrame, order: tuple[str, ...], at: list[int]) -> dict[int, Row]:
+    """The order's values in the rows of the given numbers, from 0, in order, nulls last. Only the order's columns are
+    dealt, and only the rows asked for come to the driver."""
+    keys = df.select(*order)
+    rows = global_index(keys, *[F.asc_nulls_last(c) for c in order]).where(F.col("row_index").isin(at)).collect()
+    return {r.row_index: r for r in rows}
+
+
+def not_before(row: Row, order: tuple[str, ...]) -> Column:
+    """Whether a row isn't before another in an order, nulls last."""
+    out = F.lit(True)
+    for c in reversed(order):
+        if row[c] is None:
+            out = F.col(c).isNull() & out
+        else:
+            out = F.col(c).isNull() | (F.col(c) > F.lit(row[c])) | (F.col(c) == F.lit(row[c])) & out
+    return out
+
+
+def _cut(df: DataFrame, order: tuple[str, ...], starts: dict[str, int]) -> DataFrame:
+    """Adds split: the last name whose first row, by its number, isn't after the row. The order has no ties."""
+    at = boundaries(df, order, [n for n in starts.values() if n])
+    split = F.lit(None).cast("string")
+    for name, n in sorted(starts.items(), key=lambda x: x[1]):
+        if not n:
+            split = F.lit(name)
+        elif n in at:
+            split = F.when(not_before(at[n], order), name).otherwise(split)
+    return df.withColumn("split", split)
 
 
 def split_summary(df: DataFrame) -> DataFrame:
@@ -56,11 +85,15 @@ def expanding_folds(df: DataFrame, period: str, holdout: int = 1, min_positives:
 def purged_splits(df: DataFrame, n_splits: int = 4, purge: int = DAY, order: tuple[str, ...] = ("us", "bet_id")) -> DataFrame:
     """Rows of each fold and role: block k validates, and rows before it by more than ``purge`` train."""
     n = df.count()
-    at = global_index(df, *[F.col(c).asc() for c in order]).withColumn("block", F.least(F.floor(F.col("row_index") * (n_splits + 1) / n), F.lit(n_splits)))
-    starts = at.where("block > 0").groupBy(F.col("block").alias("fold")).agg(F.min("us").alias("valid_start"))
-    each = at.join(F.broadcast(starts), F.col("block") <= F.col("fold"))
+    firsts = [-(-k * n // (n_splits + 1)) for k in range(n_splits + 1)]  # the first row of each block
+    rows = boundaries(df, order, firsts[1:])
+    block = F.lit(0)
+    for k in range(1, n_splits + 1):
+        block = F.when(not_before(rows[firsts[k]], order), k).otherwise(block) if firsts[k] in rows else block
+    starts = F.array(*[F.struct(F.lit(k).alias("fold"), F.lit(rows[firsts[k]]["us"]).alias("valid_start")) for k in range(1, n_splits + 1) if firsts[k] in rows])
+    each = df.withColumn("block", block).withColumn("s", F.explode(F.filter(starts, lambda s: F.col("block") <= s["fold"]))).select("*", "s.*").drop("s")
     role = F.when(F.col("block") == F.col("fold"), "valid").when(F.col("us") < F.col("valid_start") - purge, "train")
-    return each.withColumn("role", role).where("role is not null").drop("row_index", "block", "valid_start")
+    return each.withColumn("role", role).where("role is not null").drop("block", "valid_start")
 
 
 def hash_top_k(df: DataFrame, k: int, key: str = "bet_id") -> DataFrame:
@@ -94,3 +127,20 @@ def missing_snapshots_by_id(present: DataFrame, key: str = "canonical_id") -> Da
     ends = present.agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
     wanted = pairs.select(key).distinct().crossJoin(F.broadcast(ends)).select(key, F.explode(F.sequence("_lo", "_hi")).alias("day"))
     return wanted.join(pairs, [key, "day"], "left_anti")
+
+
+def temporal_split(df: DataFrame, train: float, valid: float, order: tuple[str, ...] = ("us", "bet_id")) -> DataFrame:
+    """Adds split: the first share in time is train, a share of the rest valid, what is left test. No part may be empty."""
+    if not (0 < train < 1 and 0 < valid < 1):
+        raise ValueError("shares lie between 0 and 1")
+    n = df.count()
+    a = max(1, int(n * train))
+    b = a + max(1, int((n - a) * valid))
+    if n < 8 or b >= n:
+        raise ValueError(f"{n} rows are too few")
+    return _cut(df, order, {"train": 0, "valid": a, "test": b})
+
+
+def latest_month_end(day: Column) -> Column:
+    """The last day of a month that is not after a day."""
+    return F.when(day == F.last_day(day), day).otherwise(F.date_sub(F.trunc(day, "month"), 1))

@@ -37,15 +37,15 @@ def a9_ingest_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(audit.ingest_delay(bets(spark, sf_dir), "us", "etl_us", 300, "table_id"))
 
 
-@query("""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS rows, 0::BIGINT AS nulls, 0.0::DOUBLE AS negative, round(count(*) FILTER (d <= 60) / count(*), 6) + 0 AS in_1m, round(count(*) FILTER (d <= 420) / count(*), 6) + 0 AS in_7m, round(count(*) FILTER (d > 86400) / count(*), 6) + 0 AS over_1d,
-round(avg(d), 6) + 0 AS mean, round(stddev_samp(d), 6) + 0 AS sd, min(d)::DOUBLE AS least, max(d)::DOUBLE AS most FROM (SELECT o_orderdate, o_orderkey * 37 % 100000 AS d FROM orders) GROUP BY 1""")
+@query(f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS rows, count(*) - count(d) AS nulls, count(*) FILTER (d >= -1) AS in_1970, round(count(*) FILTER (d < 0) / count(d), 6) + 0 AS negative, round(count(*) FILTER (d <= 60) / count(d), 6) + 0 AS in_1m, round(count(*) FILTER (d <= 420) / count(d), 6) + 0 AS in_7m, round(count(*) FILTER (d > 86400) / count(d), 6) + 0 AS over_1d,
+round(avg(d), 6) + 0 AS mean, round(stddev_samp(d), 6) + 0 AS sd, min(d)::DOUBLE AS least, max(d)::DOUBLE AS most, {", ".join(f"round(quantile_cont(d, {p}), 6) + 0 AS p{int(100 * p)}" for p in (0.5, 0.9, 0.95, 0.99))} FROM (SELECT o_orderdate, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey * 37 % 100000 - CASE WHEN o_orderkey % 7 = 0 THEN 40000000 ELSE 0 END END AS d FROM orders) GROUP BY 1""")
 def a10_delay_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").select(F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"), F.lit(0).cast("long").alias("us"), (F.col("o_orderkey") * 37 % 100000 * 1_000_000).alias("etl_us"))
+    o = read(spark, sf_dir, "orders").select(F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"), F.lit(0).cast("long").alias("us"), F.when(F.col("o_orderkey") % 10 != 0, (F.col("o_orderkey") * 37 % 100000 - F.when(F.col("o_orderkey") % 7 == 0, 40_000_000).otherwise(0)) * 1_000_000).alias("etl_us"))
     return rounded(audit.delay_profile(o, "month"))
 
 
 @query(f"""WITH {BETS}, h AS (SELECT CAST('0x' || substr(sha256('bet_id=v' || bet_id || chr(31) || 'player_id=v' || player_id || chr(31) || 'status=v' || status || chr(31) || 'us=v' || us), 1, 15) AS BIGINT) AS h FROM bets)
-SELECT count(*) AS rows, CAST(sum(h) AS VARCHAR) AS sum, bit_xor(h) AS xor FROM h""")
+SELECT count(*) AS rows, CAST(sum(h) AS VARCHAR) AS sum, bit_xor(h) AS xor, CAST(sum(CAST(h % 1073741824 AS HUGEINT) * (h % 1073741824)) AS VARCHAR) AS squares FROM h""")
 def a12_frame_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.frame_digest(bets(spark, sf_dir).select("bet_id", "player_id", "us", "status"))
 
@@ -112,7 +112,7 @@ def a39_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.cardinality(sessions(spark, sf_dir), "player_id", "casino_player_id")
 
 
-@query(f"WITH {SESSIONS}, {LATEST}, l AS (SELECT *, (lud_us - end_us) / 1000000 AS lag FROM latest) SELECT count(*) AS rows, count(*) FILTER (end_us IS NULL) AS no_end, count(*) FILTER (end_us < start_us) AS negative, round(quantile_cont(lag, 0.5), 6) + 0 AS p50_lag, round(quantile_cont(lag, 0.99), 6) + 0 AS p99_lag FROM l")
+@query(f"WITH {SESSIONS}, {LATEST}, l AS (SELECT *, (lud_us - end_us) / 1000000 AS lag FROM latest) SELECT count(*) AS rows, count(*) FILTER (start_us IS NULL) AS no_start, count(*) FILTER (end_us IS NULL) AS no_end, count(*) FILTER (end_us < start_us) AS negative, {', '.join(f'round(quantile_cont({e}, {p}), 6) + 0 AS p{int(100 * p)}_{n}' for n, e in (('lag', 'lag'), ('duration', '(end_us - start_us) / 60000000'), ('load', '(etl_us - lud_us) / 1000000')) for p in (0.5, 0.9, 0.99))} FROM l")
 def a41_time_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(audit.time_quality(sessions(spark, sf_dir)))
 

@@ -28,15 +28,15 @@ UNIT = 60 * MINUTE
 SHOWN = [f.id for f in features.BET_FEATURES if f.id not in ("prev_us", "wager_10_before", "prev_status")]
 
 
-def _ranges(*minutes: int) -> str:
-    return ", ".join(f"w{m} AS (PARTITION BY player_id ORDER BY t RANGE BETWEEN {m * UNIT * 1024 + 1023} PRECEDING AND CURRENT ROW)" for m in minutes)
+def _near(m: int) -> str:
+    return f"FILTER (b.us >= a.us - {m * UNIT})"
 
 
-DECLARED = f"""WITH {BETS}, k AS (SELECT *, us * 1024 + row_number() OVER (PARTITION BY player_id, us ORDER BY bet_id) AS t FROM bets),
-f AS (SELECT *, count(*) OVER w5 AS b5, count(*) OVER w15 AS b15, count(*) OVER w30 AS b30, us - lag(us) OVER o AS gone, sum(wager) OVER w30 AS s30, avg(wager) OVER w15 AS a15, avg(wager) OVER w5 AS a5, max(wager) OVER w15 AS m15, coalesce(stddev_samp(wager) OVER w15, 0.0) AS sd15,
-  count(*) OVER u AS cb, sum(wager) OVER u AS cw, lag(wager, 10) OVER o AS w10, lag(wager) OVER o AS pw, lag(status) OVER o AS ps, count(*) FILTER (status = 'LOSE') OVER w15 AS l15, count(*) FILTER (status = 'WIN') OVER w15 AS n15, count(*) FILTER (status = 'PUSH') OVER w15 AS p15,
-  avg(payout_odds) OVER w15 AS o15, sum(is_back_bet) OVER r20 AS bb, count(*) OVER r20 AS b20, min(position_idx) OVER w30 AS p0, max(position_idx) OVER w30 AS p1
-  FROM k WINDOW {_ranges(5, 15, 30)}, o AS (PARTITION BY player_id ORDER BY us, bet_id), u AS (PARTITION BY player_id ORDER BY us, bet_id ROWS UNBOUNDED PRECEDING), r20 AS (PARTITION BY player_id ORDER BY us, bet_id ROWS 20 PRECEDING))
+DECLARED = f"""WITH {BETS}, near AS (SELECT a.bet_id, count(*) {_near(5)} AS b5, count(*) {_near(15)} AS b15, count(*) AS b30, sum(b.wager) AS s30, avg(b.wager) {_near(15)} AS a15, avg(b.wager) {_near(5)} AS a5, max(b.wager) {_near(15)} AS m15, coalesce(stddev_samp(b.wager) {_near(15)}, 0.0) AS sd15,
+  {", ".join(f"count(*) FILTER (b.us >= a.us - {15 * UNIT} AND b.status = '{x}') AS {n}" for x, n in (("LOSE", "l15"), ("WIN", "n15"), ("PUSH", "p15")))}, avg(b.payout_odds) {_near(15)} AS o15, min(b.position_idx) AS p0, max(b.position_idx) AS p1
+  FROM bets a JOIN bets b ON a.player_id = b.player_id AND b.us >= a.us - {30 * UNIT} AND (b.us < a.us OR b.us = a.us AND b.bet_id <= a.bet_id) GROUP BY a.bet_id),
+f AS (SELECT *, us - lag(us) OVER o AS gone, count(*) OVER u AS cb, sum(wager) OVER u AS cw, lag(wager, 10) OVER o AS w10, lag(wager) OVER o AS pw, lag(status) OVER o AS ps, sum(is_back_bet) OVER r20 AS bb, count(*) OVER r20 AS b20
+  FROM bets JOIN near USING (bet_id) WINDOW o AS (PARTITION BY player_id ORDER BY us, bet_id), u AS (PARTITION BY player_id ORDER BY us, bet_id ROWS UNBOUNDED PRECEDING), r20 AS (PARTITION BY player_id ORDER BY us, bet_id ROWS 20 PRECEDING))
 SELECT bet_id, b5::DOUBLE AS bets_cnt_w5m, b15::DOUBLE AS bets_cnt_w15m, b30::DOUBLE AS bets_cnt_w30m, least(1.0, b5 / b30) AS pace_drop_ratio, least(2.0, b15 / b30) AS pace_drop_ratio_w15m_w30m, greatest(0.0, least(10080.0, coalesce(gone / 60000000, 0.0))) AS prev_bet_gap_min,
   s30 AS wager_sum_w30m, a15 AS wager_avg_w15m, a5 AS wager_avg_w5m, m15 AS wager_max_w15m, sd15 AS wager_std_w15m, least(10.0, coalesce(a5 / nullif(a15, 0), 0.0)) AS wager_w5m_over_w15m, cb::DOUBLE AS cum_bets, cw AS cum_wager, cw / cb AS avg_wager_sofar, least(10.0, coalesce(a5 / nullif(cw / cb, 0), 0.0)) AS wager_recent_vs_session_avg,
   coalesce((wager - w10) / 10, 0.0) AS wager_slope_w10bets, coalesce(pw, 0.0) AS prev_wager, CASE WHEN ps = 'LOSE' THEN 1.0 ELSE 0.0 END::DOUBLE AS prev_bet_was_loss, l15::DOUBLE AS lose_cnt_w15m, n15::DOUBLE AS win_cnt_w15m, p15::DOUBLE AS push_cnt_w15m, n15 / b15 AS win_rate_w15m, (l15 + p15) / b15 AS non_win_rate_w15m,
@@ -52,15 +52,15 @@ def w8_declared_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TIMELINE = f"""{GAMES}, g AS (SELECT * FROM (SELECT * FROM games QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY ts_ms DESC) = 1) WHERE game_status = 'RESOLVED'),
-c AS (SELECT *, CASE WHEN outcome = 'VOID' OR lag(outcome) OVER o IS NULL OR lag(outcome) OVER o <> outcome THEN 1 ELSE 0 END AS ch, lag(total_turnover) OVER o AS lt, lag(casino_win) OVER o AS lw, us * 1024 + row_number() OVER (PARTITION BY table_id, us ORDER BY game_id) AS t FROM g WINDOW o AS (PARTITION BY table_id ORDER BY us, game_id)),
+c AS (SELECT *, CASE WHEN outcome = 'VOID' OR lag(outcome) OVER o IS NULL OR lag(outcome) OVER o <> outcome THEN 1 ELSE 0 END AS ch, lag(total_turnover) OVER o AS lt, lag(casino_win) OVER o AS lw FROM g WINDOW o AS (PARTITION BY table_id ORDER BY us, game_id)),
 d AS (SELECT *, sum(ch) OVER (PARTITION BY table_id ORDER BY us, game_id ROWS UNBOUNDED PRECEDING) AS grp FROM c),
 s AS (SELECT *, CASE WHEN outcome = 'VOID' THEN 0 ELSE count(*) OVER (PARTITION BY table_id, grp ORDER BY us, game_id ROWS UNBOUNDED PRECEDING) END AS streak FROM d),
+near AS (SELECT a.game_id, sum(b.lt) FILTER (b.us > a.us - {5 * UNIT}) AS t5, sum(b.lt) AS t15, sum(b.lw) AS n15 FROM c a JOIN c b ON a.table_id = b.table_id AND b.us > a.us - {15 * UNIT} AND (b.us < a.us OR b.us = a.us AND b.game_id <= a.game_id) GROUP BY a.game_id),
 line AS (SELECT table_id, game_id, us, CAST(coalesce(lag(streak) OVER o, 0) AS BIGINT) AS current_outcome_streak_len,
   {", ".join(f"coalesce(avg(CASE WHEN outcome = '{x}' THEN 1.0 ELSE 0.0 END) OVER l20, 0.0)::DOUBLE AS {x.lower()}_rate_w20games" for x in ("BANKER", "PLAYER", "TIE"))},
   coalesce(lag(num_players) OVER o, 0) AS table_num_players, CASE WHEN coalesce(lag(num_players) OVER o, 0) = 1 THEN 1 ELSE 0 END AS patron_is_sole_player,
-  greatest(0.0, least(10.0, coalesce(sum(lt) OVER w5 / nullif(sum(lt) OVER w15, 0.0), 0.0))) AS table_turnover_w5m_over_w15m, greatest(-1e9, least(1e9, coalesce(sum(lw) OVER w15, 0.0))) AS table_net_outcome_w15m
-  FROM s WINDOW o AS (PARTITION BY table_id ORDER BY us, game_id), l20 AS (PARTITION BY table_id ORDER BY us, game_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING),
-  w5 AS (PARTITION BY table_id ORDER BY t RANGE BETWEEN {5 * UNIT * 1024 - 1024} PRECEDING AND CURRENT ROW), w15 AS (PARTITION BY table_id ORDER BY t RANGE BETWEEN {15 * UNIT * 1024 - 1024} PRECEDING AND CURRENT ROW))"""
+  greatest(0.0, least(10.0, coalesce(t5 / nullif(t15, 0.0), 0.0))) AS table_turnover_w5m_over_w15m, greatest(-1e9, least(1e9, coalesce(n15, 0.0))) AS table_net_outcome_w15m
+  FROM s JOIN near USING (game_id) WINDOW o AS (PARTITION BY table_id ORDER BY us, game_id), l20 AS (PARTITION BY table_id ORDER BY us, game_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
 GAME_OUT = "current_outcome_streak_len, round(banker_rate_w20games, 6) AS banker_rate_w20games, round(player_rate_w20games, 6) AS player_rate_w20games, round(tie_rate_w20games, 6) AS tie_rate_w20games, table_num_players, patron_is_sole_player, round(table_turnover_w5m_over_w15m, 6) AS table_turnover_w5m_over_w15m, round(table_net_outcome_w15m, 4) + 0 AS table_net_outcome_w15m"
 
 
@@ -91,16 +91,21 @@ def j16_game_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Snapshots of quarters.
 SNAPS = [CUTOFF + q * 91 * DAY for q in range(-3, 1)]
+#: SQL of a measure of a window, which stands for the braces.
+_MEASURES = {
+    "sessions": "count(*) {}::DOUBLE", "active_days": "count(DISTINCT session_date) {}::DOUBLE", "turnover_sum": "sum(turnover) {}", "player_win_sum": "sum(player_win) {}::DOUBLE", "theo_win_sum": "sum(theo_win) {}", "num_bets_sum": "CAST(sum(0) {} AS DOUBLE)",
+    "num_games_with_wager_sum": "CAST(sum(num_games_with_wager) {} AS DOUBLE)", "win_session_rate": "avg(CASE WHEN player_win > 0 THEN 1.0 ELSE 0.0 END) {}::DOUBLE", "avg_session_duration_min": "CAST(avg(CASE WHEN end_us IS NOT NULL THEN (session_us - start_us) / 60000000 END) {} AS DOUBLE)",
+    "distinct_table_cnt": "count(DISTINCT table_id) {}::DOUBLE", "distinct_pit_cnt": "count(DISTINCT pit_id) {}::DOUBLE", "distinct_gaming_area_cnt": "CAST(count(*) {} * 0 AS DOUBLE)",
+}
 PROFILE_SQL = f"""{MAPPING}, base AS (SELECT latest.*, m.canonical_id, coalesce(end_us, lud_us) AS session_us, CAST(make_timestamp(coalesce(end_us, lud_us)) AS DATE) AS session_date
   FROM latest JOIN mapping m USING (player_id) WHERE is_manual = 0 AND is_deleted = 0 AND is_canceled = 0 AND (turnover > 0 OR num_games_with_wager > 0)),
 put AS (SELECT base.*, s.snap AS snapshot_us FROM base JOIN (VALUES {", ".join(f"({s})" for s in SNAPS)}) s(snap) ON session_us + 420000000 <= snap AND session_us + 420000000 >= snap - {366 * DAY}),
-tbl AS (SELECT snapshot_us, canonical_id, max(a) AS a FROM (SELECT snapshot_us, canonical_id, table_id, sum(turnover) FILTER (session_us >= snapshot_us - {90 * DAY}) AS a FROM put GROUP BY ALL) GROUP BY ALL),
-prof AS (SELECT snapshot_us, canonical_id, (CAST(make_timestamp(snapshot_us) AS DATE) - max(session_date))::DOUBLE AS days_since_last_session, (CAST(make_timestamp(snapshot_us) AS DATE) - min(session_date))::DOUBLE AS days_since_first_session,
-  {", ".join(f"count(*) FILTER (session_us >= snapshot_us - {d * DAY})::DOUBLE AS sessions_{d}d" for d in (7, 30, 90, 180, 365))}, {", ".join(f"count(DISTINCT session_date) FILTER (session_us >= snapshot_us - {d * DAY})::DOUBLE AS active_days_{d}d" for d in (30, 90, 365))},
-  {", ".join(f"sum(turnover) FILTER (session_us >= snapshot_us - {d * DAY}) AS turnover_sum_{d}d" for d in (30, 90, 180))}, sum(player_win) FILTER (session_us >= snapshot_us - {180 * DAY})::DOUBLE AS player_win_sum_180d, sum(theo_win) FILTER (session_us >= snapshot_us - {180 * DAY}) AS theo_win_sum_180d,
-  avg(CASE WHEN player_win > 0 THEN 1.0 ELSE 0.0 END) FILTER (session_us >= snapshot_us - {180 * DAY})::DOUBLE AS win_session_rate_180d, avg((session_us - start_us) / 60000000) FILTER (session_us >= snapshot_us - {180 * DAY} AND end_us IS NOT NULL) AS avg_session_duration_min_180d,
-  count(DISTINCT table_id) FILTER (session_us >= snapshot_us - {90 * DAY})::DOUBLE AS distinct_table_cnt_90d FROM put GROUP BY snapshot_us, canonical_id HAVING sum(num_games_with_wager) > 1)"""
-PROFILE_OUT = ["days_since_last_session", "days_since_first_session", *[f"sessions_{d}d" for d in (7, 30, 90, 180, 365)], *[f"active_days_{d}d" for d in (30, 90, 365)], *[f"turnover_sum_{d}d" for d in (30, 90, 180)], "player_win_sum_180d", "theo_win_sum_180d", "win_session_rate_180d", "avg_session_duration_min_180d", "distinct_table_cnt_90d"]
+tbl AS (SELECT snapshot_us, canonical_id, max(a) AS t90, max(b) AS t30 FROM (SELECT snapshot_us, canonical_id, table_id, sum(turnover) FILTER (session_us >= snapshot_us - {90 * DAY}) AS a, sum(turnover) FILTER (session_us >= snapshot_us - {30 * DAY}) AS b FROM put GROUP BY ALL) GROUP BY ALL),
+plain AS (SELECT snapshot_us, canonical_id, (CAST(make_timestamp(snapshot_us) AS DATE) - max(session_date))::DOUBLE AS days_since_last_session, (CAST(make_timestamp(snapshot_us) AS DATE) - min(session_date))::DOUBLE AS days_since_first_session,
+  {", ".join(f"{_MEASURES[name].format(f'FILTER (session_us >= snapshot_us - {d * DAY})')} AS {name}_{d}d" for name, days in profile.WINDOWS.items() for d in days)}, 0.0::DOUBLE AS distinct_none FROM put GROUP BY snapshot_us, canonical_id HAVING sum(num_games_with_wager) > 1),
+prof AS (SELECT plain.* EXCLUDE (distinct_none), turnover_sum_30d / nullif(num_bets_sum_30d, 0) AS turnover_per_bet_mean_30d, turnover_sum_180d / nullif(num_bets_sum_180d, 0) AS turnover_per_bet_mean_180d, 1 + player_win_sum_30d / nullif(turnover_sum_30d, 0) AS actual_rtp_30d, 1 + player_win_sum_180d / nullif(turnover_sum_180d, 0) AS actual_rtp_180d,
+  player_win_sum_30d / nullif(theo_win_sum_30d, 0) AS actual_vs_theo_ratio_30d, turnover_sum_30d / nullif(turnover_sum_180d, 0) AS turnover_30d_over_180d, sessions_30d / nullif(sessions_180d, 0) AS sessions_30d_over_180d, sessions_7d / nullif(sessions_30d, 0) AS sessions_7d_over_30d, active_days_30d / nullif(sessions_30d, 0) AS active_days_per_session_30d,
+  t30 / nullif(turnover_sum_30d, 0) AS top_table_share_30d, t90 / nullif(turnover_sum_90d, 0) AS top_table_share_90d, (turnover_sum_30d / nullif(num_bets_sum_30d, 0)) / nullif(turnover_sum_180d / nullif(num_bets_sum_180d, 0), 0) AS turnover_per_bet_30d_over_180d FROM plain JOIN tbl USING (snapshot_us, canonical_id))"""
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,10 +114,10 @@ def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.player_profile(rows, spark.createDataFrame([(x,) for x in SNAPS], "snapshot_us long"))
 
 
-@query(f"WITH {PROFILE_SQL} SELECT p.snapshot_us, p.canonical_id, {', '.join(f'round({c}, 4) + 0 AS {c}' for c in PROFILE_OUT)}, round(a / nullif(turnover_sum_90d, 0), 6) AS top_table_share_90d, round(1 + player_win_sum_180d / nullif(turnover_sum_180d, 0), 6) AS actual_rtp_180d FROM prof p JOIN tbl USING (snapshot_us, canonical_id)")
+@query(f"WITH {PROFILE_SQL} SELECT snapshot_us, canonical_id, round(COLUMNS(* EXCLUDE (snapshot_us, canonical_id)), 4) + 0 FROM prof")
 def a1_player_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _profiles(spark, sf_dir)
-    return p.select("snapshot_us", "canonical_id", *[(F.round(c, 4) + 0).alias(c) for c in PROFILE_OUT], *[F.round(c, 6).alias(c) for c in ("top_table_share_90d", "actual_rtp_180d")])
+    return p.select("snapshot_us", "canonical_id", *[(F.round(c, 4) + 0).alias(c) for c in p.columns if c not in ("snapshot_us", "canonical_id")])
 
 
 @query(f"WITH {PROFILE_SQL} SELECT canonical_id, arg_max(sessions_30d, snapshot_us) AS sessions_30d, round(arg_max(turnover_sum_30d, snapshot_us) FILTER (turnover_sum_30d IS NOT NULL), 4) AS turnover_sum_30d FROM prof GROUP BY canonical_id")

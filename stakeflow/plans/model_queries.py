@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from stakeflow.operators import features, models, splits
 from stakeflow.plans.adapters import BETS, DAY, MINUTE, SESSIONS, bets, micros, read, scored, sessions
 from stakeflow.plans.sequence_queries import CUTOFF, END, LATEST
 from stakeflow.sources import tables
+from stakeflow.sources.materialise import shared_folder
 from stakeflow.streaming import queries as streams
 
 QUERIES: dict = {}
@@ -84,8 +85,9 @@ def s15_head_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BETS} SELECT gaming_day, count(*) AS rows, min(us) AS first_us, max(us) AS last_us FROM bets GROUP BY 1")
 def s16_write_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-days-")
-    return tables.write_partitions(bets(spark, sf_dir), f"{base}/bets-by-day-{spark.sparkContext.applicationId}")
+    at = f"{shared_folder(spark)}/bets-by-day-{uuid.uuid4().hex}"
+    tables.write_partitions(bets(spark, sf_dir), at)
+    return spark.read.parquet(at).groupBy("gaming_day").agg(F.count("*").alias("rows"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
 
 
 @query(f"WITH {BETS} SELECT session_id, CAST(sum(n) AS BIGINT) AS bets, round(sum(w), 6) + 0 AS wager, max(l) AS last_us FROM (SELECT session_id, count(*) AS n, sum(wager) AS w, max(us) AS l FROM bets GROUP BY session_id) GROUP BY session_id")
@@ -122,7 +124,8 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id AS bet_id FROM events")
 def t3_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read(spark, sf_dir, "events")  # sets the zone
-    return streams.stored(streams.dedup_stream(_stream(spark, sf_dir)).select("bet_id"))
+    twice = _stream(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    return streams.stored(streams.dedup_stream(twice).select("bet_id"))
 
 
 @query("SELECT user_id * 1000 + day(ts) AS session_id, count(*) AS bets, round(sum(value), 6) + 0 AS wager, epoch_us(min(ts)) AS first_us FROM events GROUP BY 1, CAST(ts AS DATE)")
@@ -138,3 +141,18 @@ def t5_runs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read(spark, sf_dir, "events")
     out = streams.stored(streams.runs_stream(_stream(spark, sf_dir), "719 minutes 59.999999 seconds"), "complete")
     return out.select("player_id", "bet_count", micros("run_start").alias("run_start_us"), micros("run_end").alias("run_end_us"))
+
+
+@query(f"WITH {BETS}, s AS (SELECT *, CASE WHEN lag(us) OVER w IS NULL OR us - lag(us) OVER w >= {720 * MINUTE} THEN 1 ELSE 0 END AS new FROM bets WINDOW w AS (PARTITION BY player_id ORDER BY us, bet_id)), q AS (SELECT *, sum(new) OVER (PARTITION BY player_id ORDER BY us, bet_id ROWS UNBOUNDED PRECEDING) AS r FROM s) SELECT player_id, count(*) AS bet_count, min(us) AS run_start_us, max(us) AS run_end_us FROM q GROUP BY player_id, r HAVING max(us) // 1000 * 1000 + {720 * MINUTE} - 1 <= (SELECT max(us) FROM bets) // 1000 * 1000 - {MINUTE}")
+def t5_runs_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In append mode: only runs that a pause has closed when the stream stands."""
+    read(spark, sf_dir, "events")
+    out = streams.stored(streams.runs_stream(_stream(spark, sf_dir), "719 minutes 59.999999 seconds"))
+    return out.select("player_id", "bet_count", micros("run_start").alias("run_start_us"), micros("run_end").alias("run_end_us"))
+
+
+@query("WITH k AS (SELECT *, unnest(generate_series(0, 3)) AS back FROM events), w AS (SELECT epoch_us(ts) // 900000000 * 900000000 - back * 900000000 AS start_us, value FROM k) SELECT start_us, count(*) AS rows, round(avg(value), 6) AS mean_score, count(*) FILTER (value > 50) AS alerts FROM w GROUP BY 1")
+def t10_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read(spark, sf_dir, "events")
+    df = _stream(spark, sf_dir).select("ts", F.col("wager").alias("score"), (F.col("wager") > 50).alias("is_alert"))
+    return streams.stored(streams.kpi_stream(df), "complete").select(micros("start").alias("start_us"), "rows", F.round("mean_score", 6).alias("mean_score"), "alerts")

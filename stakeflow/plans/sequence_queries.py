@@ -161,9 +161,8 @@ def w14_session_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seq.session_running(bets(spark, sf_dir)).selectExpr("bet_id", "session_bets", "round(session_wager, 4) AS session_wager", "round(session_minutes, 9) AS session_minutes", "round(session_average, 4) AS session_average", "round(bets_per_minute, 4) AS bets_per_minute")
 
 
-@query(f"""WITH {BETS}, k AS (SELECT *, us * 1024 + row_number() OVER (PARTITION BY session_id, us ORDER BY bet_id) AS t FROM bets)
-SELECT bet_id, {", ".join(f"count(*) OVER w{m} AS bets_last_{m}" for m in (300, 900))}, round(sum(wager) OVER w900, 4) AS wager_last_900 FROM k
-WINDOW {", ".join(f"w{m} AS (PARTITION BY session_id ORDER BY t RANGE BETWEEN {m * MINUTE * 1024 + 1023} PRECEDING AND CURRENT ROW)" for m in (300, 900))}""")
+@query(f"""WITH {BETS} SELECT a.bet_id, {", ".join(f"count(*) FILTER (b.us >= a.us - {m * MINUTE}) AS bets_last_{m}" for m in (300, 900))}, round(sum(b.wager), 4) AS wager_last_900
+FROM bets a JOIN bets b ON a.session_id = b.session_id AND b.us >= a.us - {900 * MINUTE} AND (b.us < a.us OR b.us = a.us AND b.bet_id <= a.bet_id) GROUP BY a.bet_id""")
 def w15_session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = seq.session_windows(bets(spark, sf_dir), (300, 900), (900,))
     return df.select("bet_id", "bets_last_300", "bets_last_900", F.round("wager_last_900", 4).alias("wager_last_900"))

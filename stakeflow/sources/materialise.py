@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's folder in ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary one is set."""
+    """The session's folder in ``spark.checkpoint.dir``; where that is unset, a single machine, as in tests,
+    gets a temporary one, and a cluster an error."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             import tempfile
 
             where = tempfile.mkdtemp(prefix="spark-checkpoint-")

@@ -65,9 +65,11 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def snapshot_id(inventory: DataFrame) -> str:
-    """A hash of the inventory's lines in order of names and hashes."""
+    """A hash of the inventory's lines: in order within 4,096 parts by hash, then of the parts' hashes in order."""
     line = F.concat_ws(" ", "name", F.col("size").cast("string"), "sha256")
-    return inventory.agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(line))), 256)).first()[0]
+    of = lambda c: F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(c))), 256)
+    parts = inventory.select(line.alias("line")).groupBy(F.pmod(F.xxhash64("line"), F.lit(4096)).alias("part")).agg(of("line").alias("h"))
+    return parts.agg(of(F.concat_ws(" ", F.lpad(F.col("part").cast("string"), 4, "0"), "h"))).first()[0]
 
 
 def head_tail(df: DataFrame, n: int, *order: str, head: bool = True, tail: bool = True) -> DataFrame:
@@ -147,3 +149,14 @@ def recent(df: DataFrame, since_us: int, limit: int | None = None) -> DataFrame:
 def to_local_naive(ts: Column, zone: str = "Asia/Hong_Kong") -> Column:
     """The wall time of an instant in a zone."""
     return F.from_utc_timestamp(ts, zone)
+
+
+def days_of_layout(spark: SparkSession, path: str, day: str = "gaming_day") -> DataFrame:
+    """The days that a partitioned folder has files for: the partition column alone, no column of the files is read."""
+    return spark.read.parquet(path).select(day).distinct()
+
+
+def write_backtest(scored: DataFrame, path: str, threshold: float) -> None:
+    """Predictions as Parquet, and the rated ones at or above the threshold as CSV of bet_id and score."""
+    scored.write.mode("overwrite").parquet(f"{path}/predictions")
+    export_csv(scored.where((F.col("score") >= threshold) & F.col("is_rated")).select("bet_id", "score"), f"{path}/alerts")
