@@ -32,9 +32,14 @@ def dedup_games(games: DataFrame) -> DataFrame:
     return newest(games, "game_id", F.desc_nulls_last("ts_ms"), F.desc_nulls_last("etl_us"), F.desc_nulls_last("us"))
 
 
-def resolved_games(games: DataFrame, seen_by_us: int | None = None) -> DataFrame:
-    """Rounds visible by a time, the newest version of each, of which the resolved ones stay."""
-    g = games if seen_by_us is None else games.where(F.col("etl_us") <= seen_by_us)
+def resolved_games(games: DataFrame, seen_by_us: int | None = None, tables: DataFrame | None = None, start_us: int | None = None, end_us: int | None = None) -> DataFrame:
+    """Rounds of ``tables`` in ``[start, end)`` visible by a time, or by the end if that is earlier; the newest version of
+    each, of which the resolved ones stay."""
+    seen = min((t for t in (seen_by_us, end_us) if t is not None), default=None)
+    g = games if seen is None else games.where(F.col("etl_us") <= seen)
+    g = g if start_us is None else g.where(F.col("us") >= start_us)
+    g = g if end_us is None else g.where(F.col("us") < end_us)
+    g = g if tables is None else only_ids(g, tables, "table_id")
     return dedup_games(g).where("game_status = 'RESOLVED'")
 
 

@@ -5,7 +5,8 @@ A record has an id, a kind, and an expression over columns and earlier features:
 * ``window``: an aggregate over ``minutes`` before the row, up to the row itself even among ties; or over ``rows``
   before it; or over all before it where neither is given;
 * ``lag``: the value ``rows`` before;
-* ``row``: an expression of the row.
+* ``row``: an expression of the row;
+* ``function``: a function of ``FUNCTIONS`` by its name, which takes the frame and the key and gives the column.
 
 ``fill`` replaces nulls (``ffill`` carries the last value on), ``clip`` bounds the result.
 """
@@ -13,7 +14,7 @@ A record has an id, a kind, and an expression over columns and earlier features:
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +41,13 @@ class Feature:
     depends_on: tuple[str, ...] = field(default=())
 
 
+#: Named functions: from the key to a column over its rows in order.
+FUNCTIONS: dict[str, Callable[[str], Column]] = {
+    "bets_so_far": lambda key: F.row_number().over(in_order(key)).cast("double"),
+    "minutes_since_last": lambda key: (F.col("us") - F.lag("us").over(in_order(key))) / MINUTE,
+}
+
+
 def validate_features(features: Iterable[Feature], columns: Iterable[str]) -> list[Feature]:
     """The records in an order in which each comes after what it depends on.
 
@@ -56,6 +64,10 @@ def validate_features(features: Iterable[Feature], columns: Iterable[str]) -> li
         text = f.expression
         if re.search(r";|--|/\*|\b(select|following|from|over|join)\b", text, re.I):
             raise ValueError(f"{f.id}: {text!r} isn't allowed")
+        if f.kind == "function":
+            if text not in FUNCTIONS:
+                raise ValueError(f"{f.id}: unknown function {text!r}")
+            continue
         if calls := {c.lower() for c in re.findall(r"\b(\w+)\s*\(", text)} - ALLOWED - KEYWORDS:
             raise ValueError(f"{f.id}: calls {', '.join(sorted(calls))}")
         if f.kind not in ("window", "lag", "row"):
@@ -94,7 +106,7 @@ def add_features(bets: DataFrame, features: Iterable[Feature], key: str = "canon
         now = [f for f in steps if all(d in done for d in f.depends_on)]
         cols = {}
         for f in now:
-            e = F.expr(f.expression)
+            e = FUNCTIONS[f.expression](key) if f.kind == "function" else F.expr(f.expression)
             if f.kind == "lag":
                 e = F.lag(e, f.rows or 1).over(in_order(key))
             elif f.kind == "window" and f.minutes is not None:

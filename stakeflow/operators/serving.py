@@ -36,11 +36,12 @@ def freshness(df: DataFrame, now_us: int, minutes: int) -> DataFrame:
 
 
 def coverage(scored: DataFrame, alerts: DataFrame, lo_us: int, hi_us: int) -> DataFrame:
-    """Scored rows and alerts in a window, scored rows that should have alerted, and alerts without a scored row."""
+    """Scored rows and alerts in a window, scored rows that should have alerted, alerts without a scored row,
+    and alerts by scored rows."""
     inside = (F.col("us") >= lo_us) & (F.col("us") < hi_us)
     s, a = scored.where(inside).select("bet_id", "is_alert"), alerts.where(inside).select("bet_id", F.lit(1).alias("_a"))
     j = s.withColumn("_s", F.lit(1)).join(a, "bet_id", "full")
-    return j.agg(F.count("_s").alias("scored"), F.count("_a").alias("alerts"), F.count_if(F.coalesce(F.col("is_alert"), F.lit(False)) & F.col("_a").isNull()).alias("missed"), F.count_if(F.col("_s").isNull()).alias("unscored"))
+    return j.agg(F.count("_s").alias("scored"), F.count("_a").alias("alerts"), F.count_if(F.coalesce(F.col("is_alert"), F.lit(False)) & F.col("_a").isNull()).alias("missed"), F.count_if(F.col("_s").isNull()).alias("unscored"), (F.count("_a") / F.nullif(F.count("_s"), F.lit(0))).alias("alert_ratio"))
 
 
 def unrated_volume(bets: DataFrame) -> DataFrame:
@@ -69,10 +70,23 @@ def touched_history(bets: DataFrame, new: DataFrame, mapping: DataFrame) -> Data
     return bets.join(players, "player_id", "left_semi")
 
 
-def alert_context(alerts: DataFrame, bets: DataFrame) -> DataFrame:
-    """Adds the session's totals, the player's sessions, and the player's average wager."""
+def effective_threshold(runtime: DataFrame, bundle: float, now_us: int, max_age: int | None = None) -> DataFrame:
+    """threshold and source: the newest runtime one (us, threshold) that isn't older than ``max_age``, else the bundle's."""
+    near = F.col("us").isNotNull() & F.col("threshold").isNotNull() & (F.col("us") <= now_us)
+    near = near if max_age is None else near & (F.col("us") >= now_us - max_age)
+    best = runtime.agg(F.max_by("threshold", F.when(near, F.col("us"))).alias("t"))
+    return best.select(F.coalesce("t", F.lit(bundle)).alias("threshold"), F.when(F.col("t").isNull(), "bundle").otherwise("runtime").alias("source"))
+
+
+def alert_context(alerts: DataFrame, bets: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Adds the session's totals, the player's sessions, and the player's average wager. With ``state`` (session_id, bets,
+    wager), what was known of sessions before, the greater of both totals."""
     player = bets.groupBy("player_id").agg(F.count_distinct("session_id").alias("player_sessions"), F.avg("wager").alias("player_average"))
-    return alerts.join(session_totals(bets).select("session_id", F.col("bets").alias("session_bets"), F.col("wager").alias("session_wager")), "session_id", "left").join(player, "player_id", "left")
+    totals = session_totals(bets).select("session_id", F.col("bets").alias("session_bets"), F.col("wager").alias("session_wager"))
+    if state is not None:
+        totals = totals.join(state.select("session_id", "bets", "wager"), "session_id", "full")
+        totals = totals.select("session_id", F.greatest("session_bets", "bets").alias("session_bets"), F.greatest("session_wager", "wager").alias("session_wager"))
+    return alerts.join(totals, "session_id", "left").join(player, "player_id", "left")
 
 
 def merge_verdicts(old: DataFrame, new: DataFrame, now_us: int, finality: int = HOUR) -> DataFrame:

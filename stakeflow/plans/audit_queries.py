@@ -70,10 +70,15 @@ def a22_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(audit.correlations(read(spark, sf_dir, "lineitem"), NUMBERS))
 
 
-@query()
+def _information(c: str) -> str:
+    return f"""(WITH b AS (SELECT l_returnflag = 'R' AS y, least(9, floor(({c} - lo) / nullif(hi - lo, 0) * 10)) AS bin FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem)),
+n AS (SELECT bin, y, count(*) AS n FROM b GROUP BY ALL), s AS (SELECT n, sum(n) OVER () AS a, sum(n) OVER (PARTITION BY bin) AS nb, sum(n) OVER (PARTITION BY y) AS ny FROM n) SELECT '{c}' AS feature_name, round(sum(n / a * ln(n * a / (nb * ny))), 9) + 0 AS information FROM s)"""
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT * FROM {_information(c)}" for c in NUMBERS) + ") ORDER BY information DESC, feature_name LIMIT 3")
 def a24_screen_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = read(spark, sf_dir, "lineitem").withColumns({"label": (F.col("l_returnflag") == "R").cast("int"), "twice": F.col("l_quantity") * 2, "same": F.lit(1.0)})
-    return audit.screen_features(df, [*NUMBERS, "twice", "same"], k=3)
+    return rounded(audit.screen_features(df, [*NUMBERS, "twice", "same"], k=3), 9)
 
 
 @query(f"WITH {SESSIONS}, c AS (SELECT session_id, count(*) AS versions FROM sessions GROUP BY 1) SELECT versions, count(*) AS keys FROM c GROUP BY 1")
@@ -156,10 +161,16 @@ def u3_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_orderkey").intersect(read(spark, sf_dir, "orders").where("o_totalprice > 200000").select("o_orderkey"))
 
 
-@query()
+def _drift(c: str) -> str:
+    return f"""(WITH e AS (SELECT l_shipdate < TIMESTAMP '1995-01-01' AS r, greatest(0, least(9, floor(({c} - lo) / nullif(hi - lo, 0) * 10))) AS bin FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-01')),
+g AS (SELECT k.bin, count(*) FILTER (r) AS r, count(*) FILTER (NOT r) AS c FROM (SELECT unnest(range(10))::DOUBLE AS bin) k LEFT JOIN e USING (bin) GROUP BY k.bin),
+s AS (SELECT greatest(coalesce(r / nullif(sum(r) OVER (), 0), 0), 1e-6) AS pr, greatest(coalesce(c / nullif(sum(c) OVER (), 0), 0), 1e-6) AS pc, abs(coalesce(sum(r) OVER (ORDER BY bin) / nullif(sum(r) OVER (), 0), 0) - coalesce(sum(c) OVER (ORDER BY bin) / nullif(sum(c) OVER (), 0), 0)) AS k FROM g) SELECT '{c}' AS feature_name, round(sum((pc - pr) * ln(pc / pr)), 9) + 0 AS psi, round(max(k), 9) + 0 AS ks FROM s)"""
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM {_drift(c)}" for c in NUMBERS))
 def m23_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read(spark, sf_dir, "lineitem")
-    return audit.drift(l.where("l_shipdate < '1995-01-01'"), l.where("l_shipdate >= '1995-01-01'"), NUMBERS)
+    return rounded(audit.drift(l.where("l_shipdate < '1995-01-01'"), l.where("l_shipdate >= '1995-01-01'"), NUMBERS), 9)
 
 
 @query(f"WITH {BETS} SELECT session_id, count(*) AS bets, round(sum(wager), 6) + 0 AS wager, min(us) AS first_us, max(us) AS last_us FROM bets GROUP BY 1")
@@ -187,10 +198,10 @@ def a19_rolling_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(serving.rolling_precision(a, NOW, {"day": DAY, "week": 7 * DAY}))
 
 
-@query(f"WITH {SCORED}, s AS (SELECT bet_id, us, score >= 0.6 AS al FROM scored WHERE bet_id % 5 <> 0), a AS (SELECT bet_id, us FROM scored WHERE score >= 0.6 AND bet_id % 4 <> 0), j AS (SELECT s.bet_id AS s, a.bet_id AS a, al FROM (SELECT * FROM s WHERE us < {NOW}) s FULL JOIN (SELECT * FROM a WHERE us < {NOW}) a ON s.bet_id = a.bet_id) SELECT count(s) AS scored, count(a) AS alerts, count(*) FILTER (coalesce(al, FALSE) AND a IS NULL) AS missed, count(*) FILTER (s IS NULL) AS unscored FROM j")
+@query(f"WITH {SCORED}, s AS (SELECT bet_id, us, score >= 0.6 AS al FROM scored WHERE bet_id % 5 <> 0), a AS (SELECT bet_id, us FROM scored WHERE score >= 0.6 AND bet_id % 4 <> 0), j AS (SELECT s.bet_id AS s, a.bet_id AS a, al FROM (SELECT * FROM s WHERE us < {NOW}) s FULL JOIN (SELECT * FROM a WHERE us < {NOW}) a ON s.bet_id = a.bet_id) SELECT count(s) AS scored, count(a) AS alerts, round(count(a) / count(s), 9) AS alert_ratio, count(*) FILTER (coalesce(al, FALSE) AND a IS NULL) AS missed, count(*) FILTER (s IS NULL) AS unscored FROM j")
 def a26_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(spark, sf_dir).withColumn("is_alert", F.col("score") >= 0.6)
-    return serving.coverage(s.where("bet_id % 5 <> 0"), s.where("is_alert and bet_id % 4 <> 0"), 0, NOW)
+    return rounded(serving.coverage(s.where("bet_id % 5 <> 0"), s.where("is_alert and bet_id % 4 <> 0"), 0, NOW), 9)
 
 
 @query(f"WITH {BETS} SELECT max(us) AS newest_us, count(*) AS rows, count(*) FILTER (us > {NOW} - 36000000000) AS recent FROM bets")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.operators import live
-from stakeflow.plans.adapters import BETS, DAY, MINUTE, SESSIONS, bets, sessions
+from stakeflow.operators import dedup, live, serving
+from stakeflow.plans.adapters import BETS, DAY, GAMES, MINUTE, SESSIONS, bets, games, micros, read, sessions
 from stakeflow.plans.sequence_queries import CUTOFF, END
 
 QUERIES: dict = {}
@@ -35,8 +35,6 @@ def s9_scan_bets_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SESSIONS}, b AS (SELECT o_orderkey AS bet_id, o_orderkey + o_orderkey % 3 AS session_id, epoch_us(o_orderdate) AS us FROM orders), l AS (SELECT * FROM sessions QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY end_us DESC NULLS FIRST, lud_us DESC) = 1)
 SELECT bet_id, coalesce(start_us, us) AS session_start_us, coalesce(end_us, us) AS session_end_us FROM b LEFT JOIN l USING (session_id)""")
 def j19_session_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stakeflow.plans.adapters import micros, read
-
     b = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("bet_id"), (F.col("o_orderkey") + F.col("o_orderkey") % 3).alias("session_id"), micros("o_orderdate").alias("us"))
     return live.session_enrich(b, sessions(spark, sf_dir)).select("bet_id", "session_start_us", "session_end_us")
 
@@ -70,6 +68,17 @@ def j28_seats_with_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.seats_with_alerts(seats, b.where("wager > 20").withColumn("position_idx", F.col("position_idx").cast("double")), "wager")
 
 
+@query(f"WITH {GAMES}, v AS (SELECT * FROM games WHERE etl_us <= {NOW} AND us >= {NOW - 12 * DAY} AND us < {NOW} AND table_id IN (SELECT event_id % 8 FROM events WHERE event_type = 'signup')), l AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY ts_ms DESC) = 1) SELECT game_id, outcome FROM l WHERE game_status = 'RESOLVED'")
+def s6_scan_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seats = read(spark, sf_dir, "events").where("event_type = 'signup'").select((F.col("event_id") % 8).alias("table_id"))
+    return dedup.resolved_games(games(spark, sf_dir), NOW + DAY, seats, NOW - 12 * DAY, NOW).select("game_id", "outcome")
+
+
+@query(f"SELECT CASE WHEN max(ts) FILTER (epoch_us(ts) <= {NOW}) IS NULL THEN 0.5 ELSE arg_max(value, ts) FILTER (epoch_us(ts) <= {NOW}) END AS threshold, 'runtime' AS source FROM events")
+def t11_effective_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.effective_threshold(bets(spark, sf_dir).select("us", F.col("wager").alias("threshold")), 0.5, NOW, 30 * DAY)
+
+
 #: Alerts are bets over 60; a minute is sixteen of the test tables.
 SLOW = 16
 
@@ -101,10 +110,7 @@ def t8_validated_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.validated(*_alerts(spark, sf_dir), NOW // SLOW).select("alert_id", "verdict")
 
 
-#: Of two tellings, the first saw only the bets of even numbers.
-FIRST = verdict_sql(NOW // SLOW, "us % 2 = 0").replace(" AS (", "1 AS (", 0)
-
-
+#: Of two tellings, the first saw only the bets at even times.
 @query(f"""WITH {SLOW_BETS}, once AS (WITH {verdict_sql(NOW // SLOW, 'us % 2 = 0')} SELECT alert_id, alert_us, verdict FROM vd), again AS (WITH {verdict_sql(NOW // SLOW + 30 * MINUTE)} SELECT alert_id, verdict FROM vd),
 j AS (SELECT o.alert_id, o.alert_us, CASE WHEN o.verdict = 'MATCH' THEN 'MATCH' WHEN a.verdict = 'MATCH' THEN 'MATCH' WHEN o.verdict = 'PENDING' AND a.verdict = 'MISS' THEN 'MISS' ELSE o.verdict END AS k FROM once o JOIN again a USING (alert_id))
 SELECT alert_id, CASE WHEN k = 'PENDING' AND {NOW // SLOW + 30 * MINUTE} - alert_us > {60 * MINUTE} THEN 'MISS' ELSE k END AS verdict FROM j""")

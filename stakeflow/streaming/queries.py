@@ -17,6 +17,7 @@ from stakeflow.operators import serving
 from stakeflow.sources.materialise import shared_folder
 from stakeflow.sources.tables import upsert
 
+HOUR = 3_600_000_000
 #: A pause of 30 minutes splits a run; a session window of 30 minutes would join events that far apart.
 RUN_GAP = "29 minutes 59.999999 seconds"
 
@@ -56,8 +57,9 @@ def verdict_stream(alerts: DataFrame, bets: DataFrame, look: str = "45 minutes",
     return a.join(b, on, "leftOuter").drop("bet_player")
 
 
-def score_batches(bets: DataFrame, score: Callable[[DataFrame], DataFrame], history: Callable[[], DataFrame], mapping: Callable[[], DataFrame], threshold: Callable[[], float], floor_us: Callable[[], int], out: str, checkpoint: str) -> StreamingQuery:
-    """Scores each micro-batch with the history of the players it touches, and appends alerts not sent before.
+def score_batches(bets: DataFrame, score: Callable[[DataFrame], DataFrame], history: Callable[[], DataFrame], mapping: Callable[[], DataFrame], threshold: Callable[[], float], floor_us: Callable[[], int], out: str, checkpoint: str, lookback: int = 8 * HOUR) -> StreamingQuery:
+    """Scores each micro-batch with the history of the players it touches, ``lookback`` before its first bet, and appends
+    alerts not sent before.
 
     ``history``, ``mapping``, ``threshold`` and ``floor_us`` are read again for each batch; ``score`` gets the bets of
     touched players and returns score and is_rated for each.
@@ -65,7 +67,8 @@ def score_batches(bets: DataFrame, score: Callable[[DataFrame], DataFrame], hist
 
     def batch(new: DataFrame, number: int) -> None:
         spark = new.sparkSession
-        past = history()
+        first = new.agg(F.min("us")).first()[0]
+        past = history().where(F.col("us") >= (first or 0) - lookback)
         rows = serving.touched_history(past.unionByName(new.select(past.columns)).dropDuplicates(["bet_id"]), new, mapping())
         scored = score(rows).join(new.select("bet_id"), "bet_id", "left_semi")
         sent = _read(spark, out, "bet_id long")
@@ -74,7 +77,7 @@ def score_batches(bets: DataFrame, score: Callable[[DataFrame], DataFrame], hist
     return bets.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _read(spark: SparkSession, path: str, empty: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, empty: str | StructType) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except Exception as e:
@@ -89,8 +92,12 @@ def upsert_stream(rows: DataFrame, path: str, key: str, rules: dict[str, str], c
 
     def batch(new: DataFrame, number: int) -> None:
         one = upsert(new.limit(0), new, key, rules)
-        old = _read(new.sparkSession, f"{path}/version={number - 1}", one._jdf.schema().toDDL()) if number else one.limit(0)
+        spark = new.sparkSession
+        old = _read(spark, f"{path}/version={number - 1}", one.schema) if number else one.limit(0)
         upsert(old, one, key, rules).write.mode("overwrite").parquet(f"{path}/version={number}")
+        if number > 1:  # the last two versions stay, for a batch that runs again and for readers
+            gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number - 2}")
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
