@@ -108,8 +108,8 @@ def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFra
     return F.broadcast(df) if df.count() * row_bytes <= most else df
 
 
-#: Rows from which frequent keys are found, and how many of them make a key frequent.
-SAMPLE_ROWS, HOT_ROWS = 1_000_000, 500
+#: Rows from which frequent keys are found; one of so many rows that have a key makes it frequent, and so many at least.
+SAMPLE_ROWS, HOT_SHARE, HOT_ROWS = 1_000_000, 2000, 64
 
 
 def frequent(rows: DataFrame, keys: list[str]) -> Column:
@@ -120,7 +120,7 @@ def frequent(rows: DataFrame, keys: list[str]) -> Column:
     """
     n = rows.count()
     part = rows if n <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n, seed=1)
-    found = part.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS).select("h").collect()
+    found = part.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= max(HOT_ROWS, min(n, SAMPLE_ROWS) / HOT_SHARE)).select("h").collect()
     return F.xxhash64(*keys).isin([r.h for r in found])
 
 
