@@ -126,13 +126,13 @@ def s5_latest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("turnover_sum_30d", F.round("turnover_sum_30d", 4))
 
 
-@query(f"""WITH {PROFILE_SQL}, q AS (SELECT o_orderkey AS row_id, canonical_id, epoch_us(o_orderdate) AS t FROM orders JOIN mapping ON mapping.player_id = o_custkey WHERE o_orderkey % 4 = 0)
+@query(f"""WITH {PROFILE_SQL}, q AS (SELECT o_orderkey AS row_id, canonical_id, epoch_us(o_orderdate) AS t FROM orders JOIN mapping ON mapping.player_id = o_custkey)
 SELECT row_id, p.snapshot_us, p.sessions_30d FROM q ASOF LEFT JOIN prof p ON q.canonical_id = p.canonical_id AND q.t >= p.snapshot_us""")
 def j15_profile_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stakeflow.plans.adapters import micros, read
 
     mapping = identity.canonical_mapping(sessions(spark, sf_dir), CUTOFF)
-    rows = read(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("player_id"), micros("o_orderdate").alias("t"))
+    rows = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("player_id"), micros("o_orderdate").alias("t"))
     return asof.asof_join(rows.join(mapping, "player_id"), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us").select("row_id", "snapshot_us", "sessions_30d")
 
 

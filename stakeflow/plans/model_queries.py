@@ -49,7 +49,7 @@ def m19_logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def m20_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = labelled(spark, sf_dir)
-    model = models.boosted_trees(df.where("split = 'train'"), FEATURES, rounds=5, depth=3)
+    model = models.boosted_trees(df.where("split = 'train'"), FEATURES)
     return models.scored(df.where("split = 'test'"), model, FEATURES).select("bet_id", "score")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stakeflow.operators import ranking, splits
-from stakeflow.plans.adapters import DAY, SCORED, scored
+from stakeflow.plans.adapters import DAY, SCORED, read, scored
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -144,11 +144,12 @@ def o10_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.stratified_sample(df, "bin", 20, 3)
 
 
-@query("SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS d FROM events) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE user_id = 7)")
+@query("SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS d FROM events) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'signup' AND value > 95)")
 def o13_missing_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = scored(spark, sf_dir)
-    ends = df.agg(F.min("gaming_day").alias("lo"), F.max("gaming_day").alias("hi"))
-    return splits.missing_snapshots(ends.select(F.explode(F.sequence("lo", "hi")).alias("day")), df.where("canonical_id = '7'").select(F.col("gaming_day").alias("day")))
+    """Days without a large first bet."""
+    df = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type", "value")
+    ends = df.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    return splits.missing_snapshots(ends.select(F.explode(F.sequence("lo", "hi")).alias("day")), df.where("event_type = 'signup' and value > 95").select("day"))
 
 
 @query(f"""WITH {SCORED}, d AS (SELECT CAST(unnest(generate_series(min(gaming_day), max(gaming_day), INTERVAL 1 DAY)) AS DATE) AS day FROM scored)

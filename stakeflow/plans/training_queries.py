@@ -17,6 +17,7 @@ from stakeflow.plans.ranking_queries import curve_sql
 from stakeflow.plans.sequence_queries import CARD, CUTOFF, END, GAP, HORIZON, LATEST, MAPPING, ORACLES as SEQUENCES
 from stakeflow.sources import tables
 from stakeflow.sources.materialise import shared_folder
+from stakeflow.streaming import queries as streams
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -314,3 +315,27 @@ def a42_late_card_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = b.where("bet_id % 4 = 0").groupBy("session_id").agg(F.count("*").alias("versions"))
     whole, _ = audit.late_card_bets(b, late)
     return whole.withColumn("wager", F.round("wager", 4))
+
+
+@query("SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-20'")
+def s3_scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.scan_window(read(spark, sf_dir, "events"), "ts", "2024-01-08", "2024-01-20", ["event_id", "value"])
+
+
+@query("SELECT event_id, sha256('event_id=v' || event_id || chr(31) || 'event_type=' || coalesce('v' || CASE WHEN event_id % 5 <> 0 THEN event_type END, 'n') || chr(31) || 'user_id=v' || user_id) AS digest FROM events")
+def a11_row_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("event_type"))
+    return e.select("event_id", audit.row_digest(e).alias("digest"))
+
+
+@query(f"WITH {BETS}, b AS (SELECT bet_id, wager FROM bets WHERE bet_id % 6 <> 1), a AS (SELECT bet_id, wager + CASE WHEN bet_id % 6 = 2 THEN 1 ELSE 0 END AS wager FROM bets WHERE bet_id % 6 <> 3) SELECT bet_id, CASE WHEN b.wager IS NULL THEN 'added' WHEN a.wager IS NULL THEN 'removed' ELSE 'changed' END AS reason, round(a.wager - b.wager, 6) + 0 AS change FROM b FULL JOIN a USING (bet_id) WHERE a.wager IS DISTINCT FROM b.wager")
+def t12_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, k = bets(spark, sf_dir).select("bet_id", "wager"), F.col("bet_id") % 6
+    got = streams.corrections(b.where(k != 1), b.where(k != 3).withColumn("wager", F.col("wager") + F.when(k == 2, 1.0).otherwise(0.0)), "bet_id", ["wager"])
+    return got.select("bet_id", "reason", (F.round(F.col("after.wager") - F.col("before.wager"), 6) + 0).alias("change"))
+
+
+@query("SELECT l_orderkey AS key, l_quantity AS quantity, NULL::DOUBLE AS price FROM lineitem UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM orders")
+def u1_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    l = read(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("quantity"), F.col("l_orderkey").alias("key"))
+    return tables.union_by_name(l, read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"))).select("key", "quantity", "price")

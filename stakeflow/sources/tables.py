@@ -160,3 +160,10 @@ def write_backtest(scored: DataFrame, path: str, threshold: float) -> None:
     """Predictions as Parquet, and the rated ones at or above the threshold as CSV of bet_id and score."""
     scored.write.mode("overwrite").parquet(f"{path}/predictions")
     export_csv(scored.where((F.col("score") >= threshold) & F.col("is_rated")).select("bet_id", "score"), f"{path}/alerts")
+
+
+def scan_window(df: DataFrame, time: str, start: str, end: str, columns: list[str]) -> DataFrame:
+    """The columns of rows in ``[start, end)``. The bounds are of the column's own type, and the column stands alone, so
+    that both the bounds and the columns reach the files' row groups."""
+    kind = df.schema[time].dataType
+    return df.where((F.col(time) >= F.lit(start).cast(kind)) & (F.col(time) < F.lit(end).cast(kind))).select(*columns)

@@ -147,3 +147,39 @@ def test_rules_touch_rows_as_they_came(spark):
     assert [(r.bet_id, r.observed_us, r.rule_ids) for r in kept.orderBy("bet_id").collect()] == [(2, None, []), (3, 1, ["a"])]
     assert [(r.bet_id, r.observed_us, r.rule_ids) for r in out.collect()] == [(1, 122_000_000, ["a", "b"])]
     assert all(cleaning.apply_rules(df)[0].columns == kept.columns for _ in range(1))
+
+
+def test_windows_and_columns_reach_the_scan(spark):
+    from stakeflow.sources import tables
+    from tests.conftest import SF
+
+    df = tables.scan_window(spark.read.parquet(f"{SF}/events.parquet"), "ts", "2024-01-08", "2024-01-20", ["event_id", "value"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan and "props" not in plan.split("ReadSchema")[1]
+
+
+def test_plans_have_neither_nested_loops_nor_exact_percentiles(spark):
+    from stakeflow.plans import registry
+    from tests.conftest import SF
+
+    for name in ("a1_player_profile", "j15_profile_asof", "a20_feature_stats", "a9_ingest_delay"):
+        plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+        assert "percentile" not in plan and "NestedLoop" not in plan.replace("BroadcastNestedLoopJoin BuildRight, Cross", ""), name
+
+
+def test_schema_differences(spark):
+    from stakeflow.operators import audit
+
+    a, b = spark.range(1).selectExpr("id", "1 AS x"), spark.range(1).selectExpr("id", "1 AS y")
+    assert audit.schema_diff(a, b) == {"only_left": ["x"], "only_right": ["y"], "common": ["id"]}
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from stakeflow.sources.materialise import shared_folder
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    sc = SimpleNamespace(master="spark://far:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)))
+    with pytest.raises(ValueError):
+        shared_folder(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
