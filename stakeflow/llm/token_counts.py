@@ -179,15 +179,19 @@ def prefix_counts(docs: DataFrame, model_file: str) -> DataFrame:
 
 
 def token_budget(docs: DataFrame, model_file: str, budget: int) -> DataFrame:
-    """Per document its counts, whether it is over ``budget`` tokens, and how many of its characters are within."""
+    """Per row of ``docs`` its counts, whether it is over ``budget`` tokens, and how many of its characters are within; from
+    the steps of its prefixes, in the stage that finds them. Rows as in ``prefix_counts``."""
     schema = pa.schema([*SCHEMA][:3] + [("over_limit", pa.bool_()), ("chars_within_limit", pa.int64())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        over = [n > budget for n in cols["n_tokens"]]
-        within = [longest_prefix(s, budget) if o else max(0, len(s) - 1) for o, s in zip(over, cols["prefix_steps"])]
-        return {k: cols[k] for k in ("doc_id", "n_bytes", "n_tokens")} | {"over_limit": over, "chars_within_limit": within}
+        c = counter(model_file)
+        steps = [c.steps(t) for t in cols["text"]]
+        n = [count_at(s, max(0, len(s) - 1)) for s in steps]
+        over = [x > budget for x in n]
+        within = [longest_prefix(s, budget) if o else max(0, len(s) - 1) for o, s in zip(over, steps)]
+        return {"doc_id": cols["doc_id"], "n_bytes": [len((t or "").encode()) for t in cols["text"]], "n_tokens": n, "over_limit": over, "chars_within_limit": within}
 
-    return map_batches(prefix_counts(docs, model_file), run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
