@@ -232,9 +232,12 @@ def test_global_index_is_the_sorted_order(spark):
     r = random.Random(1)
     values = r.sample(range(10_000), 500)
     df = spark.createDataFrame([(v,) for v in values], "v long").repartition(7)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     for parts in (1, 4, 64):
-        got = {x.v: x.i for x in ranking.global_index(df, F.col("v"), name="i", parts=parts).collect()}
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = {x.v: x.i for x in ranking.global_index(df, F.col("v"), name="i").collect()}
         assert got == {v: i for i, v in enumerate(sorted(values))}
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_digest_doesn_t_depend_on_partitioning(spark):
