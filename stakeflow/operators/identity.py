@@ -33,10 +33,12 @@ def dummy_players(sessions: DataFrame, cutoff_us: int | None = None) -> DataFram
 
 
 def canonical_mapping(sessions: DataFrame, cutoff_us: int | None = None) -> DataFrame:
-    """player_id to canonical_id: the card of the newest session, the larger of two; dummies have none."""
-    links = identity_links(sessions, cutoff_us)
-    newest = links.groupBy("player_id").agg(F.max_by("card", F.struct("lud_us", "card")).alias("canonical_id"))
-    return newest.join(dummy_players(sessions, cutoff_us), "player_id", "left_anti")
+    """player_id to canonical_id: the card of the newest session with one, the larger of two; dummies have none. Cards and
+    dummies come from one pass over the sessions."""
+    df = valid_sessions(sessions, cutoff_us).withColumn("card", clean_card_id(F.col("casino_player_id")))
+    newest = F.max(F.when(F.col("card").isNotNull(), F.struct("lud_us", "card"))).alias("_newest")
+    by = df.groupBy("player_id").agg(newest, F.count("*").alias("_n"), F.sum("num_games_with_wager").alias("_games"))
+    return by.where("_newest is not null and not (_n = 1 and coalesce(_games, 0) <= 1)").select("player_id", F.col("_newest.card").alias("canonical_id"))
 
 
 def card_swaps(sessions: DataFrame, cutoff_us: int | None = None) -> DataFrame:
