@@ -216,8 +216,8 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int
     first = words.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
     banded = written(first.select("rep", F.explode("bands").alias("bucket")))
     pivot = F.min(F.struct(F.xxhash64("rep", "bucket").alias("h"), "rep"))
-    members = with_group(banded, ["bucket"], {"n": F.count("*"), "p": pivot}, F.col("n") > 1)
-    members = written(members.select("bucket", "rep", F.col("p.rep").alias("pivot"), "n"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), pivot.alias("p")).where("n > 1")
+    members = written(with_side(banded, shared, ["bucket"]).select("bucket", "rep", F.col("p.rep").alias("pivot"), "n"))
     removed(banded)
     texts = docs.select("doc_id", "text").join(small(members.select(F.col("rep").alias("doc_id")).distinct(), 16), "doc_id", "left_semi")
 
