@@ -112,8 +112,8 @@ def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFra
 SAMPLE_ROWS, HOT_SHARE, HOT_ROWS = 1_000_000, 2000, 64
 
 
-def frequent(rows: DataFrame, keys: list[str]) -> Column:
-    """Whether a row has one of the keys that about one in two thousand rows of a table has, or more.
+def frequent(rows: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the keys that about one in two thousand rows of a table has, or more.
 
     They are found in a part of the rows, and there are at most 2,000 of them, whose hashes are all that the driver gets.
     Which keys are found changes only how a plan deals its rows, not its result.
@@ -121,7 +121,7 @@ def frequent(rows: DataFrame, keys: list[str]) -> Column:
     n = rows.count()
     part = rows if n <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n, seed=1)
     found = part.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= max(HOT_ROWS, min(n, SAMPLE_ROWS) / HOT_SHARE)).select("h").collect()
-    return F.xxhash64(*keys).isin([r.h for r in found])
+    return [r.h for r in found]
 
 
 def with_group(rows: DataFrame, keys: list[str], measures: dict[str, Column], keep: Column) -> DataFrame:
@@ -130,11 +130,11 @@ def with_group(rows: DataFrame, keys: list[str], measures: dict[str, Column], ke
     Rows are dealt by key once, and aggregated there by a window. Those of frequent keys are dealt further by a hash of
     the row; their keys' aggregates are summed up in parts before, and broadcast, for at most 2,000 keys.
     """
-    hot = frequent(rows, keys)
-    sums = written(rows.where(hot).groupBy(*keys).agg(*[c.alias(f"__{k}") for k, c in measures.items()]))
-    if sums.isEmpty():
+    if not (found := frequent(rows, keys)):
         here = Window.partitionBy(*keys)
         return rows.withColumns({k: c.over(here) for k, c in measures.items()}).where(keep)
+    hot = F.xxhash64(*keys).isin(found)
+    sums = written(rows.where(hot).groupBy(*keys).agg(*[c.alias(f"__{k}") for k, c in measures.items()]))
     spread = F.when(hot, F.pmod(F.xxhash64(*rows.columns), F.lit(4096))).otherwise(0)
     marked = rows.join(F.broadcast(sums), keys, "left").withColumn("__spread", spread)
     here = Window.partitionBy(*keys, "__spread")
@@ -145,11 +145,10 @@ def with_group(rows: DataFrame, keys: list[str], measures: dict[str, Column], ke
 def with_side(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows``, a table, joined to ``side``, which has a row a key at most: the sides of frequent keys, at most 2,000, are
     broadcast, so that no task gets all rows of such a key."""
-    hot = frequent(rows, keys)
-    many = rows.where(hot)
-    if many.isEmpty():
+    if not (found := frequent(rows, keys)):
         return rows.join(side, keys, how)
-    return rows.where(~hot).join(side, keys, how).unionByName(many.join(F.broadcast(side.where(hot)), keys, how))
+    hot = F.xxhash64(*keys).isin(found)
+    return rows.where(~hot).join(side, keys, how).unionByName(rows.where(hot).join(F.broadcast(side.where(hot)), keys, how))
 
 
 #: Texts of more characters teach nothing, so that a sample of rows is bounded in bytes too.
