@@ -1,6 +1,6 @@
 """The queries of the training-data operators, by name, and SQL for those that SQL can express."""
 
-from stakeflow.llm import byte_bpe, chat_format, decontaminate, embedding_dedup, html_extract, language_id, near_dedup, quality_crf, substring_dedup, token_counts
+from stakeflow.llm import byte_bpe, chat_format, chat_repair, decontaminate, embedding_dedup, html_extract, language_id, near_dedup, quality_crf, substring_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_language_id": language_id.op9_language_id,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+    "op12_chat_repair": chat_repair.op12_chat_repair,
 }
 ORACLES: dict = {
     "op4_near_dedup": near_dedup.OP4_SQL,
     "op5_substring_dedup": substring_dedup.OP5_SQL,
     "op7_chat_format": chat_format.OP7_SQL,
     "op10_embedding_dedup": embedding_dedup.OP10_SQL,
+    "op12_chat_repair": chat_repair.OP12_SQL,
 }
