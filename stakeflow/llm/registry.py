@@ -1,6 +1,6 @@
 """The queries of the training-data operators, by name, and SQL for those that SQL can express."""
 
-from stakeflow.llm import byte_bpe, chat_format, chat_repair, decontaminate, embedding_dedup, html_extract, language_id, near_dedup, quality_crf, substring_dedup, token_counts
+from stakeflow.llm import byte_bpe, chat_format, chat_repair, decontaminate, embedding_dedup, html_extract, language_id, near_dedup, phrases, quality_crf, substring_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
     "op12_chat_repair": chat_repair.op12_chat_repair,
+    "op13_phrases": phrases.op13_phrases,
 }
 ORACLES: dict = {
     "op4_near_dedup": near_dedup.OP4_SQL,
@@ -21,4 +22,5 @@ ORACLES: dict = {
     "op7_chat_format": chat_format.OP7_SQL,
     "op10_embedding_dedup": embedding_dedup.OP10_SQL,
     "op12_chat_repair": chat_repair.OP12_SQL,
+    "op13_phrases": phrases.OP13_SQL,
 }
