@@ -40,16 +40,16 @@ BITS = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
 
 
 class Words:
-    """The words of folded bytes: where they start and end, the piece that each stands in, and their hashes."""
+    """The words of bytes, between spaces: where they start and end, the piece between stops that each stands in, and hashes."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, stop: int = STOP):
         self.data = np.frombuffer(data + bytes(8), np.uint8)
-        stop = self.data == STOP
-        word = ~(stop | (self.data == SPACE))
+        stops = self.data == stop
+        word = ~(stops | (self.data == SPACE))
         word[len(data) :] = False
         edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
         self.starts, self.ends = edges[::2], edges[1::2]
-        self.piece = np.cumsum(stop, dtype=np.int32)[self.starts]
+        self.piece = np.cumsum(stops, dtype=np.int32)[self.starts]
         self.hashes = self._hashed()
 
     def _hashed(self) -> np.ndarray:

@@ -1,6 +1,6 @@
 """The queries of the training-data operators, by name, and SQL for those that SQL can express."""
 
-from stakeflow.llm import byte_bpe, chat_format, chat_repair, decontaminate, embedding_dedup, html_extract, language_id, near_dedup, phrases, quality_crf, substring_dedup, token_counts
+from stakeflow.llm import byte_bpe, chat_format, chat_repair, decontaminate, embedding_dedup, html_extract, language_id, near_dedup, phrases, quality_crf, quality_rules, substring_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_language_id": language_id.op9_language_id,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+    "op11_quality_rules": quality_rules.op11_quality_rules,
     "op12_chat_repair": chat_repair.op12_chat_repair,
     "op13_phrases": phrases.op13_phrases,
 }
