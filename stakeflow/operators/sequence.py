@@ -68,30 +68,33 @@ def non_win_streak(bets: DataFrame, **kw) -> DataFrame:
 
 def run_boundary(bets: DataFrame, key: str = "player_id", gap: int = 30 * MINUTE, lookback: int | None = None) -> DataFrame:
     """Adds run_id (from 0), run_start_us, minutes_since_run_start, bets_in_run, wager_in_run, net_in_run (the player's)
-    and net_per_bet. A run starts at a pause of ``gap``; with ``lookback``, also at the first row inside it."""
+    and net_per_bet. A run starts at a pause of ``gap``; with ``lookback``, also at the first row inside it.
+
+    Amounts are summed over the rows they are of, and not told from running totals, so that what was lost or is NaN
+    elsewhere leaves them alone; null amounts don't count."""
     o = in_order(key)
     df = known(bets, key).withColumn("_new", F.when(F.lag("us").over(o).isNull() | (F.col("us") - F.lag("us").over(o) >= gap), 1).otherwise(0))
-    before = o.rowsBetween(Window.unboundedPreceding, -1)
-    money = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0.0))
-    df = df.withColumns({"_n": F.row_number().over(o), "_runs": F.sum("_new").over(so_far(key)), "_w": money("wager"), "_c": money("casino_win")})
-    here = F.struct("_n", "us", "_runs", "_w", "_c")
+    df = df.withColumns({"_n": F.row_number().over(o), "_runs": F.sum("_new").over(so_far(key))})
+    here = F.struct("_n", "us", "_runs")
     df = df.withColumn("_start", F.last(F.when(F.col("_new") == 1, here), ignorenulls=True).over(so_far(key)))
-    first = F.lit(1)
+    first, frame = F.lit(1), so_far(key, "_runs")
     if lookback is not None:
         inside = Window.partitionBy(key).orderBy("us").rangeBetween(-(lookback - 1), 0)
         df = df.withColumn("_first", F.min(here).over(inside))
         df = df.withColumn("_start", F.greatest("_start", "_first"))
         first = F.col("_first._runs")
+        df, up_to_row = tie_key(df, key)
+        frame = up_to_row(lookback - 1, "_runs")
     df = df.withColumns({
         "run_id": (F.col("_runs") - first).cast("long"),
         "run_start_us": F.col("_start.us"),
         "minutes_since_run_start": (F.col("us") - F.col("_start.us")) / MINUTE,
         "bets_in_run": (F.col("_n") - F.col("_start._n") + 1).cast("long"),
-        "wager_in_run": F.col("_w") + F.col("wager") - F.col("_start._w"),
-        "net_in_run": -(F.col("_c") + F.col("casino_win") - F.col("_start._c")),
+        "wager_in_run": F.sum("wager").over(frame),
+        "net_in_run": -F.sum("casino_win").over(frame),
     })
     df = df.withColumn("net_per_bet", F.col("net_in_run") / F.col("bets_in_run"))
-    return df.drop("_new", "_n", "_runs", "_w", "_c", "_start", "_first")
+    return df.drop("_new", "_n", "_runs", "_start", "_first", "_tie_us")
 
 
 def run_sequence(bets: DataFrame, key: str = "player_id", gap: int = 30 * MINUTE) -> DataFrame:
@@ -149,9 +152,9 @@ def session_running(bets: DataFrame) -> DataFrame:
     return df.withColumns({"session_average": F.col("session_wager") / F.col("session_bets"), "bets_per_minute": F.when(F.col("session_minutes") > 0, F.col("session_bets") / F.col("session_minutes")).otherwise(0.0)})
 
 
-def tie_key(df: DataFrame, key: str, order: str = "bet_id", name: str = "_tie_us") -> tuple[DataFrame, Callable[[int], WindowSpec]]:
+def tie_key(df: DataFrame, key: str, order: str = "bet_id", name: str = "_tie_us") -> tuple[DataFrame, Callable[..., WindowSpec]]:
     """Adds a time that tells ties apart, and gives the RANGE frame on it from ``width`` before a row, inclusive, up to the
-    row itself.
+    row itself; among the rows of the key that have the same ``within``, if named.
 
     A microsecond has twice as many steps as there are rows of a key at one time, at most (counted here). A frame that
     reaches back by the width and that many steps takes all rows at its first microsecond and none before it. Where
@@ -163,11 +166,11 @@ def tie_key(df: DataFrame, key: str, order: str = "bet_id", name: str = "_tie_us
     at = (us - lo) * step if (reach + 1) * step < 2**62 else (us.cast("decimal(20,0)") - F.lit(lo)) * F.lit(step).cast("decimal(17,0)")
     tie = F.row_number().over(Window.partitionBy(key, "us").orderBy(order))
 
-    def up_to_row(width: int) -> WindowSpec:
+    def up_to_row(width: int, *within: str) -> WindowSpec:
         back = min(width, reach) * step + most
         if back >= 2**63:
             raise ValueError(f"{most} rows at one time are too many for a window of {width}")
-        return Window.partitionBy(key).orderBy(name).rangeBetween(-back, 0)
+        return Window.partitionBy(key, *within).orderBy(name).rangeBetween(-back, 0)
 
     return df.withColumn(name, at + tie), up_to_row
 

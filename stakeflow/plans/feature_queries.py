@@ -82,11 +82,11 @@ def _split(text: str) -> list[str]:
     return [*out, cur]
 
 
-@query(f"""WITH {BETS}, {TIMELINE}, r AS (SELECT * EXCLUDE (us), us AS game_us FROM line QUALIFY row_number() OVER (PARTITION BY table_id, us ORDER BY CAST(game_id AS VARCHAR) DESC) = 1)
+@query(f"""WITH {BETS}, {TIMELINE}, r AS (SELECT * EXCLUDE (us), us AS game_us FROM line QUALIFY row_number() OVER (PARTITION BY table_id, us ORDER BY game_id DESC) = 1)
 SELECT bet_id, game_id, current_outcome_streak_len, table_num_players FROM bets b ASOF LEFT JOIN r ON b.table_id = r.table_id AND b.us > r.game_us""")
 def j16_game_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = features.game_timeline(dedup.resolved_games(games(spark, sf_dir)), UNIT).withColumnRenamed("us", "game_us")
-    return asof.asof_join(bets(spark, sf_dir).select("bet_id", "table_id", "us"), line, "table_id", "us", "game_us", strict=True, tie="game_id").select("bet_id", "game_id", "current_outcome_streak_len", "table_num_players")
+    return asof.asof_join(bets(spark, sf_dir).select("bet_id", "table_id", "us"), line, "table_id", "us", "game_us", strict=True, tie="game_id", bucket=DAY // 24).select("bet_id", "game_id", "current_outcome_streak_len", "table_num_players")
 
 
 #: Snapshots of quarters.
@@ -133,7 +133,7 @@ def j15_profile_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     mapping = identity.canonical_mapping(sessions(spark, sf_dir), CUTOFF)
     rows = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("player_id"), micros("o_orderdate").alias("t"))
-    return asof.asof_join(rows.join(mapping, "player_id"), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us").select("row_id", "snapshot_us", "sessions_30d")
+    return asof.asof_join(rows.join(mapping, "player_id"), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us", bucket=182 * DAY).select("row_id", "snapshot_us", "sessions_30d")
 
 
 @query(f"""WITH {PROFILE_SQL}, q AS (SELECT o_orderkey AS row_id, coalesce(canonical_id, CAST(o_custkey AS VARCHAR)) AS canonical_id, epoch_us(o_orderdate) AS t FROM orders LEFT JOIN mapping ON mapping.player_id = o_custkey)
@@ -144,7 +144,7 @@ def j15_profile_asof_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     mapping = identity.canonical_mapping(sessions(spark, sf_dir), CUTOFF)
     rows = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("player_id"), micros("o_orderdate").alias("t"))
-    return asof.asof_join(identity.with_fallback(rows, mapping), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us").select("row_id", "snapshot_us", "sessions_30d")
+    return asof.asof_join(identity.with_fallback(rows, mapping), _profiles(spark, sf_dir).select("canonical_id", "snapshot_us", "sessions_30d"), "canonical_id", "t", "snapshot_us", bucket=182 * DAY).select("row_id", "snapshot_us", "sessions_30d")
 
 
 @query(f"""WITH {PROFILE_SQL} SELECT canonical_id, count(DISTINCT session_date) FILTER (session_us > {CUTOFF - 30 * DAY}) AS active_days_30d, round(coalesce(sum(theo_win) FILTER (session_us > {CUTOFF - 30 * DAY}), 0.0), 4) AS theo_win_sum_30d,

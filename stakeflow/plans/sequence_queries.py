@@ -287,7 +287,7 @@ def j13_resolve_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT bet_id, game_id, game_us FROM bets b ASOF LEFT JOIN r ON b.table_id = r.table_id AND b.us > r.game_us""")
 def j16_strict_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = dedup.resolved_games(games(spark, sf_dir)).groupBy("table_id", F.col("us").alias("game_us")).agg(F.max("game_id").alias("game_id"))
-    return asof.asof_join(bets(spark, sf_dir), g, "table_id", "us", "game_us", strict=True).select("bet_id", "game_id", "game_us")
+    return asof.asof_join(bets(spark, sf_dir), g, "table_id", "us", "game_us", strict=True, bucket=DAY // 24).select("bet_id", "game_id", "game_us")
 
 
 @query(f"WITH {BETS} SELECT bet_id, us, wager FROM bets WHERE us >= {END - 20 * DAY} AND us < {END - 5 * DAY} AND wager > 0")

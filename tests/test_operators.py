@@ -169,16 +169,42 @@ def test_point_in_time_identity(spark):
     assert got == {1: ("early", True), 2: ("late", True), 3: ("99", False), 4: ("late", True), 5: (None, False)}
 
 
+@pytest.mark.parametrize("bucket", [None, 1, 7, 100])
 @pytest.mark.parametrize("strict", [False, True])
-def test_asof_is_brute_force(spark, strict):
+def test_asof_is_brute_force(spark, strict, bucket):
+    """Ids of one and of two digits, so that ties of 9 and 10 go by number; null keys and times on either side."""
     r = random.Random(9)
-    left = [(r.randint(0, 3), i, r.randint(0, 40)) for i in range(200)]
-    right = [(r.randint(0, 3), r.randint(0, 40), 1000 + i) for i in range(60)]
-    got = asof.asof_join(spark.createDataFrame(left, "k long, i long, t long"), spark.createDataFrame(right, "k long, rt long, v long"), "k", "t", "rt", strict, tie="v")
-    got = {x.i: x.v for x in got.collect()}
+    left = [(r.choice([0, 1, 2, 3, None]), i, r.choice([None, *range(-20, 40)])) for i in range(300)]
+    right = [(r.choice([0, 1, 2, None]), r.choice([None, *range(-15, 30)]), i) for i in range(60)] + [(3, 5, 9), (3, 5, 10), (3, 5, None)]
+    got = asof.asof_join(spark.createDataFrame(left, "k long, i long, t long"), spark.createDataFrame(right, "k long, rt long, v long"), "k", "t", "rt", strict, "v", bucket)
+    got = {x.i: (x.rt, x.v) for x in got.collect()}
+    assert len(got) == 300
     for k, i, t in left:
-        fits = [(rt, v) for kk, rt, v in right if kk == k and (rt < t if strict else rt <= t)]
-        assert got[i] == (max(fits)[1] if fits else None)
+        fits = [(rt, -1 if v is None else v) for kk, rt, v in right if None not in (kk, rt, k, t) and kk == k and (rt < t if strict else rt <= t)]
+        assert got[i] == (max(fits) if fits else (None, None))
+
+
+def test_asof_spreads_a_hot_key(spark):
+    """A key with nearly all rows is in many tasks."""
+    left = spark.range(20_000).selectExpr("if(id % 20 = 0, id, 7) as k", "id as i", "id as t")
+    right = spark.range(4_000).selectExpr("if(id % 20 = 0, id, 7) as k", "id * 5 as rt", "id as v")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = asof.asof_join(left, right, "k", "t", "rt", bucket=500)
+        rows = [r.n for r in got.where("k = 7").groupBy(asof.F.spark_partition_id()).agg(asof.F.count("*").alias("n")).collect()]
+        assert len(rows) == 4 and max(rows) < 9_000
+        assert got.where("k = 7").agg(asof.F.sum("v")).first() == asof.asof_join(left, right, "k", "t", "rt").where("k = 7").agg(asof.F.sum("v")).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+@pytest.mark.parametrize("look", [None, 90 * MINUTE])
+def test_runs_do_not_feel_amounts_of_other_runs(spark, look):
+    rows = [(1, 1, 0, 1e15, 1e15), (1, 2, 100 * MINUTE, float("nan"), 1.0), (1, 3, 200 * MINUTE, 0.1, 0.1), (1, 4, 201 * MINUTE, 0.1, 0.1), (1, 5, 201 * MINUTE, None, 0.1)]
+    df = spark.createDataFrame(rows, "player_id long, bet_id long, us long, wager double, casino_win double")
+    got = {r.bet_id: (r.wager_in_run, r.net_in_run, r.bets_in_run) for r in sequence.run_boundary(df, lookback=look).collect()}
+    assert got[3] == (0.1, -0.1, 1) and got[4] == (0.2, -0.2, 2) and got[5][0] == 0.2 and got[5][2] == 3
 
 
 def test_capped_dedup(spark):
