@@ -6,8 +6,9 @@ each lower order's counts, how many characters go before an n-gram, follow from
 folds by their hash, and are scored by the other fold's model, so that no text, nor a copy of it, teaches its own score.
 
 A model is a set of sorted arrays of hashes, one an order, with the logarithm of the interpolated probability of every
-n-gram, and the weight of every context; values are fixed-point integers, so that sums don't depend on their order. A
-model of more rows than MODEL_ROWS isn't sent to the tasks: n-grams are joined to it instead, with the same result.
+n-gram, and the weight of every context; values are fixed-point integers, so that sums don't depend on their order. Of a
+model of more rows than MODEL_ROWS the tasks get the n-grams of the highest counts, which most places of texts have; the
+others' n-grams are joined to the whole model, with the same result.
 
 Bits a character of all documents that pass the base rules give each language its quartiles, and these its band.
 """
@@ -30,9 +31,9 @@ from stakeflow.llm.phrases import Words
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
 #: Characters of an n-gram; what stands at a text's ends, which no normalised text holds; log2 of a value's unit.
-ORDER, EDGE, UNIT = 5, "\n", 16
+ORDER, EDGE, UNIT = 4, "\n", 16
 LEAST_DISCOUNT = 0.1
-#: Rows of a model that is sent to the tasks, of 20 bytes each; n-grams that a task holds; characters scored at once.
+#: Rows of a model that are sent to the tasks, of 20 bytes each; n-grams that a task holds; characters scored at once.
 MODEL_ROWS, HELD, STEP = 4_000_000, 1_000_000, 1 << 19
 #: How far a band reaches beyond the quartiles, in ranges between them, each of 1/10 bit a character at least; and the words of
 #: texts for which it reaches twice as far, as means of few words vary more.
@@ -43,7 +44,9 @@ ENDS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 GROUP = ["lang", "fold"]
 GRAMS = pa.schema([("lang", pa.string()), ("fold", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *[(c, pa.int64()) for c in BASE], ("base_failed", pa.bool_()), ("millibits", pa.int64())])
+#: Of a scored row: the sum of the values that its task knew, how many places there are, and the n-grams of the others.
+REST = pa.struct([("gram", pa.string()), ("n", pa.int64())])
+SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("fold", pa.int32()), ("key", pa.binary()), *[(c, pa.int64()) for c in BASE], ("base_failed", pa.bool_()), ("known", pa.int64()), ("places", pa.int64()), ("rest", pa.list_(REST))])
 
 
 def base_counts(texts: list[str]) -> dict[str, list]:
@@ -150,7 +153,7 @@ def fixed(p: Column) -> Column:
 
 
 def model(counts: DataFrame) -> DataFrame:
-    """lang, fold, kind, k, gram, value of a modified Kneser-Ney model of the n-grams ``counts`` (lang, fold, gram, n).
+    """lang, fold, kind, k, gram, value and, of the highest order, n of a modified Kneser-Ney model of the n-grams ``counts`` (lang, fold, gram, n).
 
     Rows of kind p have the logarithm of the interpolated probability of an n-gram's last character after the others; those
     of kind b the weight that the characters ``gram`` leave to shorter contexts. The empty n-gram stands for any character:
@@ -161,7 +164,7 @@ def model(counts: DataFrame) -> DataFrame:
         if k > 2:
             levels[k] = written(levels[k])
     below = levels[1].groupBy(*GROUP).agg((1 / (F.count("*") + 1)).alias("p")).withColumn("gram", F.lit(""))
-    out = [below.select(*GROUP, F.lit("p").alias("kind"), F.lit(0).alias("k"), "gram", fixed(F.col("p")).alias("value"))]
+    out = [below.select(*GROUP, F.lit("p").alias("kind"), F.lit(0).alias("k"), "gram", fixed(F.col("p")).alias("value"), F.lit(None).cast("long").alias("n"))]
     for k in range(1, ORDER + 1):
         n = F.col("n")
         rows = levels[k].select(*GROUP, "gram", "n", F.substring("gram", 1, k - 1).alias("context"), F.substring("gram", 2, k - 1).alias("shorter"))
@@ -171,9 +174,9 @@ def model(counts: DataFrame) -> DataFrame:
         shorter = below.select(*GROUP, F.col("gram").alias("shorter"), F.col("p").alias("below"))
         less = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
         p = F.greatest((n - less) / F.col("total"), F.lit(0.0)) + F.col("less_in_all") / F.col("total") * F.col("below")
-        below = written(rows.join(contexts, [*GROUP, "context"]).join(shorter, [*GROUP, "shorter"]).select(*GROUP, "gram", p.alias("p")))
-        out.append(below.select(*GROUP, F.lit("p"), F.lit(k), "gram", fixed(F.col("p"))))
-        out.append(contexts.select(*GROUP, F.lit("b"), F.lit(k - 1), "context", fixed(F.col("less_in_all") / F.col("total"))))
+        below = written(rows.join(contexts, [*GROUP, "context"]).join(shorter, [*GROUP, "shorter"]).select(*GROUP, "gram", "n", p.alias("p")))
+        out.append(below.select(*GROUP, F.lit("p"), F.lit(k), "gram", fixed(F.col("p")), F.when(F.lit(k == ORDER), F.col("n"))))
+        out.append(contexts.select(*GROUP, F.lit("b"), F.lit(k - 1), "context", fixed(F.col("less_in_all") / F.col("total")), F.lit(None).cast("long")))
     rows = out[0]
     for other in out[1:]:
         rows = rows.union(other)
@@ -206,11 +209,14 @@ class Hashes:
 
 
 class Model:
-    """The arrays of all languages and folds; ``table`` as of ``model``, its n-grams hashed in Spark tasks."""
+    """The arrays of all languages and folds; ``table`` as of ``model``, all or the most frequent of it, its n-grams hashed in
+    Spark tasks."""
 
     SCHEMA = pa.schema([("place", pa.int32()), ("hash", pa.int64()), ("value", pa.int32())])
 
-    def __init__(self, table: DataFrame):
+    def __init__(self, table: DataFrame, whole: bool):
+        self.whole = whole
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 c = batch.to_pydict()
@@ -229,11 +235,12 @@ class Model:
         place, hashes, values = (rows[c].to_numpy() for c in ("place", "hash", "value"))
         self.arrays = {p: Hashes(hashes[place == p].view(np.uint64), values[place == p]) for p in range(2 * ORDER + 1)}
 
-    def bits(self, chars: Chars, salt: int) -> np.ndarray | None:
-        """The value of every place of ``chars``; None where nothing of the group was learnt."""
-        if not self.arrays[0].find(chars.hashes(chars.ends[:1], 0, salt))[0].all():
-            return None
-        out = np.zeros(len(chars.ends), np.int32)
+    def learnt(self, chars: Chars, salt: int) -> bool:
+        return bool(self.arrays[0].find(chars.hashes(chars.ends[:1], 0, salt))[0].all())
+
+    def bits(self, chars: Chars, salt: int) -> tuple[np.ndarray, np.ndarray]:
+        """The value of every place of ``chars``, and the places whose n-gram a model in part doesn't know."""
+        out, unknown = np.zeros(len(chars.ends), np.int32), []
         for at in range(0, len(out), STEP):
             ends = chars.ends[at : at + STEP]
             rest, k, value = np.arange(len(ends)), ORDER, np.zeros(len(ends), np.int32)
@@ -241,11 +248,14 @@ class Model:
                 hit, found = self.arrays[2 * k].find(chars.hashes(ends[rest], k, salt))
                 value[rest] += found
                 rest = rest[~hit]
+                if not self.whole:
+                    unknown.append(at + rest)
+                    break
                 if len(rest):
                     value[rest] += self.arrays[2 * (k - 1) + 1].find(chars.hashes(ends[rest] - 1, k - 1, salt))[1]
                 k -= 1
             out[at : at + STEP] = value
-        return out
+        return out, np.concatenate(unknown) if unknown else np.zeros(0, np.int64)
 
 
 def millibits(total: Column, n: Column) -> Column:
@@ -253,81 +263,77 @@ def millibits(total: Column, n: Column) -> Column:
     return F.call_function("div", -total * 1000, n * (1 << UNIT)).cast("long")
 
 
+def most_frequent(found: DataFrame, most: int) -> DataFrame:
+    """The n-grams of ORDER with the highest counts, by powers of two, at most ``most`` rows, and the empty one of each group."""
+    power = F.floor(F.log2("n"))
+    rows = {r.power: r.rows for r in found.where(F.col("n").isNotNull()).groupBy(power.alias("power")).agg(F.count("*").alias("rows")).collect()}  # 64 at most
+    least, n = 64, 0
+    for p in sorted(rows, reverse=True):
+        n += rows[p]
+        if n > most:
+            break
+        least = p
+    return found.where((F.col("n").isNotNull() & (power >= least)) | ((F.col("kind") == "p") & (F.col("k") == 0)))
+
+
 def scored(docs: DataFrame, found: Model) -> DataFrame:
-    """The columns of SCORED for each row of ``docs`` (doc_id, lang, fold, text); millibits are null where the base rules fail,
-    and where the other fold taught nothing of the language."""
+    """The columns of SCORED for each row of ``docs`` (doc_id, lang, fold, text); what is of the score is null where the base
+    rules fail, and where the other fold taught nothing of the language. Rows with places that the model doesn't know have
+    their text's hash."""
     sent = docs.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2000, 2 << 20):
-                cols = part.to_pydict()
-                out = {"doc_id": cols["doc_id"], "lang": cols["lang"], **base_counts(cols["text"]), "millibits": [None] * part.num_rows}
+                cols, none = part.to_pydict(), [None] * part.num_rows
+                out = {"doc_id": cols["doc_id"], "lang": cols["lang"], "fold": cols["fold"], **base_counts(cols["text"]), **{c: list(none) for c in ("key", "known", "places", "rest")}}
                 of: dict[tuple, list[int]] = {}
                 for i, key in enumerate(zip(cols["lang"], cols["fold"])):
                     if not out["base_failed"][i]:
                         of.setdefault(key, []).append(i)
                 for (lang, fold), rows in of.items():
-                    chars = Chars([cols["text"][i] for i in rows])
-                    bits = sent.value.bits(chars, group_salt(lang, 1 - fold))
-                    if bits is not None:
-                        sums = np.add.reduceat(bits, np.cumsum(chars.sizes) - chars.sizes, dtype=np.int64)
-                        for i, total, n in zip(rows, sums.tolist(), chars.sizes.tolist()):
-                            out["millibits"][i] = -total * 1000 // (n << UNIT)
+                    chars, salt = Chars([cols["text"][i] for i in rows]), group_salt(lang, 1 - fold)
+                    if not sent.value.learnt(chars, salt):
+                        continue
+                    bits, unknown = sent.value.bits(chars, salt)
+                    begin = np.cumsum(chars.sizes) - chars.sizes
+                    sums = np.add.reduceat(bits, begin, dtype=np.int64)
+                    cuts = np.searchsorted(unknown, np.append(begin, len(bits)))
+                    for j, i in enumerate(rows):
+                        out["known"][i], out["places"][i] = int(sums[j]), int(chars.sizes[j])
+                        if cuts[j] < cuts[j + 1]:
+                            ends = chars.ends[unknown[cuts[j] : cuts[j + 1]]]
+                            _, first, n = np.unique(chars.hashes(ends, ORDER, 0), return_index=True, return_counts=True)
+                            said = chars.codes[ends[first][:, None] + np.arange(1 - ORDER, 1)].tobytes().decode("utf-32-le")
+                            out["rest"][i] = [{"gram": said[k * ORDER : (k + 1) * ORDER], "n": m} for k, m in enumerate(n.tolist())]
+                            out["key"][i] = xxhash.xxh3_128_digest(cols["text"][i].encode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in SCORED], schema=SCORED)
         released()
 
     return docs.select("doc_id", "lang", "fold", "text").mapInArrow(run, from_arrow_schema(SCORED))
 
 
-def scored_by_joins(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """As ``scored``, for models of any size: the n-grams of each text are joined to the model, those that it lacks by ever
-    shorter ones. Equal texts share a key; copies change neither the mean of its bits nor the rows of ``docs``."""
-    schema = pa.schema([("key", pa.binary()), ("lang", pa.string()), ("fold", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
-    docs = docs.withColumn("key", F.unhex(F.sha2("text", 256)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 500, 1 << 20):
-                c, out = part.to_pydict(), {f.name: [] for f in schema}
-                for key, lang, fold, text, bad in zip(c["key"], c["lang"], c["fold"], c["text"], base_counts(c["text"])["base_failed"]):
-                    if bad:
-                        continue
-                    chars = Chars([text])
-                    _, first, n = np.unique(chars.hashes(chars.ends, ORDER, 0), return_index=True, return_counts=True)
-                    said = chars.codes[chars.ends[first][:, None] + np.arange(1 - ORDER, 1)].tobytes().decode("utf-32-le")
-                    out["gram"] += [said[i : i + ORDER] for i in range(0, len(said), ORDER)]
-                    out["n"] += n.tolist()
-                    for name, x in (("key", key), ("lang", lang), ("fold", 1 - fold)):
-                        out[name] += [x] * len(n)
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
-
-    rest = written(docs.select("key", "lang", "fold", "text").mapInArrow(run, from_arrow_schema(schema)).withColumn("so_far", F.lit(0)))
-    sums, at = [], [*GROUP, "gram"]
+def rest_of(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """lang, fold, key and the sum ``more`` of the n-grams that the rows ``rest``, a text once: joined to the model, and those
+    that it lacks by ever shorter ones. N-grams that very many texts have meet a broadcast side."""
+    at = [*GROUP, "gram"]
+    texts = rows.where("key is not null").select(*GROUP, "key", "rest").dropDuplicates([*GROUP, "key"])
+    rest = written(texts.select("lang", (1 - F.col("fold")).alias("fold"), "key", F.explode("rest").alias("r")).select(*GROUP, "key", "r.gram", "r.n", F.lit(0).alias("so_far")))
+    sums = []
     for k in range(ORDER, -1, -1):
-        known = found.where((F.col("kind") == "p") & (F.col("k") == k)).select(*at, "value")
-        both = written(with_side(rest, known, at, "left"))
-        sums.append(both.where("value is not null").groupBy(*GROUP, "key").agg(F.sum(F.col("n") * (F.col("so_far") + F.col("value"))).alias("total"), F.sum("n").alias("n")))
+        model_rows = found.where((F.col("kind") == "p") & (F.col("k") == k)).select(*at, "value")
+        both = written(with_side(rest, model_rows, at, "left"))
+        sums.append(both.where("value is not null").groupBy(*GROUP, "key").agg(F.sum(F.col("n") * (F.col("so_far") + F.col("value"))).alias("more")))
         if k:
             weights = found.where((F.col("kind") == "b") & (F.col("k") == k - 1)).select(*GROUP, F.col("gram").alias("context"), F.col("value").alias("weight"))
             left = written(both.where("value is null").withColumn("context", F.substring("gram", 1, k - 1)).drop("value"))
-            less = with_side(left, weights, [*GROUP, "context"], "left").select("key", *GROUP, F.substring("gram", 2, k - 1).alias("gram"), "n", (F.col("so_far") + F.coalesce("weight", F.lit(0))).alias("so_far"))
-            rest = written(less)
+            removed(rest)
+            rest = written(with_side(left, weights, [*GROUP, "context"], "left").select("key", *GROUP, F.substring("gram", 2, k - 1).alias("gram"), "n", (F.col("so_far") + F.coalesce("weight", F.lit(0))).alias("so_far")))
+            removed(left)
     every = sums[0]
     for other in sums[1:]:
         every = every.unionByName(other)
-    bits = every.groupBy("lang", "key").agg(millibits(F.sum("total"), F.sum("n")).alias("bits"))
-    plain = pa.schema([("key", pa.binary()), *[f for f in SCORED if f.name != "millibits"]])
-
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 2000, 2 << 20):
-                cols = part.to_pydict()
-                cols |= base_counts(cols["text"])
-                yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in plain], schema=plain)
-
-    rows = written(docs.select("key", "doc_id", "lang", "text").mapInArrow(counts, from_arrow_schema(plain)))
-    return with_side(rows, bits, ["lang", "key"], "left").select(*[f.name for f in SCORED][:-1], F.col("bits").alias("millibits"))
+    return every.groupBy(*GROUP, "key").agg(F.sum("more").alias("more")).withColumn("fold", 1 - F.col("fold"))
 
 
 def bands(rows: DataFrame, width: float = WIDTH) -> DataFrame:
@@ -353,8 +359,15 @@ def quality_rules(docs: DataFrame, model_rows: int = MODEL_ROWS, width: float =
     text = F.coalesce("text", F.lit(""))
     docs = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), text.alias("text"), F.pmod(F.xxhash64(text), F.lit(2)).cast("int").alias("fold"))
     found = model(grams(docs))
-    rows = written(scored(docs, Model(found)) if found.count() <= model_rows else scored_by_joins(docs, found))
+    whole = found.count() <= model_rows
+    rows = written(scored(docs, Model(found if whole else most_frequent(found, model_rows), whole)))
+    if not whole:
+        more = written(rest_of(rows, found))
+        none, one = rows.where("key is null").drop("rest"), rows.where("key is not null").drop("rest")
+        rows = written(none.withColumn("more", F.lit(0).cast("long")).unionByName(with_side(one, more, [*GROUP, "key"])))
     removed(found)
+    sum_ = F.col("known") + (F.lit(0) if whole else F.col("more"))
+    rows = rows.select("doc_id", "lang", *BASE, "base_failed", millibits(sum_, F.col("places")).alias("millibits"))
     reach = F.round(F.col("reach") * (1 + F.sqrt(FEW_WORDS / F.greatest("n_words", F.lit(1))))).cast("long")
     rows = rows.join(small(bands(rows, width), 48), "lang", "left").withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach})
     inside = F.col("millibits").isNull() | F.col("millibits").between(F.col("lower"), F.col("upper"))

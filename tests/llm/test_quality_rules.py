@@ -12,6 +12,7 @@ from stakeflow.llm import quality_rules
 from tests.llm.test_llm_operators import EDGE, ODD, empty
 
 LANGS = ["en", "fr", None]
+O = quality_rules.ORDER
 
 
 def plain_base(text):
@@ -28,23 +29,23 @@ def plain_base(text):
 
 
 def normal(text):
-    return "\n" * 4 + " ".join(re.findall(r"[^\x20\x09-\x0D]+", text)) + "\n"
+    return "\n" * (O - 1) + " ".join(re.findall(r"[^\x20\x09-\x0D]+", text)) + "\n"
 
 
 def ends(said):
-    return [i for i in range(4, len(said)) if said[i] != "\n" or said[i - 1] != "\n"]
+    return [i for i in range(O - 1, len(said)) if said[i] != "\n" or said[i - 1] != "\n"]
 
 
 class Plain:
     """Modified Kneser-Ney by definition: probabilities of every order by recursion."""
 
     def __init__(self, texts):
-        self.n = [None] * 6
-        self.n[5] = Counter(normal(t)[i - 4 : i + 1] for t in texts for i in ends(normal(t)))
-        for k in (4, 3, 2, 1):
+        self.n = [None] * (O + 1)
+        self.n[O] = Counter(normal(t)[i - O + 1 : i + 1] for t in texts for i in ends(normal(t)))
+        for k in range(O - 1, 0, -1):
             self.n[k] = Counter(g[1:] for g in self.n[k + 1])
-        self.d, self.followers = [None] * 6, [None] * 6
-        for k in range(1, 6):
+        self.d, self.followers = [None] * (O + 1), [None] * (O + 1)
+        for k in range(1, O + 1):
             of = [sum(v == j for v in self.n[k].values()) for j in range(5)]
             y = of[1] / (of[1] + 2 * of[2]) if of[1] + 2 * of[2] else 0.5
             self.d[k] = [0, *[max(0.1, min(j, j - (j + 1) * y * of[j + 1] / of[j] if of[j] else j / 2)) for j in (1, 2, 3)]]
@@ -81,7 +82,7 @@ def test_base_rules_are_plain_counts():
     assert list(zip(*[got[c] for c in [*quality_rules.BASE, "base_failed"]])) == [plain_base(t) for t in given]
 
 
-@pytest.mark.parametrize("model_rows", [10**9, 0])
+@pytest.mark.parametrize("model_rows", [10**9, 0, 900])
 def test_scores_are_those_of_the_plain_model(spark, monkeypatch, model_rows):
     monkeypatch.setattr(quality_rules, "STEP", 64)
     monkeypatch.setattr(quality_rules, "HELD", 200)
@@ -99,7 +100,7 @@ def test_scores_are_those_of_the_plain_model(spark, monkeypatch, model_rows):
     for i, (lang, text) in enumerate(given):
         m = models.get((lang or "und", 1 - fold[i]))
         said = normal(text or "")
-        want[i] = None if m is None or plain_base(text or "")[-1] else -sum(log2(m.p(said[e - 4 : e + 1])) for e in ends(said)) / len(ends(said)) * 1000
+        want[i] = None if m is None or plain_base(text or "")[-1] else -sum(log2(m.p(said[e - O + 1 : e + 1])) for e in ends(said)) / len(ends(said)) * 1000
     rows = {x.doc_id: x for x in quality_rules.quality_rules(docs, model_rows).collect()}
     assert len(rows) == len(given) and sum(x is not None for x in want.values()) > 150
     for i, (lang, text) in enumerate(given):
