@@ -57,10 +57,10 @@ def sessions_of_identities(sessions: DataFrame, players: DataFrame, start_us: in
     return df.join(players, "player_id").select("canonical_id", "session_id", F.coalesce("end_us", "lud_us").alias("available_us"), "end_us")
 
 
-def validated(alerts: DataFrame, bets: DataFrame, now_us: int, **times) -> DataFrame:
+def validated(alerts: DataFrame, bets: DataFrame, now_us: int, players: DataFrame | None = None, **times) -> DataFrame:
     """alert_id, alert_us and verdict of alerts (alert_id, player_id, canonical_id, alert_us), by the bets of all players
-    of their identity. Where an identity has no bet, the alert's own bet, looked up by its id, is its last one."""
-    players = alert_players(alerts)
+    of their identity, those of the alerts if ``players`` (player_id, canonical_id) doesn't name them. Where an identity has no bet, the alert's own bet, looked up by its id, is its last one."""
+    players = alert_players(alerts) if players is None else players
     lo, hi = alerts.agg(F.min("alert_us"), F.max("alert_us")).first()
     if lo is None:
         return alerts.select("alert_id", "alert_us", F.lit(None).cast("string").alias("verdict"))
@@ -74,11 +74,14 @@ def validated(alerts: DataFrame, bets: DataFrame, now_us: int, **times) -> DataF
     return sequence.verdicts(gaps, now_us, **times).select("alert_id", "alert_us", "verdict")
 
 
-def revalidated(stored: DataFrame, alerts: DataFrame, bets: DataFrame, now_us: int, finality: int = 60 * MINUTE) -> DataFrame:
+def revalidated(stored: DataFrame, alerts: DataFrame, bets: DataFrame, now_us: int, finality: int = 60 * MINUTE, last_us: int | None = None) -> DataFrame:
     """Stored verdicts (alert_id, alert_us, verdict) after late bets: those that aren't final are told again over all bets
-    that are there now, and merged by the rules of finality."""
-    open_ = alerts.join(stored.where(F.col("verdict") == "MATCH").select("alert_id"), "alert_id", "left_anti")
-    return serving.merge_verdicts(stored, validated(open_, bets, now_us), now_us, finality)
+    that are there now, and merged by the rules of finality. With ``last_us``, when the stored ones were told, those that
+    finality had passed by then are final too."""
+    final = F.col("verdict") == "MATCH"
+    final = final if last_us is None else final | (F.lit(last_us) - F.col("alert_us") > finality)
+    open_ = alerts.join(stored.where(final).select("alert_id"), "alert_id", "left_anti")
+    return serving.merge_verdicts(stored, validated(open_, bets, now_us, alert_players(alerts)), now_us, finality)
 
 
 def latest_by_seat(alerts: DataFrame, *columns: str) -> DataFrame:

@@ -118,3 +118,50 @@ def t9_late_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts, b = _alerts(spark, sf_dir)
     first = live.validated(alerts, b.where("us % 2 = 0"), NOW // SLOW)
     return live.revalidated(first, alerts, b, NOW // SLOW + 30 * MINUTE).select("alert_id", "verdict")
+
+
+#: Stops of the stream of verdicts; bets are seen up to 99 minutes late.
+STOPS = [END // SLOW - 12 * 60 * MINUTE, END // SLOW - 6 * 60 * MINUTE, END // SLOW + 120 * MINUTE]
+_M = MINUTE
+STREAM_SQL = f"""{BETS}, sb AS (SELECT bet_id, player_id // 3 AS c, us // {SLOW} AS us, wager, us // {SLOW} + bet_id * 37 % 100 * {_M} AS seen FROM bets),
+st AS (SELECT k, stop, (SELECT max(seen) // 1000 * 1000 FROM sb WHERE seen <= stop) AS w FROM (VALUES {", ".join(f"({k}, {s})" for k, s in enumerate(STOPS))}) v(k, stop)),
+al AS (SELECT k, w, bet_id AS alert_id, c, us AS alert_us FROM sb, st WHERE wager > 60 AND seen <= stop),
+nb AS (SELECT k, alert_id, alert_us, sb.us FROM al JOIN st USING (k) JOIN sb ON sb.c = al.c AND sb.us > alert_us AND sb.us <= alert_us + {45 * _M} AND sb.wager > 0 AND sb.seen <= stop),
+pt AS (SELECT k, alert_id, alert_us, us, 1 AS bet FROM nb UNION ALL SELECT k, alert_id, alert_us, alert_us, 0 FROM al UNION ALL SELECT k, alert_id, alert_us, alert_us + {45 * _M}, 0 FROM al),
+wk AS (SELECT *, lag(us) OVER (PARTITION BY k, alert_id ORDER BY us, bet) AS prev FROM pt),
+gp AS (SELECT k, alert_id, alert_us, coalesce(bool_or(us - prev >= {30 * _M} AND prev - alert_us <= {15 * _M}), FALSE) AS g, bool_or(bet = 1 AND us > alert_us + {15 * _M}) AS late, sum(bet) AS n FROM wk GROUP BY ALL),
+told AS (SELECT gp.*, w - alert_us > {60 * _M} AS done, CASE WHEN w - alert_us < {47 * _M} THEN NULL WHEN n = 0 OR (g AND w - alert_us < {60 * _M}) THEN 'PENDING' WHEN late THEN 'MISS' ELSE 'MATCH' END AS v FROM gp JOIN st USING (k)),
+ends AS (SELECT k, alert_id, alert_us, done, CASE WHEN done AND v = 'PENDING' THEN 'MISS' ELSE v END AS v FROM told),
+firsts AS (SELECT alert_id, alert_us, min(k) FILTER (v = 'MATCH') AS match_k, min(k) FILTER (done) AS done_k, min(k) FILTER (v = 'MISS') AS miss_k FROM ends GROUP BY ALL)"""
+
+
+def _verdict_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The log of the stream over whole tables, which come in three stops by when rows are seen, with a restart at each."""
+    import uuid
+
+    from stakeflow.sources.materialise import shared_folder
+    from stakeflow.streaming import queries as streams
+    from stakeflow.streaming import validation
+
+    at = f"{shared_folder(spark)}/verdicts-{uuid.uuid4().hex}"
+    b = bets(spark, sf_dir).select("bet_id", F.floor(F.col("player_id") / 3).cast("string").alias("canonical_id"), F.floor(F.col("us") / SLOW).alias("us"), "wager")
+    b = b.withColumn("seen", F.timestamp_micros(F.col("us") + F.col("bet_id") * 37 % 100 * MINUTE))
+    alerts = lambda df: df.where("wager > 60").select(F.col("bet_id").alias("alert_id"), "canonical_id", F.col("us").alias("alert_us"), "seen")
+    before = F.lit(None)
+    for stop in STOPS:
+        here = F.col("seen") <= F.timestamp_micros(F.lit(stop))
+        b.where(here if stop == STOPS[0] else here & (F.col("seen") > F.timestamp_micros(F.lit(before)))).write.mode("append").parquet(f"{at}/bets")
+        rows = streams.stream_table(spark, f"{at}/bets", b.schema)
+        with validation.keyed_state(spark):
+            q = validation.verdict_log(alerts(rows), rows).writeStream.option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).format("parquet").start(f"{at}/log")
+            q.awaitTermination()
+        before = stop
+    return spark.read.schema(validation.LOG).parquet(f"{at}/log"), at
+
+
+@query(f"WITH {STREAM_SQL} SELECT alert_id, CASE WHEN match_k <= coalesce(done_k, match_k) THEN 'MATCH' WHEN miss_k IS NOT NULL THEN 'MISS' ELSE 'PENDING' END AS verdict FROM firsts WHERE alert_id IN (SELECT alert_id FROM ends WHERE v IS NOT NULL)")
+def t8_verdict_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stakeflow.streaming import validation
+
+    log, _ = _verdict_stream(spark, sf_dir)
+    return validation.current_verdicts(log).select("alert_id", "verdict")
