@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from stakeflow.llm.common import released, removed, small, table, written
+from stakeflow.llm.common import released, small, table, written
 from stakeflow.llm.hashing import mix
+from stakeflow.operators.ranking import global_index
 
 FEWEST, LONGEST, TOP = 100, 5, 2000
 SPREAD = np.uint64(0xD1342543DE82EF95)
@@ -206,7 +207,7 @@ def streamed(rows: DataFrame, key: Column, name: str, longest: int) -> DataFrame
 
 def phrase_counts(docs: DataFrame, fewest: int = FEWEST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """lang, words, f of all phrases of up to ``longest`` words that occur ``fewest`` times or more, and lang, n of all words."""
-    spark, found, shorter = docs.sparkSession, [], None
+    found, shorter = [], None
     for k in range(1, longest + 1):
         now = written(counted(docs, k, shorter, fewest))
         if k == 1:
@@ -248,9 +249,11 @@ def collocations(docs: DataFrame, fewest: int = FEWEST, longest: int = LONGEST,
     ]
     kept = both.join(held[0].unionByName(held[1]).distinct(), ["lang", "words"], "left_anti").withColumn("w", weakest)
     out = kept.select("lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), "w.l", "w.r", "n", "w.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # one order of all languages, cut into ranges; a phrase's rank is its place less that of its language's first
+    placed = global_index(out, F.col("lang"), F.desc("score"), F.desc("a"), F.col("phrase"), name="place")
+    first = placed.groupBy("lang").agg(F.min("place").alias("first"))
+    ranked = placed.join(small(first, 40), "lang").withColumn("rank", F.col("place") - F.col("first") + 1).where(F.col("rank") <= top)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
