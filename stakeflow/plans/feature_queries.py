@@ -97,9 +97,10 @@ _MEASURES = {
     "num_games_with_wager_sum": "CAST(sum(num_games_with_wager) {} AS DOUBLE)", "win_session_rate": "avg(CASE WHEN player_win > 0 THEN 1.0 ELSE 0.0 END) {}::DOUBLE", "avg_session_duration_min": "CAST(avg(CASE WHEN end_us IS NOT NULL THEN (session_us - start_us) / 60000000 END) {} AS DOUBLE)",
     "distinct_table_cnt": "count(DISTINCT table_id) {}::DOUBLE", "distinct_pit_cnt": "count(DISTINCT pit_id) {}::DOUBLE", "distinct_gaming_area_cnt": "CAST(count(*) {} * 0 AS DOUBLE)",
 }
-PROFILE_SQL = f"""{MAPPING}, base AS (SELECT latest.*, m.canonical_id, coalesce(end_us, lud_us) AS session_us, CAST(make_timestamp(coalesce(end_us, lud_us)) AS DATE) AS session_date
+def profile_sql(snaps: list[int]) -> str:
+    return f"""{MAPPING}, base AS (SELECT latest.*, m.canonical_id, coalesce(end_us, lud_us) AS session_us, CAST(make_timestamp(coalesce(end_us, lud_us)) AS DATE) AS session_date
   FROM latest JOIN mapping m USING (player_id) WHERE is_manual = 0 AND is_deleted = 0 AND is_canceled = 0 AND (turnover > 0 OR num_games_with_wager > 0)),
-put AS (SELECT base.*, s.snap AS snapshot_us FROM base JOIN (VALUES {", ".join(f"({s})" for s in SNAPS)}) s(snap) ON session_us + 420000000 <= snap AND session_us + 420000000 >= snap - {366 * DAY}),
+put AS (SELECT base.*, s.snap AS snapshot_us FROM base JOIN (VALUES {", ".join(f"({s})" for s in snaps)}) s(snap) ON session_us + 420000000 <= snap AND session_us + 420000000 >= snap - {366 * DAY}),
 tbl AS (SELECT snapshot_us, canonical_id, max(a) AS t90, max(b) AS t30 FROM (SELECT snapshot_us, canonical_id, table_id, sum(turnover) FILTER (session_us >= snapshot_us - {90 * DAY}) AS a, sum(turnover) FILTER (session_us >= snapshot_us - {30 * DAY}) AS b FROM put GROUP BY ALL) GROUP BY ALL),
 plain AS (SELECT snapshot_us, canonical_id, (CAST(make_timestamp(snapshot_us) AS DATE) - max(session_date))::DOUBLE AS days_since_last_session, (CAST(make_timestamp(snapshot_us) AS DATE) - min(session_date))::DOUBLE AS days_since_first_session,
   {", ".join(f"{_MEASURES[name].format(f'FILTER (session_us >= snapshot_us - {d * DAY})')} AS {name}_{d}d" for name, days in profile.WINDOWS.items() for d in days)}, 0.0::DOUBLE AS distinct_none FROM put GROUP BY snapshot_us, canonical_id HAVING sum(num_games_with_wager) > 1),
@@ -108,6 +109,9 @@ prof AS (SELECT plain.* EXCLUDE (distinct_none), turnover_sum_30d / nullif(num_b
   t30 / nullif(turnover_sum_30d, 0) AS top_table_share_30d, t90 / nullif(turnover_sum_90d, 0) AS top_table_share_90d, (turnover_sum_30d / nullif(num_bets_sum_30d, 0)) / nullif(turnover_sum_180d / nullif(num_bets_sum_180d, 0), 0) AS turnover_per_bet_30d_over_180d FROM plain JOIN tbl USING (snapshot_us, canonical_id))"""
 
 
+PROFILE_SQL = profile_sql(SNAPS)
+
+
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sessions(spark, sf_dir)
     rows = profile.profile_sessions(s, identity.canonical_mapping(s, CUTOFF))
@@ -120,6 +124,18 @@ def a1_player_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("snapshot_us", "canonical_id", *[(F.round(c, 4) + 0).alias(c) for c in p.columns if c not in ("snapshot_us", "canonical_id")])
 
 
+#: Every day of a year.
+DAYS = [CUTOFF - d * DAY for d in range(365)]
+
+
+@query(f"WITH {profile_sql(DAYS)} SELECT snapshot_us, canonical_id, round(COLUMNS(* EXCLUDE (snapshot_us, canonical_id)), 6) + 0 FROM prof")
+def a4_profile_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = sessions(spark, sf_dir)
+    rows = profile.profile_sessions(s, identity.canonical_mapping(s, CUTOFF))
+    p = profile.profile_backfill(rows, spark.createDataFrame([(x,) for x in DAYS], "snapshot_us long"))
+    return p.select("snapshot_us", "canonical_id", *[(F.round(c, 6) + 0).alias(c) for c in p.columns if c not in ("snapshot_us", "canonical_id")])
+
+
 @query(f"WITH {PROFILE_SQL} SELECT canonical_id, arg_max(sessions_30d, snapshot_us) AS sessions_30d, round(arg_max(turnover_sum_30d, snapshot_us) FILTER (turnover_sum_30d IS NOT NULL), 4) AS turnover_sum_30d FROM prof GROUP BY canonical_id")
 def s5_latest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = profile.latest_profile(_profiles(spark, sf_dir), SNAPS[-1], ["sessions_30d", "turnover_sum_30d"])
