@@ -6,9 +6,10 @@ deep nesting costs nothing. Spark adds up the votes of each host. What a host's
 
 * the path that most of them hold their text at is extracted, and where a page has none, its own best container;
 * a path at which pages of different headings show the same text is boilerplate;
-* an element whose class, id or role is a boilerplate word is dropped, unless the host's headings stand there.
+* a path whose class, id or role is a boilerplate word, on pages of several headings, is left out of the article if its text
+  is mostly links, or if it stands behind all other text of the article on most pages.
 
-Then every page is extracted again by its host's paths. Hosts' paths are broadcast while their size, which is measured,
+A word alone leaves nothing out of an article; it keeps an element from counting when containers are scored. Then every page is extracted again by its host's paths. Hosts' paths are broadcast while their size, which is measured,
 is below a bound, and shuffled beyond it.
 """
 
@@ -28,24 +29,28 @@ from stakeflow.llm.common import map_batches, table, with_side, written
 # Kinds of HTML elements.
 CONTAINERS = frozenset("article main section div body td center".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tr th tbody thead tfoot caption figure figcaption address hr details summary fieldset html".split())
-DROPPED = frozenset("head script style noscript template nav footer aside form button select textarea iframe object svg canvas dialog menu header title".split())
+DROPPED = frozenset("head script style noscript template nav footer aside button select textarea iframe object svg canvas dialog menu header title".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An element of a group closes the last open one of it, unless one of the fence is open within that.
 GROUPS = (({"li"}, {"ul", "ol"}), ({"td", "th"}, {"tr", "table"}), ({"tr"}, {"table"}), ({"dt", "dd"}, {"dl"}))
-#: Whole classes, ids and roles that mark what isn't the article, where the host's pages have no heading there.
+#: Whole classes, ids and roles that hint at what isn't the article, where the host's pages have no heading there.
 BOILERPLATE = frozenset(
     "ad ads advert advertisement adverts adsense sponsor sponsored promo promoted banner cookie cookies consent gdpr notice notices alert popup modal overlay sidebar rail menu menubar nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments reply replies disqus share sharing social follow related recommended newsletter subscribe subscription signup login search widget toolbar pagination pager complementary contentinfo".split()
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<", re.S)
-NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: A quote opens a value only after an equals sign; elsewhere, and inside a value without quotes, it is a character.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?>[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s\"'>][^\s>]*|(?=>|\Z)))*+)(?:>|\Z)|[^<]+|<", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s]+)))?")
+NAMES = frozenset(("class", "id", "role"))
 CLOSING = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
 
 #: Hosts' paths of at most so many bytes are broadcast.
 BROADCAST_BYTES = 16 << 20
 #: A path needs pages of so many headings, and this share of the host's, for its text to count.
 HEADINGS, SHARE = 3, 0.01
+#: The share of pages on which a hinted path stands behind the article's text.
+BEHIND = 0.9
 #: Shares of the page's text that its best container holds: an article, and any other.
 ARTICLE_HOLDS, HOLDS = 0.5, 0.9
 
@@ -113,7 +118,7 @@ class Page:
             if tag == "a":
                 links = not closing
                 continue
-            known = tag in BLOCKS or tag in DROPPED
+            known = tag in BLOCKS or tag in DROPPED or tag == "form"
             if closing:
                 if open_at[tag]:
                     if known:
@@ -122,7 +127,7 @@ class Page:
                         pop()
                     pop()
                 continue
-            names = [(k.lower(), c) for k, a, b, d in NAMES.findall(m[2]) for c in (a or b or d).lower().split()] if m[2] else []
+            names = [(k.lower(), c) for k, a, b, d in ATTRIBUTE.findall(m[2]) if k.lower() in NAMES for c in (a or b or d).lower().split()] if m[2] else []
             hinted = any(c in BOILERPLATE for _, c in names)
             if not known and not hinted:
                 continue
@@ -150,6 +155,19 @@ class Page:
             if tag in RAW:
                 raw = tag
         flush()
+        if "form" in self.tag:
+            self._forms()
+
+    def _forms(self) -> None:
+        """Drops forms, but for those around the page's heading or article, or half of the text of a page without either."""
+        sums = self.sums(self.dropped)
+        holds = [t in ("h1", "article", "main") and not d and n > 0 for t, d, n in zip(self.tag, self.dropped, sums)]
+        most = 2.0 if any(holds) else 0.5
+        for e in range(len(holds) - 1, 0, -1):
+            holds[self.parent[e]] |= holds[e]
+        for e in range(1, len(holds)):
+            self.dropped[e] |= self.dropped[self.parent[e]] or self.tag[e] == "form" and not holds[e] and sums[e] < max(most * sums[0], 1)
+        self.blocks = [b for b in self.blocks if not self.dropped[b[2]]]
 
     def off(self, drop: frozenset = frozenset(), keep: frozenset = frozenset()) -> list[bool]:
         """Which elements are left out: hinted ones without the page's heading, but for the paths ``keep``, and ``drop``."""
@@ -187,43 +205,63 @@ class Page:
                 return e, sums[e] / sums[0]
         return None
 
-    def votes(self) -> list[tuple[int, float, int, int, bool, bool]]:
-        """For each path with text: weight as the page's best, hashes of heading and text, whether it is hinted, and whether
-        the heading stands there."""
+    def votes(self) -> list[tuple[int, float, int, int, bool, bool, int, int, bool]]:
+        """For each path with text: weight as the page's best, hashes of heading and text, whether it is hinted, whether the
+        heading stands there, its characters, those in links, and whether it stands behind all text that isn't hinted of
+        the page's best container."""
         off = self.off()
         best = self.best(off)
         size = len(self.path)
-        chars, texts, headed = [0] * size, [0] * size, [False] * size
-        for text, _, e in self.blocks:
+        chars, linked, texts, headed, first = [0] * size, [0] * size, [0] * size, [False] * size, [len(self.blocks)] * size
+        within = [best is not None and e == best[0] for e in range(size)]
+        for e in range(1, size):
+            within[e] = within[e] or within[self.parent[e]]
+        last = -1
+        for i, (text, links, e) in enumerate(self.blocks):
             chars[e] += len(text)
+            linked[e] += links
             texts[e] += _hash(text)
             headed[e] |= self.tag[e] == "h1"
+            first[e] = min(first[e], i)
+            if within[e] and not off[e]:
+                last = i
         for e in range(size - 1, 0, -1):
             up = self.parent[e]
             chars[up] += chars[e]
+            linked[up] += linked[e]
             texts[up] += texts[e]
             headed[up] |= headed[e]
+            first[up] = min(first[up], first[e])
         heading = _hash(self.heading) if self.heading else texts[0]
         by: dict[int, list] = {}
         for e in range(1, size):
             if not self.dropped[e] and chars[e]:
-                row = by.setdefault(self.path[e], [0.0, 0, False, False])
+                row = by.setdefault(self.path[e], [0.0, 0, False, False, 0, 0, True])
                 row[1] += texts[e]
                 row[2] |= self.hinted[e]
                 row[3] |= headed[e]
+                row[4] += chars[e]
+                row[5] += linked[e]
+                row[6] &= within[e] and first[e] > last
         if best and self.path[best[0]] in by:
             by[self.path[best[0]]][0] = best[1]
-        return [(_signed(p), w, _signed(heading & _MASK), _signed(t & _MASK), hint, h) for p, (w, t, hint, h) in by.items()]
+        return [(_signed(p), w, _signed(heading & _MASK), _signed(t & _MASK), *rest) for p, (w, t, *rest) in by.items()]
 
     def text(self, winner: int | None, drop: frozenset = frozenset(), keep: frozenset = frozenset()) -> str:
-        """The blocks at the path ``winner``, else those of the page's best container, else all; without what is left out."""
+        """The blocks at the path ``winner``, else those of the page's best container, without the paths ``drop``; where a page
+        has no container, all blocks but hinted ones. Hints count as long as some text has none."""
         off = self.off(drop, keep)
         at = [p == winner for p in self.path]
-        if not any(at[e] and not off[e] for e in range(1, len(at))) and (best := self.best(off)):
-            at[best[0]] = True
+        if not any(at[e] and not off[e] for e in range(1, len(at))):
+            if best := self.best(off):
+                at[best[0]] = True
+            elif best := self.best(self.dropped):  # all of the text is hinted
+                at[best[0]], off = True, self.dropped
+        out = self.dropped.copy()
         for e in range(1, len(at)):
-            at[e] = at[e] or at[self.parent[e]]
-        found = [t for t, _, e in self.blocks if at[e] and not off[e]]
+            at[e] = at[e] and not off[e] or at[self.parent[e]]
+            out[e] = out[e] or out[self.parent[e]] and at[self.parent[e]] or self.path[e] in drop
+        found = [t for t, _, e in self.blocks if at[e] and not out[e]]
         return "\n".join(found or [t for t, _, e in self.blocks if not off[e]])
 
 
@@ -241,7 +279,7 @@ def host(url: Column) -> Column:
 
 def votes(pages: DataFrame) -> DataFrame:
     """host and what each page says of each of its paths."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.int64()), ("weight", pa.float64()), ("heading", pa.int64()), ("text", pa.int64()), ("hinted", pa.bool_()), ("headed", pa.bool_())])
+    schema = pa.schema([("host", pa.string()), ("path", pa.int64()), ("weight", pa.float64()), ("heading", pa.int64()), ("text", pa.int64()), ("hinted", pa.bool_()), ("headed", pa.bool_()), ("chars", pa.int64()), ("linked", pa.int64()), ("behind", pa.bool_())])
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         got = [(h, *v) for h, source in zip(cols["host"], cols["html"]) for v in Page(source).votes()]
@@ -254,18 +292,20 @@ def consensus(votes: DataFrame) -> DataFrame:
     """host, winner, drop and keep: the path that its pages extract, and the paths that they leave out or keep.
 
     Only paths of ``SHARE`` of the host's headings are listed, so that a host's lists stay short. Equal votes go to the
-    lesser path. Headings and texts are counted by sketches.
+    lesser path. Headings and texts are counted exactly.
     """
     by = votes.groupBy("host", "path").agg(
-        F.sum("weight").alias("weight"), F.approx_count_distinct("heading", 0.02).alias("headings"), F.approx_count_distinct("text", 0.02).alias("texts"),
+        F.sum("weight").alias("weight"), F.count_distinct("heading").alias("headings"), F.count_distinct("text").alias("texts"),
         F.bool_or("hinted").alias("hinted"), F.avg(F.col("headed").cast("double")).alias("headed"),
+        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.avg(F.col("behind").cast("double")).alias("behind"),
     )
     by = written(by)
     whole = by.groupBy("host").agg(F.max("headings").alias("most"), F.max(F.struct(F.round("weight", 6).alias("weight"), F.bitwise_not("path").alias("less"))).alias("w"))
     seen = (F.col("headings") >= HEADINGS) & (F.col("headings") >= SHARE * F.col("most"))
     same = F.col("texts") * 2 <= F.col("headings")
     wins = F.bitwise_not("path") == F.col("w.less")
-    drop = F.when(seen & same & (F.col("headed") < 0.5) & ~wins, F.col("path"))
+    beside = F.col("hinted") & ((2 * F.col("linked") >= F.col("chars")) | (F.col("behind") >= BEHIND))
+    drop = F.when(seen & (same | beside) & (F.col("headed") < 0.5) & ~wins, F.col("path"))
     keep = F.when(F.col("hinted") & (F.col("headed") >= 0.5) & (F.col("headings") >= SHARE * F.col("most")), F.col("path"))
     listed = by.join(whole, "host").select("host", F.col("w"), drop.alias("drop"), keep.alias("keep")).where("drop is not null or keep is not null")
     lists = listed.groupBy("host").agg(F.collect_list("drop").alias("drop"), F.collect_list("keep").alias("keep"))

@@ -115,6 +115,58 @@ def test_hosts_votes_change_the_text(spark):
     assert got[30] == "One head\none text\nOur app is new\nsame"  # copies of one page say nothing
 
 
+def test_words_alone_and_quotes_drop_nothing():
+    page = lambda x: html_extract.Page(x).text(None)
+    assert page("<article><p>one <a href=/it's>two</a> three</p><p>more text</p><p>don't stop</p></article>") == "one two three\nmore text\ndon't stop"
+    assert page("<html><body><form id=f action='/x?a=b'><input name=q><h1>T</h1><p>text of the page</p><button>go</button></form></body></html>") == "T\ntext of the page"
+    assert page('<body><form><p>all of the text is in here</p></form><p>few</p></body>') == "all of the text is in here\nfew"
+    assert page("<article><p>z</p></article><form><p>log in with a long text</p></form>") == "z"
+    assert page("<article><p class='search'>a b c</p><p class=\"social notice\">d e f</p><section class=\"menu\">g h</section></article>") == "a b c\nd e f\ng h"
+    assert page("<article><h1>q</h1><p class='search'>a b c</p><p class=\"social notice\">d e f</p><section class=\"menu\">g h</section></article>") == "q\na b c\nd e f\ng h"
+    assert page("<p title='x class=ad>y' id=q>z</p><p a==b>x</p><p a=>y</p><p 'q\">w</p><p b='") == "z\nx\ny\nw"
+
+
+def test_consensus_is_a_plain_count_of_votes(spark):
+    """Headings, texts, links and places of every path of a host, counted in sets."""
+    r = random.Random(6)
+    box = lambda c, x: f'<div class="{c}">{x}</div>'
+    rows = []
+    for i in range(120):
+        parts = [f"<h1>Head {i % 50}</h1>", f"<p>{'text %d ' % i * 8}</p>"]
+        parts += [box("share", "".join(f"<a href=/{k}>link {i} {k}</a>" for k in range(3)))] if r.random() < 0.8 else []
+        parts += [box("notice", f"a notice of the article {i}")] if r.random() < 0.6 else []
+        parts += [box("x", r.choice(["Our app", f"mine {i}"]))] if r.random() < 0.2 else []
+        parts += [f"<p>more {i}</p>"]
+        parts += [box("comments", f"<p>talk {i}</p>" * r.randint(1, 4))] if r.random() < 0.8 else []
+        rows.append((i, f"http://{r.choice('aab')}.example/{i}", f"<body><article>{''.join(parts)}</article></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    by = {}
+    for _, url, source in rows:
+        for path, weight, heading, text, hinted, headed, chars, linked, behind in html_extract.Page(source).votes():
+            row = by.setdefault((url[7], path), [0.0, set(), set(), False, [], 0, 0, []])
+            row[0] += weight
+            row[1].add(heading), row[2].add(text), row[4].append(headed), row[7].append(behind)
+            row[3] |= hinted
+            row[5] += chars
+            row[6] += linked
+    want = {}
+    for h in "ab":
+        paths = {p: v for (x, p), v in by.items() if x == h}
+        most = max(len(v[1]) for v in paths.values())
+        winner = max((round(v[0], 6), ~p) for p, v in paths.items())[1]
+        drop = set()
+        for p, (_, heads, texts, hinted, headed, chars, linked, behind) in paths.items():
+            beside = hinted and (2 * linked >= chars or sum(behind) / len(behind) >= 0.9)
+            if len(heads) >= max(3, 0.01 * most) and (2 * len(texts) <= len(heads) or beside) and sum(headed) / len(headed) < 0.5 and ~p != winner:
+                drop.add(p)
+        want[h] = (~winner, drop)
+    got = {x.host[0]: (x.winner, set(x.drop or ())) for x in html_extract.consensus(html_extract.votes(df)).collect()}
+    assert got == want and all(len(d) >= 2 for _, d in got.values())  # links and comments at least
+    for x in html_extract.extract(df).collect():
+        assert x.text.startswith(f"Head {x.page_id % 50}\ntext") and f"more {x.page_id}" in x.text and "link" not in x.text and "talk" not in x.text
+        assert ("a notice of" in x.text) == ("notice" in rows[x.page_id][2])
+
+
 def test_extraction_of_words_within_classes_and_deep_or_broken_pages():
     import time
 
