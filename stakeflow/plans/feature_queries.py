@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stakeflow.operators import asof, dedup, features, identity, profile
+from stakeflow.operators import asof, dedup, features, game_context, identity, profile
 from stakeflow.plans.adapters import BETS, DAY, GAMES, MINUTE, bets, games, sessions
 from stakeflow.plans.sequence_queries import CUTOFF, MAPPING
 
@@ -51,7 +51,9 @@ def w8_declared_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("bet_id", *[(F.round(F.col(c).cast("double"), 9) + 0).alias(c) for c in SHOWN])
 
 
-TIMELINE = f"""{GAMES}, g AS (SELECT * FROM (SELECT * FROM games QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY ts_ms DESC) = 1) WHERE game_status = 'RESOLVED'),
+def timeline_sql(rounds: str) -> str:
+    """Lines of the newest versions of a table of rounds."""
+    return f"""g AS (SELECT * FROM (SELECT * FROM {rounds} QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY ts_ms DESC) = 1) WHERE game_status = 'RESOLVED'),
 c AS (SELECT *, CASE WHEN outcome = 'VOID' OR lag(outcome) OVER o IS NULL OR lag(outcome) OVER o <> outcome THEN 1 ELSE 0 END AS ch, lag(total_turnover) OVER o AS lt, lag(casino_win) OVER o AS lw FROM g WINDOW o AS (PARTITION BY table_id ORDER BY us, game_id)),
 d AS (SELECT *, sum(ch) OVER (PARTITION BY table_id ORDER BY us, game_id ROWS UNBOUNDED PRECEDING) AS grp FROM c),
 s AS (SELECT *, CASE WHEN outcome = 'VOID' THEN 0 ELSE count(*) OVER (PARTITION BY table_id, grp ORDER BY us, game_id ROWS UNBOUNDED PRECEDING) END AS streak FROM d),
@@ -61,6 +63,9 @@ line AS (SELECT table_id, game_id, us, CAST(coalesce(lag(streak) OVER o, 0) AS B
   coalesce(lag(num_players) OVER o, 0) AS table_num_players, CASE WHEN coalesce(lag(num_players) OVER o, 0) = 1 THEN 1 ELSE 0 END AS patron_is_sole_player,
   greatest(0.0, least(10.0, coalesce(t5 / nullif(t15, 0.0), 0.0))) AS table_turnover_w5m_over_w15m, greatest(-1e9, least(1e9, coalesce(n15, 0.0))) AS table_net_outcome_w15m
   FROM s JOIN near USING (game_id) WINDOW o AS (PARTITION BY table_id ORDER BY us, game_id), l20 AS (PARTITION BY table_id ORDER BY us, game_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
+
+
+TIMELINE = f"{GAMES}, {timeline_sql('games')}"
 GAME_OUT = "current_outcome_streak_len, round(banker_rate_w20games, 6) AS banker_rate_w20games, round(player_rate_w20games, 6) AS player_rate_w20games, round(tie_rate_w20games, 6) AS tie_rate_w20games, table_num_players, patron_is_sole_player, round(table_turnover_w5m_over_w15m, 6) AS table_turnover_w5m_over_w15m, round(table_net_outcome_w15m, 4) + 0 AS table_net_outcome_w15m"
 
 
@@ -89,6 +94,37 @@ def j16_game_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.asof_join(bets(spark, sf_dir).select("bet_id", "table_id", "us"), line, "table_id", "us", "game_us", strict=True, tie="game_id", bucket=DAY // 24).select("bet_id", "game_id", "current_outcome_streak_len", "table_num_players")
 
 
+#: Restated rounds become visible two hours after their first version.
+SEEN_GAMES = f"""{GAMES}, told AS (SELECT * REPLACE (etl_us + (ts_ms - us // 1000) * {120 * MINUTE} AS etl_us) FROM games)"""
+
+
+def _told(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return games(spark, sf_dir).withColumn("etl_us", F.col("etl_us") + (F.col("ts_ms") - F.floor(F.col("us") / 1000)) * (120 * MINUTE))
+
+
+@query(f"""WITH {BETS}, {SEEN_GAMES}, {timeline_sql("told")},
+r AS (SELECT line.* EXCLUDE (us), told.etl_us AS seen FROM line JOIN (SELECT game_id, etl_us FROM told QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY ts_ms DESC) = 1) told USING (game_id) QUALIFY row_number() OVER (PARTITION BY table_id, told.etl_us ORDER BY game_id DESC) = 1)
+SELECT bet_id, game_id, coalesce(current_outcome_streak_len, 0) AS current_outcome_streak_len, coalesce(table_num_players, 0) AS table_num_players, round(coalesce(table_net_outcome_w15m, 0), 4) + 0 AS table_net_outcome_w15m FROM bets b ASOF LEFT JOIN r ON b.table_id = r.table_id AND b.us > r.seen""")
+def j16_context_by_visible_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = game_context.game_context(bets(spark, sf_dir).select("bet_id", "table_id", "us"), _told(spark, sf_dir), unit=UNIT, bucket=DAY // 24)
+    return out.select("bet_id", "game_id", "current_outcome_streak_len", "table_num_players", (F.round("table_net_outcome_w15m", 4) + 0).alias("table_net_outcome_w15m"))
+
+
+@query(f"""WITH {BETS}, {SEEN_GAMES},
+v AS (SELECT b.bet_id, b.us AS t, g.* FROM bets b JOIN told g ON g.table_id = b.table_id AND g.etl_us <= b.etl_us AND g.us < b.us AND g.us >= b.us - {2 * DAY} QUALIFY row_number() OVER (PARTITION BY b.bet_id, g.game_id ORDER BY g.ts_ms DESC, g.etl_us DESC) = 1),
+c AS (SELECT *, CASE WHEN outcome = 'VOID' OR lag(outcome) OVER o IS NULL OR lag(outcome) OVER o <> outcome THEN 1 ELSE 0 END AS ch, lag(total_turnover) OVER o AS lt, lag(casino_win) OVER o AS lw, last_value(us) OVER (PARTITION BY bet_id ORDER BY us, game_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS top FROM v WHERE game_status = 'RESOLVED' WINDOW o AS (PARTITION BY bet_id ORDER BY us, game_id)),
+d AS (SELECT *, sum(ch) OVER (PARTITION BY bet_id ORDER BY us, game_id ROWS UNBOUNDED PRECEDING) AS grp FROM c),
+s AS (SELECT *, CASE WHEN outcome = 'VOID' THEN 0 ELSE count(*) OVER (PARTITION BY bet_id, grp ORDER BY us, game_id ROWS UNBOUNDED PRECEDING) END AS streak,
+  sum(lt) FILTER (us > top - {5 * UNIT}) OVER w AS t5, sum(lt) FILTER (us > top - {15 * UNIT}) OVER w AS t15, sum(lw) FILTER (us > top - {15 * UNIT}) OVER w AS n15 FROM d WINDOW w AS (PARTITION BY bet_id)),
+l AS (SELECT bet_id, game_id, lag(streak) OVER o AS st, {", ".join(f"avg(CASE WHEN outcome = '{x}' THEN 1.0 ELSE 0.0 END) OVER l20 AS {x.lower()}" for x in ("BANKER", "PLAYER", "TIE"))}, lag(num_players) OVER o AS np, t5, t15, n15
+  FROM s WINDOW o AS (PARTITION BY bet_id ORDER BY us, game_id), l20 AS (PARTITION BY bet_id ORDER BY us, game_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) QUALIFY row_number() OVER (PARTITION BY bet_id ORDER BY us DESC, game_id DESC) = 1)
+SELECT bets.bet_id, l.game_id, CAST(coalesce(st, 0) AS BIGINT) AS current_outcome_streak_len, {", ".join(f"round(coalesce({x}, 0.0), 6)::DOUBLE AS {x}_rate_w20games" for x in ("banker", "player", "tie"))}, CAST(coalesce(np, 0) AS INT) AS table_num_players, CAST(coalesce(np, 0) = 1 AS INT) AS patron_is_sole_player,
+  round(greatest(0.0, least(10.0, coalesce(t5 / nullif(t15, 0.0), 0.0))), 6) AS table_turnover_w5m_over_w15m, round(greatest(-1e9, least(1e9, coalesce(n15, 0.0))), 4) + 0 AS table_net_outcome_w15m FROM bets LEFT JOIN l USING (bet_id)""")
+def j16_context_as_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = game_context.context_as_seen(bets(spark, sf_dir).withColumn("seen_us", F.col("etl_us")), _told(spark, sf_dir), unit=UNIT)
+    return got.select("bet_id", "game_id", "current_outcome_streak_len", *[F.round(f"{x}_rate_w20games", 6).alias(f"{x}_rate_w20games") for x in ("banker", "player", "tie")], "table_num_players", "patron_is_sole_player", F.round("table_turnover_w5m_over_w15m", 6).alias("table_turnover_w5m_over_w15m"), (F.round("table_net_outcome_w15m", 4) + 0).alias("table_net_outcome_w15m"))
+
+
 #: Snapshots of quarters.
 SNAPS = [CUTOFF + q * 91 * DAY for q in range(-3, 1)]
 #: SQL of a measure of a window, which stands for the braces.
