@@ -165,3 +165,25 @@ def t8_verdict_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     log, _ = _verdict_stream(spark, sf_dir)
     return validation.current_verdicts(log).select("alert_id", "verdict")
+
+
+SEEN = "CASE WHEN bet_id % 5 = 0 THEN us ELSE etl_us END"
+
+
+@query(f"WITH {BETS} SELECT bet_id, wager FROM bets WHERE {SEEN} <= {END - 2 * DAY - MINUTE}")
+def t1_observed_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bets by the cursor of observed time, over a table that grows at three stops, with a restart at each."""
+    import uuid
+
+    from stakeflow.sources.materialise import shared_folder
+    from stakeflow.sources.observed import observed_stream
+
+    at, last = f"{shared_folder(spark)}/observed-{uuid.uuid4().hex}", None
+    b = bets(spark, sf_dir).withColumn("etl_us", F.when(F.col("bet_id") % 5 != 0, F.col("etl_us")))
+    seen = F.coalesce("etl_us", "us")
+    for stop in (END - 10 * DAY, END - 6 * DAY, END - 2 * DAY):
+        (b.where(seen <= stop) if last is None else b.where((seen > last) & (seen <= stop))).write.mode("append").parquet(f"{at}/bets")
+        rows = observed_stream(spark, f"{at}/bets", now_us=stop).select("bet_id", "wager")
+        rows.writeStream.format("parquet").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
+        last = stop
+    return spark.read.schema("bet_id long, wager double").parquet(f"{at}/rows")
