@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeflow.functions.ids import clean_card_id
 from stakeflow.operators.dedup import dedup_sessions
-from stakeflow.operators.ranking import value_quantiles
+from stakeflow.operators.ranking import global_index, value_quantiles
+from stakeflow.sources.materialise import materialised
 
 SECOND, MINUTE = 1_000_000, 60_000_000
 DAY = 1440 * MINUTE
@@ -53,6 +56,30 @@ def frame_digest(df: DataFrame) -> DataFrame:
     return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("sum"), F.coalesce(F.bit_xor("h"), F.lit(0)).cast("long").alias("xor"), F.sum(F.pmod("h", F.lit(1 << 30)).cast("decimal(38,0)") * F.pmod("h", F.lit(1 << 30)).cast("decimal(10,0)")).cast("decimal(38,0)").cast("string").alias("squares"))
 
 
+#: Digests that one hash of the tree is over.
+CHUNK = 4096
+
+
+def ordered_fingerprint(df: DataFrame, order: list[str], columns: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
+    """One row: rows, and a hash of them in the order of ``order``, ascending with nulls last.
+
+    Rows are hashed, numbered in one order over range partitions, and hashed again by chunks of ``chunk`` numbers, which
+    are hashed by chunks in turn until one is left. A chunk is a span of row numbers, so that partitions don't matter, and
+    no task has more than one chunk's digests of 64 characters. Rows of equal order go by their hash. Equal rows count each;
+    an empty table has the hash of nothing. Columns are compared as text; nulls and empty strings differ."""
+    here = df.select(columns or df.columns)
+    rows = df.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], row_digest(here).alias("d"))
+    level = global_index(rows, *[F.col(f"_o{i}").asc_nulls_last() for i in range(len(order))], F.col("d"), name="i").select("i", "d")
+    n = level.count()
+    left = max(1, n)
+    while True:
+        joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "d"))), lambda x: x["d"]), "")
+        left = -(-left // chunk)
+        if left == 1:
+            return level.agg(F.lit(n).cast("long").alias("rows"), F.sha2(joined, 256).alias("fingerprint"))  # a chunk of digests
+        level = level.groupBy(F.floor(F.col("i") / chunk).alias("i")).agg(F.sha2(joined, 256).alias("d"))
+
+
 def digest_until(df: DataFrame, until_us: int, time: str = "snapshot_us") -> DataFrame:
     """The digest of the rows up to a time."""
     return frame_digest(df.where(F.col(time) <= until_us))
@@ -248,3 +275,110 @@ def drift(reference: DataFrame, current: DataFrame, columns: list[str], bins: in
     upto = lambda c: F.coalesce(F.sum(c).over(up) / F.nullif(F.sum(c).over(w), F.lit(0)), F.lit(0.0))
     n = n.withColumns({"pr": F.greatest(share("r"), F.lit(1e-6)), "pc": F.greatest(share("c"), F.lit(1e-6)), "ks": F.abs(upto("r") - upto("c"))})
     return n.groupBy("feature_name").agg(F.sum((F.col("pc") - F.col("pr")) * F.log(F.col("pc") / F.col("pr"))).alias("psi"), F.max("ks").alias("ks"))
+
+
+#: Of trees: equal-frequency bins of a column, trees, their depth, the step of each, the weight that a split's sides start with.
+BINS, TREES, DEPTH, RATE, RIDGE = 16, 10, 3, 0.3, 1.0
+#: Gradients are summed as integers of this many parts, so that sums don't depend on their order.
+PARTS = 1 << 20
+
+
+def _bin_edges(df: DataFrame, columns: list[str], bins: int) -> list[list[float]]:
+    """Of each column the values between equal shares of its rows, exact, from counts by value."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature_name"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("value")) for c in columns])).alias("x")).select("x.*")
+    found = {r.feature_name: sorted({v for k, v in r.asDict().items() if k != "feature_name"}) for r in value_quantiles(long, "value", {f"q{i}": i / bins for i in range(1, bins)}, "feature_name").collect()}
+    return [found.get(c, []) for c in columns]
+
+
+def _leaf(tree: dict[int, tuple[int, int]], x: np.ndarray) -> np.ndarray:
+    """The node of each row of bins: a split's sides are 2n + 1 and 2n + 2, the left one up to its bin."""
+    node = np.zeros(len(x), np.int64)
+    for n in sorted(tree):
+        feature, bin_ = tree[n]
+        here = node == n
+        node[here] = 2 * n + 1 + (x[here, feature] > bin_)
+    return node
+
+
+def tree_gains(df: DataFrame, columns: list[str], label: str = "label", bins: int = BINS, trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> DataFrame:
+    """feature_name and gain: what each column's splits take off the loss of boosted trees for a 0/1 label, in all.
+
+    Columns are cut into equal-frequency bins once; nulls are 0. A level of a tree is one pass over the binned rows: each task
+    adds gradients and curvatures up by node, column and bin, all columns at a time, and Spark adds these tables, which
+    have nodes times columns times bins rows whatever the input. Sums are of integers, so that any partitioning gives
+    the same trees; equal gains go to the earlier column and the lower bin. Rows without a 0/1 label don't count.
+    """
+    known = df.where(F.col(label).isin(0, 1))
+    edges = _bin_edges(known, columns, bins)
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns])
+    rows = materialised(known.select(values.alias("x"), F.col(label).cast("double").alias("y")))
+    grown: list[tuple[dict, dict]] = []
+    gains = dict.fromkeys(columns, 0.0)
+    width = max((len(e) for e in edges), default=0) + 1
+
+    def sums(tree: dict[int, tuple[int, int]]) -> dict[int, np.ndarray]:
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                if not len(part):
+                    continue
+                v = np.stack(part["x"].to_numpy())
+                x = np.stack([np.searchsorted(e, v[:, j]) for j, e in enumerate(edges)], axis=1)
+                margin = np.zeros(len(x))
+                for t, leaves in grown:
+                    margin += np.array([leaves.get(n, 0.0) for n in range(2 ** (depth + 1))])[_leaf(t, x)]
+                p = 1 / (1 + np.exp(-margin))
+                g, h = np.round((p - part["y"].to_numpy()) * PARTS), np.round(p * (1 - p) * PARTS)
+                node = _leaf(tree, x)
+                for n in np.unique(node):
+                    here = node == n
+                    for j in range(x.shape[1]):
+                        a, b = (np.bincount(x[here, j], c[here], width).astype(np.int64) for c in (g, h))
+                        yield pd.DataFrame({"node": n, "feature": j, "bin": np.arange(width), "g": a, "h": b})
+
+        total = rows.mapInPandas(run, "node long, feature int, bin int, g long, h long").groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        out: dict[int, np.ndarray] = {}
+        for r in total.collect():  # nodes times columns times bins
+            out.setdefault(r.node, np.zeros((2, len(columns), width)))[:, r.feature, r.bin] = r.g / PARTS, r.h / PARTS
+        return out
+
+    for _ in range(trees):
+        tree: dict[int, tuple[int, int]] = {}
+        for level in range(depth):
+            for n, (g, h) in sorted(sums(tree).items()):
+                if n < 2**level - 1:  # a leaf of a level before
+                    continue
+                left_g, left_h = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+                all_g, all_h = g.sum(axis=1, keepdims=True), h.sum(axis=1, keepdims=True)
+                gain = left_g**2 / (left_h + RIDGE) + (all_g - left_g) ** 2 / (all_h - left_h + RIDGE) - all_g**2 / (all_h + RIDGE)
+                if not gain.size or (best := float(np.max(gain))) <= 1e-9:
+                    continue
+                feature, bin_ = np.unravel_index(int(np.argmax(gain)), gain.shape)
+                tree[n] = (int(feature), int(bin_))
+                gains[columns[feature]] += best
+        leaves = {n: -rate * float(g[0].sum()) / (float(h[0].sum()) + RIDGE) for n, (g, h) in sums(tree).items()}
+        grown.append((tree, leaves))
+    return df.sparkSession.createDataFrame(list(gains.items()), "feature_name string, gain double")
+
+
+def screened(df: DataFrame, columns: list[str], label: str = "label", method: str = "trees", most: float = 0.95, k: int | None = 20, **kw) -> DataFrame:
+    """feature_name, rank and score of the k best columns that vary, by one of three methods.
+
+    ``trees``: those that don't correlate above ``most`` with one named before, by gain. ``information``: by mutual
+    information, less those that correlate with one of more. ``information_then_trees``: what the second keeps, by gain.
+    Equal scores go by name.
+    """
+    if method not in ("trees", "information", "information_then_trees"):
+        raise ValueError(f"unknown method {method!r}")
+    if k is not None and k < 1:
+        raise ValueError("k must be positive")
+    varied = {r.feature_name for r in column_std(df, columns).where("std > 0").collect()}  # a row a column
+    kept = [c for c in columns if c in varied]
+    scores: dict[str, float] = {}
+    if method != "trees" and kept:
+        scores = {r.feature_name: r.information for r in mutual_information(df, kept, label).collect()}
+        kept = sorted(kept, key=lambda c: (-scores[c], c))
+    kept = prune_correlated(df, kept, most) if len(kept) > 1 else kept
+    if method != "information" and kept:
+        scores = {r.feature_name: r.gain for r in tree_gains(df, kept, label, **kw).collect()}
+        kept = sorted(kept, key=lambda c: (-scores[c], c))
+    return df.sparkSession.createDataFrame([(c, i, float(scores[c])) for i, c in enumerate(kept[:k], 1)], "feature_name string, rank int, score double")

@@ -81,6 +81,12 @@ def a24_screen_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(audit.screen_features(df, [*NUMBERS, "twice", "same"], k=3), 9)
 
 
+@query()
+def a24_tree_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read(spark, sf_dir, "lineitem").withColumns({"label": (F.col("l_returnflag") == "R").cast("int"), "twice": F.col("l_quantity") * 2, "same": F.lit(1.0)})
+    return rounded(audit.screened(df, [*NUMBERS, "twice", "same"], method="information_then_trees", k=3), 9)
+
+
 @query(f"WITH {SESSIONS}, c AS (SELECT session_id, count(*) AS versions FROM sessions GROUP BY 1) SELECT versions, count(*) AS keys FROM c GROUP BY 1")
 def a33_version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.version_counts(sessions(spark, sf_dir), "session_id")
