@@ -343,20 +343,23 @@ def tree_gains(df: DataFrame, columns: list[str], label: str = "label", bins: in
 
     for _ in range(trees):
         tree: dict[int, tuple[int, int]] = {}
+        ends: dict[int, tuple[float, float]] = {}  # sums of the nodes that may be leaves
         for level in range(depth):
             for n, (g, h) in sorted(sums(tree).items()):
                 if n < 2**level - 1:  # a leaf of a level before
                     continue
                 left_g, left_h = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
                 all_g, all_h = g.sum(axis=1, keepdims=True), h.sum(axis=1, keepdims=True)
+                ends[n] = (float(all_g[0, 0]), float(all_h[0, 0]))
                 gain = left_g**2 / (left_h + RIDGE) + (all_g - left_g) ** 2 / (all_h - left_h + RIDGE) - all_g**2 / (all_h + RIDGE)
                 if not gain.size or (best := float(np.max(gain))) <= 1e-9:
                     continue
                 feature, bin_ = np.unravel_index(int(np.argmax(gain)), gain.shape)
                 tree[n] = (int(feature), int(bin_))
+                a, b = float(left_g[feature, bin_]), float(left_h[feature, bin_])
+                ends[2 * n + 1], ends[2 * n + 2] = (a, b), (ends[n][0] - a, ends[n][1] - b)
                 gains[columns[feature]] += best
-        leaves = {n: -rate * float(g[0].sum()) / (float(h[0].sum()) + RIDGE) for n, (g, h) in sums(tree).items()}
-        grown.append((tree, leaves))
+        grown.append((tree, {n: -rate * g / (h + RIDGE) for n, (g, h) in ends.items()}))
     return df.sparkSession.createDataFrame(list(gains.items()), "feature_name string, gain double")
 
 

@@ -187,3 +187,23 @@ def t1_observed_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.writeStream.format("parquet").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
         last = stop
     return spark.read.schema("bet_id long, wager double").parquet(f"{at}/rows")
+
+
+@query(f"WITH {BETS} SELECT session_id, count(*) AS bets, round(sum(wager), 6) + 0 AS wager, min(us) AS first_us, max(us) AS last_us FROM bets GROUP BY session_id HAVING max(us) >= (SELECT max(us) FROM bets) - {DAY}")
+def t4_session_totals_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the sessions of the last 24 hours, in a table of buckets that a stream of three batches of all bets keeps."""
+    import uuid
+
+    from stakeflow.sources.keyed import KeyedTable
+    from stakeflow.sources.materialise import shared_folder
+    from stakeflow.streaming import queries as streams
+
+    at, last = f"{shared_folder(spark)}/keyed-{uuid.uuid4().hex}", None
+    rows = bets(spark, sf_dir).select("session_id", F.lit(1).cast("long").alias("bets"), "wager", F.col("us").alias("first_us"), F.col("us").alias("last_us"))
+    kept = KeyedTable(spark, f"{at}/table", "session_id", {"bets": "sum", "wager": "sum", "first_us": "min", "last_us": "max"}, time="last_us")
+    for stop in (END - 12 * DAY, END - 5 * DAY, END + 365 * DAY):
+        us = F.col("first_us")
+        (rows.where(us <= stop) if last is None else rows.where((us > last) & (us <= stop))).write.mode("append").parquet(f"{at}/in")
+        kept.follow(streams.stream_table(spark, f"{at}/in", rows.schema), f"{at}/checkpoint").awaitTermination()
+        last = stop
+    return kept.read(rows.schema).select("session_id", "bets", (F.round("wager", 6) + 0).alias("wager"), "first_us", "last_us")
