@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -12,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stakeflow.operators import ranking
+from stakeflow.sources.materialise import materialised
 
 
 def _fit(train: DataFrame, features: list[str], stages: list) -> PipelineModel:
@@ -27,6 +32,84 @@ def tree_baseline(train: DataFrame, features: list[str], depth: int = 3) -> Pipe
     return _fit(train, features, [DecisionTreeClassifier(featuresCol="_raw", labelCol="label", maxDepth=depth, seed=7)])
 
 
+#: Of gradient descent: shards whose rows go one after another, passes, first step, its decay by rows, and the L2 penalty.
+SHARDS, EPOCHS, STEP, DECAY, PENALTY = 16, 5, 0.1, 1e-4, 1e-4
+
+
+@dataclass(frozen=True)
+class Linear:
+    """A linear model of standardised columns; ``steps`` are the mean losses of its epochs."""
+
+    weights: list[float]
+    bias: float
+    means: list[float]
+    sds: list[float]
+    steps: list[float]
+
+    def score(self, features: list[str]) -> Column:
+        """The positive class's probability, as one expression."""
+        z = F.lit(self.bias)
+        for f, w, m, s in zip(features, self.weights, self.means, self.sds):
+            z = z + (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) - m) / s * w
+        return 1 / (1 + F.exp(-z))
+
+
+def descent_step(w: np.ndarray, x: np.ndarray, y: float, weight: float, seen: int, step: float, decay: float, penalty: float) -> float:
+    """Moves the weights, bias last, by one row's gradient, ``seen`` rows after the first; returns the row's loss before."""
+    z = float(w[:-1] @ x + w[-1])
+    p = 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
+    rate = step / (1 + decay * seen)
+    w[:-1] -= rate * (weight * (p - y) * x + penalty * w[:-1])
+    w[-1] -= rate * weight * (p - y)
+    return -weight * math.log(max(1e-15, p if y else 1 - p))
+
+
+def sgd_baseline(train: DataFrame, features: list[str], key: str = "bet_id", label: str = "label", weight: str | None = None, shards: int = SHARDS, epochs: int = EPOCHS, step: float = STEP, decay: float = DECAY, penalty: float = PENALTY) -> Linear:
+    """A logistic model by stochastic gradient descent with averaged weights, balanced classes unless ``weight`` names a column.
+
+    Rows are dealt to ``shards`` by a hash of their key, and ordered by another, so that a run's order is the same over any
+    partitioning. In each epoch every shard descends from the common weights, row by row, and returns the mean of its
+    weights, a row a shard; their mean by rows is where the next epoch starts. Columns are standardised; nulls and NaN are
+    0. Rows without a 0/1 label or a key don't count; one class alone, or none, is an error.
+    """
+    value = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
+    known = train.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    stats = known.agg(F.count("*"), F.sum(label), *[f(value(c)) for c in features for f in (F.avg, F.stddev_pop)]).first()
+    n, pos = stats[0], stats[1] or 0
+    if not 0 < pos < n:
+        raise ValueError(f"{pos} of {n} rows are positive")
+    means, sds = [float(v) for v in stats[2::2]], [float(v) or 1.0 for v in stats[3::2]]
+    weigh = value(weight) if weight else F.when(F.col(label) == 1, n / (2 * pos)).otherwise(n / (2 * (n - pos)))
+    scaled = F.array(*[(value(c) - m) / s for c, m, s in zip(features, means, sds)])
+    shard = F.pmod(F.xxhash64(F.lit("shard"), key), F.lit(shards)).cast("int")
+    rows = materialised(known.select(shard.alias("shard"), F.xxhash64(F.lit("order"), key).alias("o"), F.col(key).alias("k"), scaled.alias("x"), F.col(label).cast("double").alias("y"), weigh.alias("weight")).repartition("shard").sortWithinPartitions("shard", "o", "k"))
+    now, losses, sizes = np.zeros(len(features) + 1), [], {}
+    for epoch in range(epochs):
+        start = now.copy()
+        seen = {s: epoch * m for s, m in sizes.items()}
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Shards in order; what of one comes in later batches goes on from where it is."""
+            held: dict[int, list] = {}
+            for batch in batches:
+                for s, part in batch.groupby("shard", sort=False):
+                    w, mean, m, loss = held.get(s, [start, np.zeros_like(start), 0, 0.0])
+                    x, y, wt = np.stack(part["x"].to_numpy()), part["y"].to_numpy(), part["weight"].to_numpy()
+                    at = w.copy()
+                    for i in range(len(x)):  # one row at a time, as the weights move
+                        loss += descent_step(at, x[i], y[i], wt[i], seen.get(int(s), 0) + m + i, step, decay, penalty)
+                        mean = mean + at
+                    held[s] = [at, mean, m + len(x), loss]
+            for s, (_, mean, m, loss) in held.items():
+                yield pd.DataFrame({"shard": [s], "n": [m], "w": [(mean / m).tolist()], "loss": [loss]})
+
+        got = sorted(rows.mapInPandas(run, "shard int, n long, w array<double>, loss double").collect())  # a row a shard
+        sizes = {r.shard: r.n for r in got}
+        now = sum(np.array(r.w) * r.n for r in got) / n
+        losses.append(sum(r.loss for r in got) / n)
+    return Linear(now[:-1].tolist(), float(now[-1]), means, sds, losses)
+
+
 def boosted_trees(train: DataFrame, features: list[str], weight: str | None = None, rounds: int = 20, depth: int = 4) -> PipelineModel:
     gbt = GBTClassifier(featuresCol="_raw", labelCol="label", maxIter=rounds, maxDepth=depth, seed=7, **({"weightCol": weight} if weight else {}))
     return _fit(train, features, [gbt])

@@ -67,11 +67,11 @@ def pr_curve(scored: DataFrame, *by: str) -> DataFrame:
     """
     ok = scored.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("label").isin(0, 1))
     points = ok.groupBy(*by, F.col("score").alias("threshold")).agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("pos"))
-    if by:
-        down = Window.partitionBy(*by).orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-        run = points.withColumns({"alerts": F.sum("n").over(down), "tp": F.sum("pos").over(down)})
-        whole = Window.partitionBy(*by)
-        run = run.withColumns({"_pos": F.sum("pos").over(whole), "_all": F.sum("n").over(whole)})
+    if by:  # one order of all groups, so that no task holds a group's scores; less what stood before the group
+        run = prefix_sums(points, [*[F.col(c).asc_nulls_first() for c in by], F.desc("threshold")], {"_n": F.col("n"), "_p": F.col("pos")})
+        whole = run.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(F.min(F.col("_n") - F.col("n")).alias("_n0"), F.min(F.col("_p") - F.col("pos")).alias("_p0"), F.sum("pos").alias("_pos"), F.sum("n").alias("_all"))
+        run = run.join(whole, [run[c].eqNullSafe(whole[f"_g_{c}"]) for c in by])
+        run = run.withColumns({"alerts": F.col("_n") - F.col("_n0"), "tp": F.col("_p") - F.col("_p0")})
     else:
         run = prefix_sums(points, [F.desc("threshold")], {"alerts": F.col("n"), "tp": F.col("pos")})
         run = run.join(F.broadcast(points.agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_all"))))

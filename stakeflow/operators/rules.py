@@ -48,10 +48,14 @@ def profile_violations(profile: DataFrame) -> DataFrame:
     )))
 
 
-def time_window(df: DataFrame, column: str, lo: int, hi: int) -> DataFrame:
-    """Rows in ``[lo, hi)``; a null time is an error when it is met."""
+def time_window(df: DataFrame, column: str, lo: int, hi: int, required: bool = False) -> DataFrame:
+    """Rows in ``[lo, hi)``; a null time is an error when it is met, and with ``required`` so is a window without a row, at
+    once."""
     c = F.when(F.col(column).isNull(), F.raise_error(F.lit(f"{column} is null"))).otherwise(F.col(column))
-    return df.where((c >= lo) & (c < hi))
+    out = df.where((c >= lo) & (c < hi))
+    if required and out.isEmpty():
+        raise ValueError(f"no row with {column} in [{lo}, {hi})")
+    return out
 
 
 def feature_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -70,6 +74,14 @@ def bad_labels(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.count_if(F.col(label).isNull() | ~F.col(label).isin(0, 1)).alias("bad"))
 
 
+def binary_labels(df: DataFrame, label: str = "label") -> DataFrame:
+    """``df``, if every label is 0 or 1; an error that names how many aren't, and one where there is no row."""
+    rows, bad = bad_labels(df, label).first()
+    if bad or not rows:
+        raise ValueError(f"{bad} of {rows} labels are neither 0 nor 1" if rows else "no labels")
+    return df
+
+
 def filled(df: DataFrame, columns: list[str], profile: list[str] = ()) -> DataFrame:
     """Zero for missing values, except of profile columns."""
     return df.fillna(0, [c for c in columns if c not in profile])

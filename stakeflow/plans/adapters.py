@@ -6,6 +6,8 @@ casts don't shift them.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +24,17 @@ def micros(ts) -> object:
     return F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp"))
 
 
-def bets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def between(df: DataFrame, ts: str, lo_us: int | None, hi_us: int | None) -> DataFrame:
+    """Rows of ``[lo, hi)``, compared as stored with literals, so that the bounds reach the scan."""
+    at = lambda us: F.lit(datetime(1970, 1, 1) + timedelta(microseconds=us)).cast("timestamp_ntz")
+    df = df if lo_us is None else df.where(F.col(ts) >= at(lo_us))
+    return df if hi_us is None else df.where(F.col(ts) < at(hi_us))
+
+
+def bets(spark: SparkSession, sf_dir: str, lo_us: int | None = None, hi_us: int | None = None) -> DataFrame:
+    """All bets, or those of ``[lo, hi)``."""
     kind = F.col("event_type")
-    return read(spark, sf_dir, "events").select(
+    return between(read(spark, sf_dir, "events"), "ts", lo_us, hi_us).select(
         F.col("event_id").alias("bet_id"),
         F.col("user_id").alias("player_id"),
         micros("ts").alias("us"),
@@ -51,9 +61,10 @@ BETS = """bets AS (
   FROM events)"""
 
 
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two versions of every third session, cards of which some are blank or the text null, and flags."""
-    o = read(spark, sf_dir, "orders")
+def sessions(spark: SparkSession, sf_dir: str, lo_us: int | None = None, hi_us: int | None = None) -> DataFrame:
+    """Two versions of every third session, cards of which some are blank or the text null, and flags; with bounds, at least
+    those that start in ``[lo, hi)``, which is up to a day after their order."""
+    o = between(read(spark, sf_dir, "orders"), "o_orderdate", None if lo_us is None else lo_us - DAY, hi_us)
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     versions = F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     v = F.col("version")

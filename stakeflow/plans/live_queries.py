@@ -28,7 +28,7 @@ NOW = END - 6 * DAY
 
 @query(f"WITH {BETS} SELECT bet_id, gaming_day FROM bets WHERE us >= {NOW - 10 * DAY} AND us <= {NOW - MINUTE} AND wager > 0")
 def s9_scan_bets_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = bets(spark, sf_dir)
+    b = bets(spark, sf_dir, NOW - 10 * DAY, NOW)
     return live.scan_bets_live(b.withColumn("gaming_day", F.when(F.col("bet_id") % 2 == 0, F.col("gaming_day"))), NOW - 10 * DAY, NOW).select("bet_id", "gaming_day")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stakeflow.functions import ids
-from stakeflow.operators import features, models, splits
+from stakeflow.operators import facts, features, models, ranking, splits
 from stakeflow.plans.adapters import BETS, DAY, MINUTE, SESSIONS, bets, micros, read, scored, sessions
 from stakeflow.plans.sequence_queries import CUTOFF, END, LATEST
 from stakeflow.sources import tables
@@ -47,25 +47,35 @@ def m19_logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query()
-def m20_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+def m19_sgd_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = labelled(spark, sf_dir)
-    model = models.boosted_trees(df.where("split = 'train'"), FEATURES)
-    return models.scored(df.where("split = 'test'"), model, FEATURES).select("bet_id", "score")
+    model = models.sgd_baseline(df.where("split = 'train'"), FEATURES)
+    return df.where("split = 'test'").select("bet_id", model.score(FEATURES).alias("score"))
+
+
+@query()
+def m20_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the test rows, by trees in which each player weighs alike, with their average precision on the valid ones."""
+    df = facts.sample_weights(labelled(spark, sf_dir), "player_id")
+    model = models.boosted_trees(df.where("split = 'train'"), FEATURES, weight="weight")
+    valid = ranking.average_precision(ranking.pr_curve(models.scored(df.where("split = 'valid'"), model, FEATURES)))
+    test = models.scored(df.where("split = 'test'"), model, FEATURES).select("bet_id", "score")
+    return test.join(F.broadcast(valid.withColumnRenamed("average_precision", "valid_average_precision")))  # one row
 
 
 @query(f"WITH {BETS} SELECT bet_id, us, wager FROM bets WHERE us >= {END - 12 * DAY} AND us < {END - 5 * DAY} AND wager > 0")
 def s1_scan_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scan_bets(bets(spark, sf_dir), END - 10 * DAY, END - 5 * DAY, ["bet_id", "us", "wager"])
+    return tables.scan_bets(bets(spark, sf_dir, END - 12 * DAY, END - 5 * DAY), END - 10 * DAY, END - 5 * DAY, ["bet_id", "us", "wager"])
 
 
 @query(f"WITH {SESSIONS.replace('sessions AS', 'every AS')}, sessions AS (SELECT * FROM every WHERE start_us >= {CUTOFF - 31 * DAY} AND start_us < {CUTOFF + DAY}), {LATEST} SELECT session_id FROM latest WHERE is_manual = 0 AND is_deleted = 0 AND is_canceled = 0 AND (turnover > 0 OR num_games_with_wager > 0)")
 def s2_scan_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scan_sessions(sessions(spark, sf_dir), CUTOFF - 30 * DAY, CUTOFF).select("session_id")
+    return tables.scan_sessions(sessions(spark, sf_dir, CUTOFF - 31 * DAY, CUTOFF + DAY), CUTOFF - 30 * DAY, CUTOFF).select("session_id")
 
 
 @query(f"WITH {SESSIONS.replace('sessions AS', 'every AS')}, sessions AS (SELECT * FROM every WHERE start_us >= {CUTOFF - 240 * 60 * MINUTE} AND start_us <= {CUTOFF}), {LATEST} SELECT session_id FROM latest WHERE end_us IS NULL")
 def s10_open_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scan_open_sessions(sessions(spark, sf_dir), CUTOFF, 240).select("session_id")
+    return tables.scan_open_sessions(sessions(spark, sf_dir, CUTOFF - 10 * DAY, CUTOFF + 1), CUTOFF, 240).select("session_id")
 
 
 @query("SELECT DISTINCT CAST(ts AS DATE) AS gaming_day FROM events")

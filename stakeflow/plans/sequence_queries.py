@@ -292,7 +292,7 @@ def j16_strict_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BETS} SELECT bet_id, us, wager FROM bets WHERE us >= {END - 20 * DAY} AND us < {END - 5 * DAY} AND wager > 0")
 def p5_bet_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.bet_dq(bets(spark, sf_dir), END - 20 * DAY, END - 5 * DAY).select("bet_id", "us", "wager")
+    return dedup.bet_dq(bets(spark, sf_dir, END - 20 * DAY, END - 5 * DAY), END - 20 * DAY, END - 5 * DAY).select("bet_id", "us", "wager")
 
 
 @query(f"WITH {SESSIONS}, {LATEST} SELECT session_id FROM latest WHERE is_manual = 0 AND is_deleted = 0 AND is_canceled = 0 AND (turnover > 0 OR num_games_with_wager > 0)")

@@ -91,7 +91,7 @@ def p9_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BETS} SELECT bet_id FROM bets WHERE us >= {END - 12 * DAY} AND us < {END - 4 * DAY}")
 def p11_time_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.time_window(bets(spark, sf_dir), "us", END - 12 * DAY, END - 4 * DAY).select("bet_id")
+    return rules.time_window(bets(spark, sf_dir, END - 12 * DAY, END - 4 * DAY + 1), "us", END - 12 * DAY, END - 4 * DAY).select("bet_id")
 
 
 @query(f"WITH {SCORED} SELECT count(*) AS rows, count(*) FILTER (bet_id % 9 IN (0, 1)) AS bad FROM scored")
