@@ -121,11 +121,12 @@ def table_head_count(bets: DataFrame, start: int = 31 * MINUTE, end: int = MINUT
     stays = pool.withColumn("_new", apart).withColumn("_stay", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     stays = stays.groupBy("table_id", "player_id", "_stay").agg((F.min("us") + end).alias("_from"), (F.max("us") + start + 1).alias("_to"))
     first = F.floor(F.col("_from") / width)
-    parts = stays.select("table_id", "_from", "_to", F.explode(F.sequence(first, F.floor((F.col("_to") - 1) / width))).alias("_bucket"))
     none = F.lit(None).cast(rows.select(F.struct(*rows.columns).alias("r")).schema["r"].dataType)
-    step = lambda at, n: F.struct(at.alias("us"), F.lit(n).alias("step"))
-    ends = F.when(F.col("_to") < (F.col("_bucket") + 1) * width, step(F.col("_to"), -1))
-    steps = parts.select("table_id", "_bucket", F.explode(F.array_compact(F.array(step(F.greatest("_from", F.col("_bucket") * width), 1), ends))).alias("s"))
+    step = lambda b, at, n: F.struct(b.alias("bucket"), at.alias("us"), F.lit(n).alias("step"))
+    begun = F.transform(F.sequence(first, F.floor((F.col("_to") - 1) / width)), lambda b: step(b, F.greatest(F.col("_from"), b * width), 1))
+    last = F.floor(F.col("_to") / width)  # a stay that ends with its bucket needs no end
+    ended = F.when(last * width < F.col("_to"), F.array(step(last, F.col("_to"), -1))).otherwise(F.array().cast("array<struct<bucket:bigint,us:bigint,step:int>>"))
+    steps = stays.select("table_id", F.explode(F.concat(begun, ended)).alias("s")).select("table_id", F.col("s.bucket").alias("_bucket"), "s")
     events = steps.select(F.col("table_id").alias("_table"), "_bucket", F.col("s.us").alias("_us"), F.col("s.step").alias("_step"), F.lit(0).alias("_kind"), none.alias("_row"))
     seen = rows.select(F.col("table_id").alias("_table"), F.floor(F.col("us") / width).alias("_bucket"), F.col("us").alias("_us"), F.lit(0).alias("_step"), F.lit(1).alias("_kind"), F.struct(*rows.columns).alias("_row"))
     run = Window.partitionBy("_table", "_bucket").orderBy("_us", "_kind").rowsBetween(Window.unboundedPreceding, 0)

@@ -141,7 +141,7 @@ def w6_run_boundary_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BETS} SELECT bet_id, count(DISTINCT player_id) OVER (PARTITION BY table_id ORDER BY us RANGE BETWEEN {300 * MINUTE} PRECEDING AND {60 * MINUTE} PRECEDING) AS head_count FROM bets")
 def w7_table_head_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seq.table_head_count(bets(spark, sf_dir), 300 * MINUTE, 60 * MINUTE).select("bet_id", "head_count")
+    return seq.table_head_count(bets(spark, sf_dir).select("bet_id", "table_id", "player_id", "us"), 300 * MINUTE, 60 * MINUTE).select("bet_id", "head_count")
 
 
 @query(f"WITH {BETS}, {RUNS} SELECT bet_id, CAST(run_seq AS BIGINT) AS run_seq FROM seq")
