@@ -1,7 +1,7 @@
 """Operator 11: quality rules and bands of n-gram perplexity.
 
-Base rules count words, symbols, repeated lines and repeated five-word windows. What passes them teaches a modified
-Kneser-Ney model of its language over characters: Spark counts every n-gram of the highest order in all documents, and
+Base rules count words, symbols, repeated lines and repeated five-word windows. What passes them, has few symbols and isn't
+mostly capitals teaches a modified Kneser-Ney model of its language over characters, so that prose is what it expects: Spark counts every n-gram of the highest order in all documents, and
 each lower order's counts, how many characters go before an n-gram, follow from the order above. Texts fall into two
 folds by their hash, and are scored by the other fold's model, so that no text, nor a copy of it, teaches its own score.
 
@@ -30,6 +30,8 @@ from stakeflow.llm.phrases import Words
 
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
+#: Texts teach that have at most one symbol to so many words, and one capital of A to Z to so many bytes.
+WORDS_A_SYMBOL, BYTES_A_CAPITAL = 10, 4
 #: Characters of an n-gram; what stands at a text's ends, which no normalised text holds; log2 of a value's unit.
 ORDER, EDGE, UNIT = 4, "\n", 16
 LEAST_DISCOUNT = 0.1
@@ -39,6 +41,7 @@ MODEL_ROWS, HELD, STEP = 4_000_000, 1_000_000, 1 << 19
 #: texts for which it reaches twice as far, as means of few words vary more.
 WIDTH, LEAST_RANGE, FEW_WORDS = 3, 100, 64
 SPREAD = np.uint64(0xD1342543DE82EF95)
+CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 ENDS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 GROUP = ["lang", "fold"]
@@ -50,8 +53,9 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("fold", pa.i
 
 
 def base_counts(texts: list[str]) -> dict[str, list]:
-    """The columns of BASE, and base_failed, of texts."""
-    words = Words(b"\xff".join([t.encode("utf-8", "replace") for t in texts]).translate(ENDS), 0xFF)
+    """The columns of BASE, base_failed, and whether a text teaches, of texts."""
+    coded = [t.encode("utf-8", "replace") for t in texts]
+    words = Words(b"\xff".join(coded).translate(ENDS), 0xFF)
     n_words = np.bincount(words.piece, minlength=len(texts)) if texts else np.zeros(0, int)
     repeated = np.zeros(len(texts), np.int64)
     if len(words.piece) >= WINDOW:
@@ -68,7 +72,10 @@ def base_counts(texts: list[str]) -> dict[str, list]:
         out["n_symbols"].append(sum(map(t.count, SYMBOLS)))
         lines = [x for x in t.split("\n") if x.strip(" \t\x0b\x0c\r")]
         out["n_dup_lines"].append(len(lines) - len(set(lines)))
+    capitals = [len(b) - len(b.translate(None, CAPITALS)) for b in coded]
     out["base_failed"] = [n < LEAST_WORDS or 100 * r > MOST_REPEATED * n for n, r in zip(out["n_words"], out["n_repeat_words"])]
+    prose = [WORDS_A_SYMBOL * s <= n and BYTES_A_CAPITAL * c <= len(b) for s, n, c, b in zip(out["n_symbols"], out["n_words"], capitals, coded)]
+    out["teaches"] = [p and not f for p, f in zip(prose, out["base_failed"])]
     return out
 
 
@@ -96,8 +103,8 @@ def group_salt(lang: str, fold: int) -> int:
 
 
 def grams(docs: DataFrame) -> DataFrame:
-    """lang, fold, gram, n: how often each n-gram of ORDER stands in the texts of ``docs`` (lang, fold, text) that pass the
-    base rules. A task adds up what it finds, HELD n-grams at most at a time."""
+    """lang, fold, gram, n: how often each n-gram of ORDER stands in the texts of ``docs`` (lang, fold, text) that
+    teach. A task adds up what it finds, HELD n-grams at most at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
@@ -112,9 +119,8 @@ def grams(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 2000, 4 << 20):
                 cols, of = part.to_pydict(), {}
-                failed = base_counts(cols["text"])["base_failed"]
-                for lang, fold, text, bad in zip(cols["lang"], cols["fold"], cols["text"], failed):
-                    if not bad:
+                for lang, fold, text, teaches in zip(cols["lang"], cols["fold"], cols["text"], base_counts(cols["text"])["teaches"]):
+                    if teaches:
                         of.setdefault((lang, fold), []).append(text)
                 for key, texts in of.items():
                     chars = Chars(texts)
