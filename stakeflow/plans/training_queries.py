@@ -234,12 +234,12 @@ def s24_baseline_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.baseline_slice(scored(spark, sf_dir), {"bet_id": "id", "score": "s", "label": "y"}, END - 20 * DAY, END - 2 * DAY, 500)
 
 
-@query("SELECT count(*) AS keys, count(DISTINCT CAST(ts AS DATE)) AS days FROM events")
+@query("SELECT CAST(ts AS DATE) AS gaming_day, count(*) AS keys FROM events GROUP BY 1")
 def s12_days_of_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = f"{shared_folder(spark)}/days-{uuid.uuid4().hex}"
     tables.write_partitions(bets(spark, sf_dir).select("bet_id", "us", "gaming_day"), at)
     days = tables.days_of_layout(spark, at)
-    return spark.read.parquet(at).join(F.broadcast(days), "gaming_day", "left_semi").agg(F.count("*").alias("keys"), F.count_distinct("gaming_day").alias("days"))
+    return days.join(spark.read.parquet(at).groupBy("gaming_day").agg(F.count("*").alias("keys")), "gaming_day")
 
 
 SHOWN_PROFILE = ["sessions_30d", "turnover_sum_30d"]
@@ -253,12 +253,15 @@ def j30_merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("turnover_sum_30d", F.round("turnover_sum_30d", 4))
 
 
-@query(f"WITH {PROFILE_SQL}, ids AS (SELECT DISTINCT canonical_id FROM mapping), n AS (SELECT canonical_id, max(snapshot_us) AS snapshot_us FROM prof WHERE snapshot_us <= {SNAPS[2]} GROUP BY 1) SELECT count(*) AS ids, count(*) FILTER (n.snapshot_us IS NULL) AS missing, (SELECT count(*) FROM prof WHERE snapshot_us > {SNAPS[2]} AND canonical_id IN (SELECT canonical_id FROM ids)) AS dropped_rows, CAST(sum(n.snapshot_us - {SNAPS[0]}) AS BIGINT) AS total FROM ids LEFT JOIN n USING (canonical_id)")
+@query(f"""WITH {PROFILE_SQL}, ids AS (SELECT DISTINCT canonical_id FROM mapping), n AS (SELECT * FROM prof WHERE snapshot_us <= {SNAPS[2]} QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY snapshot_us DESC) = 1)
+SELECT canonical_id, n.snapshot_us, sessions_30d, round(turnover_sum_30d, 4) AS turnover_sum_30d, (SELECT count(*) FROM ids) AS ids, (SELECT count(*) FROM ids WHERE canonical_id NOT IN (SELECT canonical_id FROM n)) AS missing,
+  (SELECT count(*) FROM prof WHERE snapshot_us > {SNAPS[2]} AND canonical_id IN (SELECT canonical_id FROM ids)) AS dropped_rows FROM ids LEFT JOIN n USING (canonical_id)""")
 def j32_profiles_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each id's newest profile at a time, and how many ids, ids without one, and later rows there are."""
     from stakeflow.sources.materialise import materialised
 
     rows, counts = profile.profiles_at(identity.canonical_mapping(sessions(spark, sf_dir), CUTOFF), materialised(_profiles(spark, sf_dir).select("snapshot_us", "canonical_id", *SHOWN_PROFILE)), SNAPS[2], SHOWN_PROFILE)
-    return counts.join(F.broadcast(rows.agg(F.sum(F.col("snapshot_us") - SNAPS[0]).alias("total"))))  # one row each
+    return rows.withColumn("turnover_sum_30d", F.round("turnover_sum_30d", 4)).join(F.broadcast(counts))  # one row of counts
 
 
 @query(f"""WITH {MAPPING}, h AS (SELECT coalesce({CARD}, CAST(player_id AS VARCHAR)) AS canonical_id, {CARD} IS NOT NULL AS rated FROM latest), c AS (SELECT canonical_id, count(*) AS n, bool_or(rated) AS rated FROM h GROUP BY 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,14 +123,68 @@ def retained(df: DataFrame, cutoff_us: int, exported_id: int | None = None) -> D
     return df.where(keep if exported_id is None else keep | (F.col("prediction_id") > exported_id))
 
 
-def export_libsvm(df: DataFrame, path: str, label: str, features: list[str]) -> None:
+def export_incremental(predictions: DataFrame, path: str, now_us: int, lag: int = 5 * MINUTE, most: int = 10_000) -> int:
+    """Writes the next rows by id to ``path/date=/hour=/after=`` and the id to go on from to ``path/_watermark``; returns it.
+
+    ``after`` is the id that a batch went on from, so that one that runs again, as its watermark wasn't written, replaces its
+    own folders."""
+    spark = predictions.sparkSession
+    last = exported_until(spark, path)
+    rows, upto = export_batch(predictions, last, now_us, lag, most)
+    if upto != last:
+        rows.withColumn("after", F.lit(last)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour", "after").parquet(path)
+        spark.createDataFrame([(upto,)], "prediction_id long").coalesce(1).write.mode("append").parquet(f"{path}/_watermark")
+    return upto
+
+
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exported_until(spark: SparkSession, path: str) -> int:
+    """The id that the last export ended with, 0 before the first."""
+    at, files = _path(spark, f"{path}/_watermark")
+    return (spark.read.schema("prediction_id long").parquet(f"{path}/_watermark").agg(F.max("prediction_id")).first()[0] or 0) if files.exists(at) else 0
+
+
+def drop_partitions(spark: SparkSession, path: str, cutoff: datetime, keep_from: datetime | None = None, day: str = "date", hour: str | None = "hour") -> list[str]:
+    """Deletes the day folders before the cutoff's day, and of that day the hours before its hour, if there are any; nothing from
+    ``keep_from`` on, such as what isn't exported yet. Returns the folders deleted."""
+    at, files = _path(spark, path)
+    limit = cutoff if keep_from is None else min(cutoff, keep_from)
+    dropped = []
+    folders = lambda p, name: sorted((s.getPath() for s in files.listStatus(p) if s.getPath().getName().startswith(f"{name}=")), key=lambda q: q.getName())
+    for d in folders(at, day):
+        value = d.getName().removeprefix(f"{day}=")
+        if value < limit.date().isoformat():
+            dropped.append(d)
+        elif value == limit.date().isoformat() and hour:
+            dropped += [h for h in folders(d, hour) if int(h.getName().removeprefix(f"{hour}=")) < limit.hour]
+    for p in dropped:
+        files.delete(p, True)
+    return [p.toString().split(f"{path.rstrip('/')}/")[-1] for p in dropped]
+
+
+def export_libsvm(df: DataFrame, path: str, label: str, features: list[str], weight: str | None = None, split: str | None = None, splits: tuple[str, ...] = ("train", "valid", "test")) -> None:
+    """LibSVM files; with ``weight``, ``path.weight`` has a line a row, part by part in the same order. With ``split``, a column,
+    each of ``splits`` is a folder ``path/name`` of its own; null features and weights are 0."""
     from pyspark.ml.feature import VectorAssembler
 
-    VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df.fillna(0, features)).select(F.col(label).cast("double").alias("label"), "features").write.mode("overwrite").format("libsvm").save(path)
+    rows = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df.fillna(0, [*features, *([weight] if weight else [])]))
+    rows = rows.select(F.col(label).cast("double").alias("label"), "features", *([F.col(weight).cast("double").alias("_weight")] if weight else []), *([F.col(split).alias("_split")] if split else []))
+    rows = materialised(rows) if weight or split else rows  # both files are of the same rows in the same order
+    for name in splits if split else [None]:
+        part, to = (rows, path) if name is None else (rows.where(F.col("_split") == name), f"{path}/{name}")
+        part.select("label", "features").write.mode("overwrite").format("libsvm").save(to)
+        if weight:
+            part.select(F.col("_weight").cast("string")).write.mode("overwrite").text(f"{to}.weight")
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+def export_csv(df: DataFrame, path: str, split: str | None = None) -> None:
+    """CSV with a header and all columns, weights among them; with ``split``, a folder ``split=name`` for each of its values."""
+    w = df.write.mode("overwrite")
+    (w.partitionBy(split) if split else w).csv(path, header=True)
 
 
 def baseline_slice(df: DataFrame, columns: dict[str, str], lo_us: int, hi_us: int, most: int, label: str = "label") -> DataFrame:
@@ -146,9 +202,9 @@ def recent(df: DataFrame, since_us: int, limit: int | None = None) -> DataFrame:
     return rows.orderBy("us", "bet_id") if limit is None else rows.orderBy(F.desc("us"), F.desc("bet_id")).limit(limit).orderBy("us", "bet_id")
 
 
-def to_local_naive(ts: Column, zone: str = "Asia/Hong_Kong") -> Column:
-    """The wall time of an instant in a zone."""
-    return F.from_utc_timestamp(ts, zone)
+def to_local_naive(ts: Column, zone: str = "Asia/Hong_Kong", naive: bool = False) -> Column:
+    """The wall time of an instant in a zone, without one; ``naive`` input is wall time already, and only loses its zone."""
+    return ts.cast("timestamp_ntz") if naive else F.from_utc_timestamp(ts, zone)
 
 
 def days_of_layout(spark: SparkSession, path: str, day: str = "gaming_day") -> DataFrame:

@@ -48,15 +48,6 @@ def kpi_stream(predictions: DataFrame, size: str = "60 minutes", slide: str = "1
     return predictions.withWatermark(ts, delay).groupBy(w).agg(F.count("*").alias("rows"), F.avg("score").alias("mean_score"), F.count_if("is_alert").alias("alerts")).select(F.col("window.start").alias("start"), "rows", "mean_score", "alerts")
 
 
-def verdict_stream(alerts: DataFrame, bets: DataFrame, look: str = "45 minutes", delay: str = "15 minutes") -> DataFrame:
-    """Alerts (alert_id, player_id, alert_ts) with each bet within ``look`` after them; alerts without one come out once
-    the watermark has passed."""
-    a = alerts.withWatermark("alert_ts", delay)
-    b = bets.select(F.col("player_id").alias("bet_player"), F.col("ts").alias("bet_ts")).withWatermark("bet_ts", delay)
-    on = F.expr(f"player_id = bet_player AND bet_ts > alert_ts AND bet_ts <= alert_ts + INTERVAL {look}")
-    return a.join(b, on, "leftOuter").drop("bet_player")
-
-
 def score_batches(bets: DataFrame, score: Callable[[DataFrame], DataFrame], history: Callable[[], DataFrame], mapping: Callable[[], DataFrame], threshold: Callable[[], float], floor_us: Callable[[], int], out: str, checkpoint: str, lookback: int = 8 * HOUR) -> StreamingQuery:
     """Scores each micro-batch with the history of the players it touches, ``lookback`` before its first bet, and appends
     alerts not sent before.
@@ -109,13 +100,6 @@ def corrections(before: DataFrame, after: DataFrame, key: str, columns: list[str
     return j.withColumn("reason", F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed"))
 
 
-def drain(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that a stream gives over the files that are there, as a table in the driver's memory: for tests only."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return df.sparkSession.table(name)
-
-
 def stored(df: DataFrame, mode: str = "append") -> DataFrame:
     """All that a stream gives over the files that are there, as Parquet in the shared folder, with its checkpoint beside
     it: no row goes through the driver. A complete result takes the place of the batch's before it."""
