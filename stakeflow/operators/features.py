@@ -178,6 +178,14 @@ def personal_baselines(df: DataFrame) -> DataFrame:
     return df.withColumns({"run_duration_vs_personal_avg": per("minutes_since_run_start", "avg_run_minutes"), "bets_in_run_vs_personal_avg": per("bets_in_run", "avg_bets_in_run"), "pace_vs_personal_baseline": per("bets_per_minute", "avg_bets_per_minute")})
 
 
+def run_history(runs: DataFrame) -> DataFrame:
+    """Adds avg_run_minutes, avg_bets_in_run and avg_bets_per_minute of the player's runs (player_id, run_seq, run_start_us,
+    run_end_us, bet_count) before each; null for the first. Runs of no length have no pace."""
+    before = Window.partitionBy("player_id").orderBy("run_seq").rowsBetween(Window.unboundedPreceding, -1)
+    minutes = (F.col("run_end_us") - F.col("run_start_us")) / MINUTE
+    return runs.withColumns({"avg_run_minutes": F.avg(minutes).over(before), "avg_bets_in_run": F.avg("bet_count").over(before), "avg_bets_per_minute": F.avg(F.when(minutes > 0, F.col("bet_count") / minutes)).over(before)})
+
+
 def game_timeline(games: DataFrame, unit: float = MINUTE) -> DataFrame:
     """For each resolved round what was known at its table before it: the streak of equal outcomes up to the round before
     (void or blank ones reset it to 0), shares of outcomes in the 20 before, players of the one before, its turnover of

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stakeflow.functions.ids import clean_card_id
-from stakeflow.operators import audit, cleaning, features, identity, live, profile, ranking, rules, serving, splits
+from stakeflow.operators import audit, cleaning, facts, features, identity, live, profile, ranking, rules, serving, splits
 from stakeflow.operators import sequence as seq
 from stakeflow.plans.adapters import BETS, DAY, MINUTE, SCORED, SESSIONS, bets, micros, read, scored, sessions
 from stakeflow.plans.audit_queries import rounded
 from stakeflow.plans.feature_queries import PROFILE_SQL, SNAPS, _profiles
 from stakeflow.plans.ranking_queries import curve_sql
-from stakeflow.plans.sequence_queries import CARD, CUTOFF, END, GAP, HORIZON, LATEST, MAPPING, ORACLES as SEQUENCES
+from stakeflow.plans.sequence_queries import CARD, CUTOFF, END, FACT, GAP, HORIZON, LATEST, MAPPING, ORACLES as SEQUENCES
 from stakeflow.sources import tables
 from stakeflow.sources.materialise import shared_folder
 from stakeflow.streaming import queries as streams
@@ -300,10 +300,18 @@ def a14_digest_until(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.digest_until(bets(spark, sf_dir).select("bet_id", "us"), END - 9 * DAY, "us").drop("squares")
 
 
-@query(f"WITH {BETS} SELECT bet_id, CASE WHEN wager > 0 THEN 2 * wager / wager ELSE 0.0 END AS run_duration_vs_personal_avg, 0.0::DOUBLE AS bets_in_run_vs_personal_avg, CASE WHEN position_idx > 0 THEN wager / position_idx ELSE 0.0 END AS pace_vs_personal_baseline FROM bets")
+@query(f"""WITH {BETS}, {FACT}, m AS (SELECT *, (run_end_us - run_start_us) / 60000000 AS minutes FROM runs),
+h AS (SELECT player_id, run_seq, run_start_us, avg(minutes) OVER p AS am, avg(bet_count) OVER p AS ab, avg(CASE WHEN minutes > 0 THEN bet_count / minutes END) OVER p AS ap FROM m WINDOW p AS (PARTITION BY player_id ORDER BY run_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+b AS (SELECT bet_id, (us - run_start_us) / 60000000 AS minutes, row_number() OVER (PARTITION BY seq.player_id, seq.run_seq ORDER BY us, bet_id) AS n, am, ab, ap FROM seq JOIN h ON seq.player_id = h.player_id AND seq.run_seq = h.run_seq)
+SELECT bet_id, round(CASE WHEN am > 0 THEN minutes / am ELSE 0.0 END, 6) + 0 AS run_duration_vs_personal_avg, round(CASE WHEN ab > 0 THEN n / ab ELSE 0.0 END, 6) + 0 AS bets_in_run_vs_personal_avg, round(CASE WHEN ap > 0 AND minutes > 0 THEN n / minutes / ap ELSE 0.0 END, 6) + 0 AS pace_vs_personal_baseline FROM b""")
 def w9_personal_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = bets(spark, sf_dir).select("bet_id", (F.col("wager") * 2).alias("minutes_since_run_start"), F.col("wager").alias("avg_run_minutes"), F.lit(3.0).alias("bets_in_run"), F.lit(0.0).alias("avg_bets_in_run"), F.col("wager").alias("bets_per_minute"), F.col("position_idx").cast("double").alias("avg_bets_per_minute"))
-    return features.personal_baselines(b).select("bet_id", "run_duration_vs_personal_avg", "bets_in_run_vs_personal_avg", "pace_vs_personal_baseline")
+    """Each bet's run so far by the averages of its player's earlier runs."""
+    b = bets(spark, sf_dir).select("bet_id", "player_id", "us", "wager", "casino_win", "gaming_day")
+    history = features.run_history(facts.run_fact(b, GAP)).select("player_id", (F.col("run_seq") - 1).alias("run_id"), "avg_run_minutes", "avg_bets_in_run", "avg_bets_per_minute")
+    here = seq.run_boundary(b, gap=GAP).join(history, ["player_id", "run_id"])
+    pace = F.when(F.col("minutes_since_run_start") > 0, F.col("bets_in_run") / F.col("minutes_since_run_start")).otherwise(0.0)
+    got = features.personal_baselines(here.withColumn("bets_per_minute", pace))
+    return got.select("bet_id", *[(F.round(c, 6) + 0).alias(c) for c in ("run_duration_vs_personal_avg", "bets_in_run_vs_personal_avg", "pace_vs_personal_baseline")])
 
 
 @query("SELECT arg_max(event_type, ts) FILTER (event_type <> 'view') AS model_version FROM events")
