@@ -57,6 +57,11 @@ def floor_occupancy(seats: DataFrame) -> DataFrame:
     return one.groupBy("table_id").agg(F.count("*").alias("active_seats"), F.sum("bet").alias("sum_bet"), F.avg("bet").alias("avg_bet"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("seat").cast("string"), F.struct("session_id", "bet").alias("v"))))).alias("seats"))
 
 
+def floor_totals(occupancy: DataFrame) -> DataFrame:
+    """One row over the tables of ``floor_occupancy``: tables, seats, and the sum and average of the seats' bets."""
+    return occupancy.agg(F.count("*").alias("tables"), F.coalesce(F.sum("active_seats"), F.lit(0)).alias("seats"), F.sum("sum_bet").alias("sum_bet"), (F.sum("sum_bet") / F.nullif(F.sum("active_seats"), F.lit(0))).alias("avg_bet"))
+
+
 def new_alerts(scored: DataFrame, sent: DataFrame, threshold: float, floor_us: int) -> DataFrame:
     """Rated rows at or above the threshold, not before the floor, and not yet sent; with margin and reason of score."""
     df = scored.withColumn("margin", F.col("score") - threshold).where((F.col("margin") >= 0) & F.col("is_rated") & (F.col("us") >= floor_us))

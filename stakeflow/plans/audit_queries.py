@@ -221,6 +221,26 @@ def a32_floor_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(serving.floor_occupancy(b).drop("seats"))
 
 
+SEATS = f"{BETS}, k AS (SELECT table_id, bet_id % 5 AS seat, session_id, us, bet_id, wager FROM bets QUALIFY row_number() OVER (PARTITION BY table_id, bet_id % 5 ORDER BY us DESC, session_id DESC) = 1)"
+
+
+def _floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bets(spark, sf_dir).select("table_id", (F.col("bet_id") % 5).alias("seat"), "session_id", "us", F.when(F.col("bet_id") % 2 == 0, F.col("wager")).alias("avg_bet"), F.col("wager").alias("last_bet"))
+    return serving.floor_occupancy(b)
+
+
+@query(f"WITH {SEATS} SELECT table_id, CAST(seat AS VARCHAR) AS seat, session_id, round(wager, 6) AS bet FROM k")
+def a32_floor_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested seats of each table, a row each."""
+    seats = _floor(spark, sf_dir).select("table_id", F.explode("seats").alias("seat", "v"))
+    return seats.select("table_id", "seat", "v.session_id", F.round("v.bet", 6).alias("bet"))
+
+
+@query(f"WITH {SEATS} SELECT count(DISTINCT table_id) AS tables, count(*) AS seats, round(sum(wager), 6) AS sum_bet, round(avg(wager), 6) AS avg_bet FROM k")
+def a32_floor_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(serving.floor_totals(_floor(spark, sf_dir)))
+
+
 @query(f"WITH {BETS} SELECT count(*) FILTER (player_id % 4 <> 0) AS rated, count(*) FILTER (player_id % 4 = 0) AS unrated, count(DISTINCT player_id) FILTER (player_id % 4 = 0) AS unrated_players FROM bets")
 def a43_unrated_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.unrated_volume(bets(spark, sf_dir).withColumn("is_rated", F.col("player_id") % 4 != 0))

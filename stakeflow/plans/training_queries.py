@@ -11,7 +11,7 @@ from stakeflow.functions.ids import clean_card_id
 from stakeflow.operators import audit, cleaning, facts, features, identity, live, profile, ranking, rules, serving, splits
 from stakeflow.operators import sequence as seq
 from stakeflow.plans.adapters import BETS, DAY, MINUTE, SCORED, SESSIONS, bets, micros, read, scored, sessions
-from stakeflow.plans.audit_queries import rounded
+from stakeflow.plans.audit_queries import ORACLES as AUDITS, rounded
 from stakeflow.plans.feature_queries import PROFILE_SQL, SNAPS, _profiles
 from stakeflow.plans.ranking_queries import curve_sql
 from stakeflow.plans.sequence_queries import CARD, CUTOFF, END, FACT, GAP, HORIZON, LATEST, MAPPING, ORACLES as SEQUENCES
@@ -320,12 +320,24 @@ def w20_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_version(e.select(F.when(F.col("event_type") == "view", " ").otherwise(F.col("event_type")).alias("model_version"), micros("ts").alias("us")))
 
 
-@query(f"""WITH {BETS}, late AS (SELECT DISTINCT session_id FROM bets WHERE bet_id % 4 = 0) SELECT CAST(count(DISTINCT session_id) AS BIGINT) AS sessions, count(*) AS bets, round(sum(wager), 4) AS wager FROM bets WHERE session_id IN (SELECT session_id FROM late)""")
+LATE_BETS = f"""late AS ({AUDITS['a42_late_cards']}), own AS (SELECT l_orderkey AS session_id, count(*) AS bets, sum(l_quantity) AS wager FROM lineitem WHERE l_orderkey IN (SELECT session_id FROM late) GROUP BY 1),
+every AS (SELECT late.*, coalesce(bets, 0) AS bets, coalesce(wager, 0.0) AS wager FROM late LEFT JOIN own USING (session_id))"""
+
+
+def _late_card_bets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Of the sessions that got their card late; a line of an order is a bet of its session."""
+    b = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("session_id"), F.col("l_quantity").alias("wager"))
+    return audit.late_card_bets(b, audit.late_cards(sessions(spark, sf_dir)))
+
+
+@query(f"WITH {LATE_BETS} SELECT count(*) AS sessions, CAST(sum(bets) AS BIGINT) AS bets, round(sum(wager), 4) AS wager FROM every")
 def a42_late_card_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = bets(spark, sf_dir)
-    late = b.where("bet_id % 4 = 0").groupBy("session_id").agg(F.count("*").alias("versions"))
-    whole, _ = audit.late_card_bets(b, late)
-    return whole.withColumn("wager", F.round("wager", 4))
+    return _late_card_bets(spark, sf_dir)[0].withColumn("wager", F.round("wager", 4))
+
+
+@query(f"WITH {LATE_BETS} SELECT session_id, versions, card, CAST(bets AS BIGINT) AS bets, round(wager, 4) AS wager FROM every ORDER BY versions DESC, bets DESC, session_id LIMIT 20")
+def a42_late_card_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_card_bets(spark, sf_dir)[1].withColumn("wager", F.round("wager", 4))
 
 
 @query("SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-20'")
