@@ -467,5 +467,5 @@ def test_chat_of_clashing_columns(spark):
 def test_sql_oracles_are_registered():
     from stakeflow.llm import registry
 
-    assert set(registry.ORACLES) <= set(registry.QUERIES) and len(registry.QUERIES) == 10
+    assert set(registry.ORACLES) <= set(registry.QUERIES) and len(registry.QUERIES) == 13
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
