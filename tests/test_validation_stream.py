@@ -87,3 +87,12 @@ def test_precision_of_windows_is_that_of_the_batch(spark):
     last = max(got)  # a window of the stream is the batch's trailing one at its end
     one = live.serving.rolling_precision(results, last + 60 * MINUTE - 1, {"h": 60 * MINUTE}).first()
     assert (one.total, one.matches) == got[last]
+
+
+def test_of_verdicts_told_at_one_time_the_later_stage_counts(spark):
+    """A restart tells rows at the watermark of the run before: which row is read first mustn't matter."""
+    rows = [("a", 1, 0, "PENDING", 5), ("a", 1, 0, "MISS", 5), ("a", 2, 0, "MISS", 5), ("a", 2, 0, "MATCH", 5), ("a", 3, 0, "PENDING", 5), ("a", 3, 0, "MATCH", 5), ("a", 4, 0, "PENDING", 4), ("a", 4, 0, "MISS", 5)]
+    for told in (rows, rows[::-1]):
+        log = spark.createDataFrame(told, validation.LOG).coalesce(1)
+        assert {r.alert_id: r.verdict for r in validation.current_verdicts(log).collect()} == {1: "MISS", 2: "MATCH", 3: "MATCH", 4: "MISS"}
+        assert {r.alert_id: (r["first"], r["last"]) for r in validation.reopened(log).collect()} == {1: ("PENDING", "MISS"), 2: ("MISS", "MATCH"), 3: ("PENDING", "MATCH"), 4: ("PENDING", "MISS")}
