@@ -7,8 +7,7 @@ over the versions in the order in which they became visible, and reads each bet'
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,63 +59,162 @@ def context_as_seen(bets: DataFrame, games: DataFrame, reach: int = 2 * DAY, uni
     schema = "bet_id long, game_id long, " + ", ".join(f"{c} {'long' if c == CONTEXT[0] else 'int' if c in CONTEXT[4:6] else 'double'}" for c in CONTEXT)
 
     def swept(b: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        out, rounds, at = [], Rounds(), 0
-        v = v.sort_values("etl_us", kind="stable")
-        rows = list(v.itertuples(index=False))
-        for bet in b.sort_values("seen_us", kind="stable").itertuples(index=False):
-            if pd.isna(bet.us) or pd.isna(bet.seen_us) or pd.isna(bet.table_id):
-                out.append((bet.bet_id, None, 0, 0.0, 0.0, 0.0, 0, 0, 0.0, 0.0))
-                continue
-            while at < len(rows) and rows[at].etl_us <= bet.seen_us:
-                rounds.see(rows[at], bet.table_id)
-                at += 1
-            out.append((bet.bet_id, *rounds.context(int(bet.us), reach, unit)))
-        return pd.DataFrame(out, columns=["bet_id", "game_id", *CONTEXT]).astype({"game_id": "Int64"})
+        b = b.sort_values("seen_us", kind="stable").reset_index(drop=True)
+        out: list[tuple] = [(None, 0, 0.0, 0.0, 0.0, 0, 0, 0.0, 0.0)] * len(b)
+        sees = b.index[b["us"].notna() & b["seen_us"].notna() & b["table_id"].notna()]
+        if len(sees) and len(v):
+            rounds = Rounds(v.sort_values("etl_us", kind="stable"), b["table_id"].iloc[0], unit)
+            us = b["us"].loc[sees].to_numpy(np.int64)
+            ends, begins = np.searchsorted(rounds.us, us), np.searchsorted(rounds.us, us - reach)
+            for i, seen, begin, end in zip(sees.tolist(), b["seen_us"].loc[sees].to_numpy(np.int64).tolist(), begins.tolist(), ends.tolist()):
+                rounds.see_until(seen)
+                out[i] = rounds.context(begin, end)
+        found = pd.DataFrame(out, columns=["game_id", *CONTEXT]).astype({"game_id": "Int64"})
+        found.insert(0, "bet_id", b["bet_id"])
+        return found
 
     return left.groupBy("table_id", "span").cogroup(versions.groupBy("table_id", "span")).applyInPandas(swept, schema)
 
 
-class Rounds:
-    """The resolved rounds of a table by their newest versions seen, in order of time."""
+class Places:
+    """A set of places below ``n``, in words whose use is a word of its own; -1 is before all."""
+
+    BITS = 9
+
+    def __init__(self, n: int):
+        self.words, self.used = [0] * ((n >> self.BITS) + 1), 0
+
+    def put(self, i: int, inside: bool) -> None:
+        k, bit = i >> self.BITS, 1 << (i & ((1 << self.BITS) - 1))
+        word = self.words[k] | bit if inside else self.words[k] & ~bit
+        self.words[k] = word
+        self.used = self.used | 1 << k if word else self.used & ~(1 << k)
+
+    def before(self, i: int) -> int:
+        """The last one before ``i``."""
+        k = i >> self.BITS
+        word = self.words[k] & ((1 << (i & ((1 << self.BITS) - 1))) - 1)
+        if not word:
+            used = self.used & ((1 << k) - 1)
+            if not used:
+                return -1
+            k = used.bit_length() - 1
+            word = self.words[k]
+        return (k << self.BITS) + word.bit_length() - 1
+
+
+class Sums:
+    """Numbers by place, and sums of ranges over their own numbers: a tree of sums of two."""
+
+    def __init__(self, n: int, zero: float):
+        self.n, self.zero, self.tree = n, zero, [zero] * (2 * n)
+
+    def put(self, i: int, value: float) -> None:
+        tree, i = self.tree, i + self.n
+        tree[i] = value
+        while i > 1:
+            i >>= 1
+            tree[i] = tree[2 * i] + tree[2 * i + 1]
+
+    def of(self, begin: int, end: int) -> float:
+        tree, out, i, j = self.tree, self.zero, begin + self.n, end + self.n
+        while i < j:
+            if i & 1:
+                out += tree[i]
+                i += 1
+            if j & 1:
+                j -= 1
+                out += tree[j]
+            i >>= 1
+            j >>= 1
+        return out
 
-    def __init__(self):
+
+class Rounds:
+    """The resolved rounds of a table by their newest versions seen, in order of time.
+
+    The times and ids that rounds may have are known before, and are places; those that a seen version has are linked in
+    order. Where runs of outcomes begin, and sums, are kept as versions come, so that a version or a bet costs the
+    logarithm of the places, and not the rounds of its window."""
+
+    def __init__(self, versions: pd.DataFrame, table, unit: float):
+        """``versions`` in the order in which they are seen."""
+        v = versions
+        held = (v["game_status"] == "RESOLVED") & (v["at_table"] == table)
+        places = v.loc[held, ["us", "game_id"]].drop_duplicates().sort_values(["us", "game_id"]).reset_index(drop=True)
+        self.us, self.ids = places["us"].to_numpy(np.int64), places["game_id"].tolist()
+        n = len(places)
+        self.after15, self.after5 = (np.searchsorted(self.us, self.us - int(m * unit), "right").tolist() for m in (15, 5))
+        at = v[["us", "game_id"]].merge(places.assign(place=places.index), "left", ["us", "game_id"])["place"].fillna(-1).to_numpy(np.int64)
+        said = v["outcome"].map({x: k for k, x in enumerate(OUTCOMES)}).fillna(len(OUTCOMES)).to_numpy(np.int64) + v["outcome"].isna().to_numpy()
+        number = lambda c, none, kind: v[c].fillna(none).to_numpy(kind).tolist()
+        self.rows = list(zip(number("etl_us", 0, np.int64), number("ts_ms", -1, np.int64), pd.factorize(v["game_id"])[0].tolist(), np.where(held, at, -1).tolist(), said.tolist(), number("num_players", 0, np.int64), number("total_turnover", 0.0, float), number("casino_win", 0.0, float)))
+        self.at = 0
         self.newest: dict = {}
-        self.keys: list[tuple[int, int]] = []
-
-    def see(self, row, table) -> None:
-        rank = (-1 if pd.isna(row.ts_ms) else row.ts_ms, row.etl_us)
-        old = self.newest.get(row.game_id)
-        if old is not None and old[0] > rank:
-            return
-        if old is not None and old[1]:
-            del self.keys[bisect_left(self.keys, old[1])]
-        key = (int(row.us), int(row.game_id)) if row.game_status == "RESOLVED" and row.at_table == table else None
-        if key:
-            insort(self.keys, key)
-        self.newest[row.game_id] = (rank, key, row)
-
-    def context(self, us: int, reach: int, unit: float) -> tuple:
-        end, begin = bisect_left(self.keys, (us,)), bisect_left(self.keys, (us - reach,))
-        if begin >= end:
+        self.there, self.begins = Places(n), Places(n)
+        self.count, self.turnover, self.win = Sums(n, 0), Sums(n, 0.0), Sums(n, 0.0)
+        self.prev, self.next, self.said, self.players, self.first = [-1] * n, [-1] * n, [-1] * n, [0] * n, -1
+
+    def see_until(self, us: int) -> None:
+        """Sees the versions that are visible by then."""
+        while self.at < len(self.rows) and self.rows[self.at][0] <= us:
+            etl, ts, game, place, said, players, turnover, win = self.rows[self.at]
+            self.at += 1
+            rank, old = (ts, etl), self.newest.get(game)
+            if old is not None and old[0] > rank:
+                continue
+            if old is not None and old[1] >= 0:
+                self._take(old[1])
+            if place >= 0:
+                self._put(place, said, players, turnover, win)
+            self.newest[game] = (rank, place)
+
+    def _link(self, before: int, after: int) -> None:
+        if before >= 0:
+            self.next[before] = after
+        else:
+            self.first = after
+        if after >= 0:
+            self.prev[after] = before
+            self.begins.put(after, before < 0 or self.said[before] != self.said[after])
+
+    def _put(self, i: int, said: int, players: int, turnover: float, win: float) -> None:
+        before = self.there.before(i)
+        after = self.next[before] if before >= 0 else self.first
+        self.there.put(i, True)
+        self.said[i], self.players[i] = said, players
+        self.count.put(i, 1)
+        self.turnover.put(i, turnover)
+        self.win.put(i, win)
+        self._link(before, i)
+        self._link(i, after)
+
+    def _take(self, i: int) -> None:
+        self.there.put(i, False)
+        self.begins.put(i, False)
+        for sums in (self.count, self.turnover, self.win):
+            sums.put(i, sums.zero)
+        self._link(self.prev[i], self.next[i])
+
+    def context(self, begin: int, end: int) -> tuple:
+        """Of the rounds at places from ``begin`` to before ``end``."""
+        last = self.there.before(end)
+        if last < begin:
             return None, 0, 0.0, 0.0, 0.0, 0, 0, 0.0, 0.0
-        row = lambda j: self.newest[self.keys[j][1]][2]
-        last, key = end - 1, self.keys[end - 1]
-        streak, j = 0, last - 1
-        if j >= begin and row(j).outcome in OUTCOMES:
-            said = row(j).outcome
-            while j >= begin and row(j).outcome == said:
-                streak, j = streak + 1, j - 1
-        said = [x for x in (row(j).outcome for j in range(max(begin, last - 20), last)) if x is not None]
-        shares = [said.count(s) / len(said) if said else 0.0 for s in OUTCOMES]
-        players = 0 if last == begin or pd.isna(row(last - 1).num_players) else int(row(last - 1).num_players)
-        sums = {"5": 0.0, "15": 0.0, "win": 0.0}
-        j = last
-        while j > begin and self.keys[j][0] > key[0] - int(15 * unit):
-            before = row(j - 1)
-            turnover = 0.0 if pd.isna(before.total_turnover) else before.total_turnover
-            sums["15"] += turnover
-            sums["5"] += turnover if self.keys[j][0] > key[0] - int(5 * unit) else 0.0
-            sums["win"] += 0.0 if pd.isna(before.casino_win) else before.casino_win
-            j -= 1
-        part = sums["5"] / sums["15"] if sums["15"] else 0.0
-        return key[1], streak, *shares, players, int(players == 1), max(0.0, min(10.0, part)), max(-1e9, min(1e9, sums["win"]))
+        past, told, n = self.prev[last], [0] * (len(OUTCOMES) + 2), 0
+        i = past
+        while i >= begin and n < 20:
+            told[self.said[i]] += 1
+            n, i = n + 1, self.prev[i]
+        n -= told[-1]  # without an outcome
+        shares = [x / n if n else 0.0 for x in told[: len(OUTCOMES)]]
+        streak, players = 0, 0
+        if past >= begin:
+            players = self.players[past]
+            if self.said[past] < len(OUTCOMES):
+                streak = self.count.of(max(begin, self.begins.before(past + 1)), past + 1)
+        # what stands before each round of the last minutes
+        since15, since5 = (max(begin, self.there.before(x[last])) for x in (self.after15, self.after5))
+        turnover15, turnover5, win = self.turnover.of(since15, last), self.turnover.of(since5, last), self.win.of(since15, last)
+        part = turnover5 / turnover15 if turnover15 else 0.0
+        return self.ids[last], streak, *shares, players, int(players == 1), max(0.0, min(10.0, part)), max(-1e9, min(1e9, win))

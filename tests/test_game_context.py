@@ -1,6 +1,7 @@
 """Contexts of tables under rounds that come late and are told again."""
 
 import random
+import time
 
 from stakeflow.operators import game_context
 
@@ -79,3 +80,20 @@ def test_each_bet_sees_the_versions_of_its_moment(spark):
         for b in bets:
             want = plain(b, games, reach)
             assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(got[b[0]], want)), (b, got[b[0]], want)
+
+
+def test_a_dense_table_costs_no_pass_over_its_window_a_bet(spark):
+    """15,000 rounds of one outcome within 15 minutes, some told again, and a bet after each: rows, and time that passes over windows would take many times over."""
+    n = 15_000
+    games = [(i, 1, i * 1000, i * 1000, 0, "TIE", "RESOLVED", 2, 1.0, -1.0) for i in range(n)] + [(i, 1, i * 1000, i * 1000 + 5_000_000, 1, "TIE", "RESOLVED", 2, 3.0, 1.0) for i in range(0, n, 3)]
+    bets = [(i, 1, i * 1000 + 500, i * 1000 + 500) for i in range(n)]
+    b, g = spark.createDataFrame(bets, BETS).cache(), spark.createDataFrame(games, GAMES).cache()
+    b.count(), g.count()
+    began = time.perf_counter()
+    got = {r.bet_id: r for r in game_context.context_as_seen(b, g).collect()}
+    assert time.perf_counter() - began < 30
+    assert len(got) == n
+    for i in range(0, n, 997):
+        again = len([x for x in range(0, i, 3) if x * 1000 + 5_000_000 <= i * 1000 + 500])
+        r = got[i]
+        assert (r.game_id, r.current_outcome_streak_len, r.tie_rate_w20games, r.table_net_outcome_w15m) == (i, i, float(i > 0), 2.0 * again - i)
