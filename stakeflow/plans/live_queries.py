@@ -183,7 +183,7 @@ def t1_observed_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = F.coalesce("etl_us", "us")
     for stop in (END - 10 * DAY, END - 6 * DAY, END - 2 * DAY):
         (b.where(seen <= stop) if last is None else b.where((seen > last) & (seen <= stop))).write.mode("append").parquet(f"{at}/bets")
-        rows = observed_stream(spark, f"{at}/bets", now_us=stop).select("bet_id", "wager")
+        rows = observed_stream(spark, f"{at}/bets", now_us=stop, schema="bet_id long, wager double")
         rows.writeStream.format("parquet").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
         last = stop
     return spark.read.schema("bet_id long, wager double").parquet(f"{at}/rows")

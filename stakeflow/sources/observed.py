@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -27,6 +28,8 @@ from pyspark.sql.types import StructType
 MINUTE = 60_000_000
 #: How long bets and sessions stay invisible after they were observed.
 BET_DELAY, SESSION_DELAY = MINUTE, 7 * MINUTE
+#: Rows of a batch.
+ROWS = 1 << 15
 BEFORE_ALL = {"us": -(1 << 62), "id": -(1 << 62)}
 
 
@@ -52,9 +55,6 @@ class ObservedReader(DataSourceStreamReader):
         self.now = int(options["now"]) if "now" in options else None
         self.names = [f.name for f in schema.fields]
 
-    def _when(self) -> pc.Expression:
-        return pc.coalesce(*[pc.field(c) for c in self.observed])
-
     def _within(self, lo: int, hi: int) -> pc.Expression:
         """Rows observed from lo to hi, in terms that statistics of row groups can tell."""
         out = None
@@ -66,15 +66,36 @@ class ObservedReader(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return dict(BEFORE_ALL)
 
+    def _batches(self, names: list[str], lo: int, hi: int) -> Iterator[pa.RecordBatch]:
+        """``names`` of row groups that may have rows observed from lo to hi, a few pages of a row group at a time, so that
+        memory doesn't follow files or row groups."""
+        data = _dataset(self.path)
+        types = [data.schema.field(n).type for n in names]
+        for fragment in data.get_fragments():
+            groups = [g.id for part in fragment.split_by_row_group(self._within(lo, hi), schema=data.schema) for g in part.row_groups]
+            if not groups:
+                continue
+            with fragment.filesystem.open_input_file(fragment.path) as source:
+                file = pq.ParquetFile(source, buffer_size=1 << 20, pre_buffer=False)
+                there = [n for n in names if n in file.schema_arrow.names]
+                for batch in file.iter_batches(ROWS, groups, there, use_threads=False):
+                    columns = [batch[n].cast(t) if n in there else pa.nulls(batch.num_rows, t) for n, t in zip(names, types)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    def _at(self, batch: pa.RecordBatch) -> pa.Array:
+        return pc.coalesce(*[batch[c] for c in self.observed])
+
     def latestOffset(self) -> dict:
         """The last visible row by (observed time, id); the beginning where there is none."""
         now = self.now if self.now is not None else time.time_ns() // 1000
         best = None
-        scan = _dataset(self.path).scanner(columns={"us": self._when(), "id": pc.field(self.id)}, filter=self._within(BEFORE_ALL["us"], now - self.delay) & pc.field(self.id).is_valid())
-        for batch in scan.to_batches():
-            if batch.num_rows:
-                us = pc.max(batch["us"])
-                last = (us.as_py(), pc.max(batch["id"].filter(pc.equal(batch["us"], us))).as_py())
+        for batch in self._batches([*dict.fromkeys([*self.observed, self.id])], BEFORE_ALL["us"], now - self.delay):
+            at = self._at(batch)
+            seen = pc.and_(pc.less_equal(at, now - self.delay), pc.is_valid(batch[self.id]))
+            at, ids = at.filter(seen), batch[self.id].filter(seen)
+            if len(at):
+                us = pc.max(at)
+                last = (us.as_py(), pc.max(ids.filter(pc.equal(at, us))).as_py())
                 best = last if best is None else max(best, last)
         return dict(BEFORE_ALL) if best is None else {"us": best[0], "id": best[1]}
 
@@ -89,14 +110,18 @@ class ObservedReader(DataSourceStreamReader):
         return [Span(a, b) for a, b in zip(points, points[1:])]
 
     def _first(self, hi: int) -> int:
-        least = [pc.min(b["us"]).as_py() for b in _dataset(self.path).scanner(columns={"us": self._when()}, filter=self._within(BEFORE_ALL["us"], hi)).to_batches() if b.num_rows]
-        return min(least, default=hi)
+        least = [pc.min(at.filter(pc.less_equal(at, hi))).as_py() for at in map(self._at, self._batches(self.observed, BEFORE_ALL["us"], hi))]
+        return min((x for x in least if x is not None), default=hi)
 
     def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
         (a, i), (b, j) = ((x["us"], x["id"]) for x in (partition.after, partition.upto))
-        at, key = self._when(), pc.field(self.id)
-        inside = self._within(a, b) & key.is_valid() & ((at > a) | ((at == a) & (key > i))) & ((at < b) | ((at == b) & (key <= j)))
-        yield from (x for x in _dataset(self.path).scanner(columns=self.names, filter=inside).to_batches() if x.num_rows)
+        for batch in self._batches([*dict.fromkeys([*self.names, *self.observed, self.id])], a, b):
+            at, key = self._at(batch), batch[self.id]
+            after = pc.or_(pc.greater(at, a), pc.and_(pc.equal(at, a), pc.greater(key, i)))
+            upto = pc.or_(pc.less(at, b), pc.and_(pc.equal(at, b), pc.less_equal(key, j)))
+            found = batch.select(self.names).filter(pc.and_(pc.is_valid(key), pc.and_(after, upto)))
+            if found.num_rows:
+                yield found
 
 
 class Observed(DataSource):
@@ -115,7 +140,9 @@ class Observed(DataSource):
         return ObservedReader(dict(self.options), schema)
 
 
-def observed_stream(spark: SparkSession, path: str, observed: str = "etl_us,us", key: str = "bet_id", delay: int = BET_DELAY, now_us: int | None = None, partitions: int = 8) -> DataFrame:
+def observed_stream(spark: SparkSession, path: str, observed: str = "etl_us,us", key: str = "bet_id", delay: int = BET_DELAY, now_us: int | None = None, partitions: int = 8, schema: StructType | str | None = None) -> DataFrame:
+    """``schema`` names the columns to read, else all are; the cursor's need not be among them."""
     spark.dataSource.register(Observed)
     r = spark.readStream.format("observed").option("path", path).option("observed", observed).option("id", key).option("delay", delay).option("partitions", partitions)
+    r = r if schema is None else r.schema(schema)
     return (r if now_us is None else r.option("now", now_us)).load()

@@ -3,6 +3,9 @@
 import random
 import tempfile
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from stakeflow.sources import observed
@@ -60,3 +63,20 @@ def test_a_longer_delay_and_spans(spark):
     spans = reader.partitions(reader.initialOffset(), {"us": 99 * MINUTE, "id": 99})
     sizes = [sum(b.num_rows for b in reader.read(s)) for s in spans]
     assert len(spans) == 5 and sum(sizes) == 100 and min(sizes) > 10
+
+
+def test_memory_of_a_read_doesnt_follow_the_row_group():
+    """A row group of 40 MB of two columns, beside a wide one that isn't asked for: a few pages are held at a time, and nulls of a file without a column."""
+    n = 2_500_000
+    at = tempfile.mkdtemp(prefix="spark-observed-")
+    ids = pa.array(range(n))
+    pq.write_table(pa.table({"bet_id": ids, "us": pc.multiply(ids, 7), "wager": pc.cast(ids, pa.float64()), "wide": pc.cast(ids, pa.string())}), f"{at}/one.parquet", row_group_size=n)
+    pq.write_table(pa.table({"bet_id": [n, n + 1], "us": [7 * n, None]}), f"{at}/two.parquet")
+    del ids
+    reader = observed.ObservedReader({"path": at, "observed": "us", "partitions": "2"}, observed.from_arrow_schema(pa.schema({"bet_id": pa.int64(), "wager": pa.float64()})))
+    held, most, found, nulls = pa.total_allocated_bytes(), 0, 0, 0
+    for span in reader.partitions(reader.initialOffset(), reader.latestOffset()):
+        for batch in reader.read(span):
+            assert batch.schema.names == ["bet_id", "wager"]
+            most, found, nulls = max(most, pa.total_allocated_bytes() - held), found + batch.num_rows, nulls + batch["wager"].null_count
+    assert (found, nulls) == (n + 1, 1) and most < 16_000_000, (found, nulls, most)
