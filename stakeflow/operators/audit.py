@@ -303,15 +303,17 @@ def _leaf(tree: dict[int, tuple[int, int]], x: np.ndarray) -> np.ndarray:
 def tree_gains(df: DataFrame, columns: list[str], label: str = "label", bins: int = BINS, trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> DataFrame:
     """feature_name and gain: what each column's splits take off the loss of boosted trees for a 0/1 label, in all.
 
-    Columns are cut into equal-frequency bins once; nulls are 0. A level of a tree is one pass over the binned rows: each task
-    adds gradients and curvatures up by node, column and bin, all columns at a time, and Spark adds these tables, which
-    have nodes times columns times bins rows whatever the input. Sums are of integers, so that any partitioning gives
-    the same trees; equal gains go to the earlier column and the lower bin. Rows without a 0/1 label don't count.
+    Columns are cut into equal-frequency bins once; nulls are 0. Rows of equal bins and labels are one row with their count,
+    as they have equal gradients. A level of a tree is one pass over these: each task adds gradients and curvatures up by
+    node, column and bin, all columns at a time, and Spark adds these tables, which have nodes times columns times bins rows
+    whatever the input. Sums are of integers, so that any partitioning gives the same trees; equal gains go to the earlier
+    column and the lower bin. Rows without a 0/1 label don't count.
     """
     known = df.where(F.col(label).isin(0, 1))
     edges = _bin_edges(known, columns, bins)
-    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns])
-    rows = materialised(known.select(values.alias("x"), F.col(label).cast("double").alias("y")))
+    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    places = [reduce(Column.__add__, [(value(c) > e).cast("int") for e in found], F.lit(0)).alias(f"x{j}") for j, (c, found) in enumerate(zip(columns, edges))]
+    rows = materialised(known.select(*places, F.col(label).cast("int").alias("y")).groupBy(*[f"x{j}" for j in range(len(columns))], "y").agg(F.count("*").alias("rows")))
     grown: list[tuple[dict, dict]] = []
     gains = dict.fromkeys(columns, 0.0)
     width = max((len(e) for e in edges), default=0) + 1
@@ -321,18 +323,19 @@ def tree_gains(df: DataFrame, columns: list[str], label: str = "label", bins: in
             for part in parts:
                 if not len(part):
                     continue
-                v = np.stack(part["x"].to_numpy())
-                x = np.stack([np.searchsorted(e, v[:, j]) for j, e in enumerate(edges)], axis=1)
+                x, rows = part.iloc[:, : len(columns)].to_numpy(np.int64), part["rows"].to_numpy()
                 margin = np.zeros(len(x))
                 for t, leaves in grown:
                     margin += np.array([leaves.get(n, 0.0) for n in range(2 ** (depth + 1))])[_leaf(t, x)]
                 p = 1 / (1 + np.exp(-margin))
-                g, h = np.round((p - part["y"].to_numpy()) * PARTS), np.round(p * (1 - p) * PARTS)
+                g, h = (rows * np.round(c * PARTS).astype(np.int64) for c in (p - part["y"].to_numpy(), p * (1 - p)))
                 node = _leaf(tree, x)
                 for n in np.unique(node):
                     here = node == n
                     for j in range(x.shape[1]):
-                        a, b = (np.bincount(x[here, j], c[here], width).astype(np.int64) for c in (g, h))
+                        a, b = np.zeros(width, np.int64), np.zeros(width, np.int64)
+                        np.add.at(a, x[here, j], g[here])
+                        np.add.at(b, x[here, j], h[here])
                         yield pd.DataFrame({"node": n, "feature": j, "bin": np.arange(width), "g": a, "h": b})
 
         total = rows.mapInPandas(run, "node long, feature int, bin int, g long, h long").groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))

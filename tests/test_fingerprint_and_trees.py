@@ -94,3 +94,14 @@ def test_three_methods(spark):
     with pytest.raises(ValueError):
         audit.screened(df, columns, k=0)
     assert audit.screened(df, ["same"]).count() == 0
+
+
+def test_passes_of_trees_read_a_row_a_kind_of_row(spark, monkeypatch):
+    """50 copies of the rows are as many rows to read as one, with 50 times the gain but for what a side starts with."""
+    _, _, df = made(spark)
+    sizes, plain = [], audit.materialised
+    monkeypatch.setattr(audit, "materialised", lambda rows: sizes.append((out := plain(rows)).count()) or out)
+    many = df.crossJoin(spark.range(50))
+    got = [{r.feature_name: r.gain for r in audit.tree_gains(x, ["a", "b"], bins=8, trees=2, depth=2).collect()} for x in (df, many)]
+    assert sizes[0] == sizes[1] <= 2 * 8 * 8
+    assert all(45 * got[0][c] < got[1][c] < 60 * got[0][c] for c in "ab"), got
