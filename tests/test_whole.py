@@ -78,3 +78,24 @@ def test_game_timeline_stops_at_the_round_among_many_ties(spark):
     got = {r.game_id: r for r in features.game_timeline(df).collect()}
     assert [got[i].table_net_outcome_w15m for i in range(n + 2)] == [float(i) for i in range(n + 2)]
     assert got[n + 1].table_turnover_w5m_over_w15m == 2 / (n + 1)
+
+
+def test_game_timeline_sums_run_on_and_end_less_than_their_width_before_the_round(spark, capsys):
+    """Sums of 5 and 15 minutes over many rounds of one time, on both sides of spans and before 1970; no RANGE frame, whose rows are added up for each round."""
+    import random
+
+    from stakeflow.operators import features
+
+    r, minute = random.Random(5), 60_000_000
+    rows = [(i, i % 2, r.choice([r.randint(-40, 40) * minute, r.randint(-8, 8) * 5 * minute + r.choice([-1, 0, 1])]), r.choice(["TIE", "VOID"]), 1, None if r.random() < 0.1 else float(r.randint(0, 9)), float(r.randint(-9, 9))) for i in range(400)]
+    line = features.game_timeline(spark.createDataFrame(rows, "game_id long, table_id long, us long, outcome string, num_players int, total_turnover double, casino_win double"))
+    got = {x.game_id: x for x in line.collect()}
+    for table in (0, 1):
+        own = sorted((x for x in rows if x[1] == table), key=lambda x: (x[2], x[0]))
+        for k, x in enumerate(own):
+            within = lambda m: [own[j - 1] for j in range(1, k + 1) if own[j][2] > x[2] - m * minute]
+            five, fifteen = (sum(y[5] or 0.0 for y in within(m)) for m in (5, 15))
+            assert abs(got[x[0]].table_turnover_w5m_over_w15m - (five / fifteen if fifteen else 0.0)) < 1e-9
+            assert got[x[0]].table_net_outcome_w15m == sum(y[6] for y in within(15))
+    line.explain(True)
+    assert "RangeFrame" not in capsys.readouterr().out
