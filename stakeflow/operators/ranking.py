@@ -74,7 +74,7 @@ def pr_curve(scored: DataFrame, *by: str) -> DataFrame:
         run = run.withColumns({"alerts": F.col("_n") - F.col("_n0"), "tp": F.col("_p") - F.col("_p0")})
     else:
         run = prefix_sums(points, [F.desc("threshold")], {"alerts": F.col("n"), "tp": F.col("pos")})
-        run = run.join(F.broadcast(points.agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_all"))))
+        run = run.join(F.broadcast(run.agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_all"))))  # of what is written down, so that rows are scored once
     run = run.where("_pos > 0 and _pos < _all")
     return run.select(*by, "threshold", "alerts", "tp", (F.col("tp") / F.col("alerts")).alias("precision"), (F.col("tp") / F.col("_pos")).alias("recall"), (F.col("pos") / F.col("_pos")).alias("gain"))
 

@@ -165,7 +165,8 @@ def tie_key(df: DataFrame, key: str, order: str = "bet_id", name: str = "_tie_us
     most, lo, reach = (most, lo, hi - lo + 1) if most else (1, 0, 1)
     step, us = 2 * most, F.col("us")
     at = (us - lo) * step if (reach + 1) * step < 2**62 else (us.cast("decimal(20,0)") - F.lit(lo)) * F.lit(step).cast("decimal(17,0)")
-    tie = F.row_number().over(Window.partitionBy(key, "us").orderBy(order))
+    one = Window.partitionBy(key)  # the partitions and order of the frames, so that rows are dealt and sorted once
+    tie = F.row_number().over(one.orderBy("us", order)) - F.rank().over(one.orderBy("us")) + 1
 
     def up_to_row(width: int, *within: str) -> WindowSpec:
         back = min(width, reach) * step + most

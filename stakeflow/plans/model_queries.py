@@ -12,7 +12,7 @@ from stakeflow.operators import facts, features, models, ranking, splits
 from stakeflow.plans.adapters import BETS, DAY, MINUTE, SESSIONS, bets, micros, read, scored, sessions
 from stakeflow.plans.sequence_queries import CUTOFF, END, LATEST
 from stakeflow.sources import tables
-from stakeflow.sources.materialise import shared_folder
+from stakeflow.sources.materialise import shared_folder, written
 from stakeflow.streaming import queries as streams
 
 QUERIES: dict = {}
@@ -33,9 +33,12 @@ FEATURES = ["bets_cnt_w30m", "wager_avg_w15m", "wager_std_w15m", "prev_bet_gap_m
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bets with their features, label, weight and split. The windows are evaluated once, and what models read, which they
+    do many times, is written down; weights come by the same partitions."""
     df = features.add_features(bets(spark, sf_dir), features.BET_FEATURES, key="player_id", unit=60 * MINUTE)
-    df = df.withColumns({"label": (F.col("status") == "LOSE").cast("int"), "is_rated": F.col("player_id") % 4 != 0, "canonical_id": F.col("player_id").cast("string")})
-    return splits.time_ordered_split(df)
+    df = facts.sample_weights(df.withColumn("label", (F.col("status") == "LOSE").cast("int")), "player_id")
+    df = written(df.select("bet_id", "player_id", "us", "label", "weight", *FEATURES))
+    return splits.time_ordered_split(df.withColumns({"is_rated": F.col("player_id") % 4 != 0, "canonical_id": F.col("player_id").cast("string")}))
 
 
 @query()
@@ -56,7 +59,7 @@ def m19_sgd_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def m20_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the test rows, by trees in which each player weighs alike, with their average precision on the valid ones."""
-    df = facts.sample_weights(labelled(spark, sf_dir), "player_id")
+    df = labelled(spark, sf_dir)
     model = models.boosted_trees(df.where("split = 'train'"), FEATURES, weight="weight")
     valid = ranking.average_precision(ranking.pr_curve(models.scored(df.where("split = 'valid'"), model, FEATURES)))
     test = models.scored(df.where("split = 'test'"), model, FEATURES).select("bet_id", "score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,3 +27,10 @@ def materialised(df: DataFrame) -> DataFrame:
     """``df`` checkpointed to the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """As ``materialised``, as a Parquet table, of which what follows reads only the columns that it needs."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
