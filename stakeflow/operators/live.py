@@ -43,9 +43,19 @@ def bets_of_identities(bets: DataFrame, players: DataFrame, start_us: int, end_u
     return df.select("player_id", "bet_id", "us").join(players, "player_id").select("canonical_id", "bet_id", "us")
 
 
+#: Rows of ``bets_by_id`` that a task puts in order, about.
+TASK_ROWS = 500_000
+
+
 def bets_by_id(bets: DataFrame, ids: DataFrame) -> DataFrame:
-    """bet_id, us and the real player's id of the newest row of each bet in ``ids``; null for the placeholder."""
-    df = newest(only_ids(bets, ids, "bet_id"), "bet_id", F.desc_nulls_last("us"))
+    """bet_id, us and the real player's id of the newest row of each bet in ``ids``; null for the placeholder.
+
+    Rows are dealt into as many parts as their number asks for, whatever the session shuffles into, so that a task's memory
+    doesn't grow with the table; only what the order and the result need is dealt."""
+    tie = F.xxhash64("bet_id", *[c for c in bets.columns if c != "bet_id"])
+    parts = max(bets.sparkSession.sparkContext.defaultParallelism, -(-bets.count() // TASK_ROWS))
+    rows = bets.select("bet_id", "us", "player_id", tie.alias("_tie")).repartition(parts, "bet_id")
+    df = newest(only_ids(rows, ids.select("bet_id").repartition(parts, "bet_id"), "bet_id"), "bet_id", F.desc_nulls_last("us"), F.col("_tie"))
     return df.select("bet_id", "us", F.when(F.col("player_id") != PLACEHOLDER, F.col("player_id")).alias("player_id"))
 
 
