@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stakeflow.functions.ids import clean_card_id
 from stakeflow.operators.dedup import dedup_sessions, unflagged
 from stakeflow.operators.ranking import value_quantiles
+from stakeflow.sources.materialise import written
 
 MINUTE = 60_000_000
 DAY = 1440 * MINUTE
@@ -118,6 +119,9 @@ def profile_backfill(rows: DataFrame, snapshots: DataFrame, delay: int = 7 * MIN
     too old or the next one is known, so that its events count distinct values; what an id's first session in reach is
     follows from when the one before it leaves. The largest table's turnover is swept by table. Amounts are rounded to
     ten-thousandths, of which an id may have 9e18.
+
+    Sessions that are known after the last snapshot, or out of all windows and the reach before the first, change no sum
+    between the two, and go; the days' sums of the others are written down, as five kinds of events come from them.
     """
     times = sorted({r.snapshot_us for r in snapshots.select("snapshot_us").collect()})  # a row a snapshot
     parts = [_backfill_of(rows, [t for t in times if t % DAY == phase], phase, delay, max_lookback_days, reach_days) for phase in sorted({t % DAY for t in times})]
@@ -135,7 +139,10 @@ def _backfill_of(rows: DataFrame, times: list[int], phase: int, delay: int, most
     one = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
     sums = {"sessions": F.count("*"), "wins": one(cents("player_win") > 0), "timed": one(ended), "minutes": F.sum(F.when(ended, F.col("session_us") - F.col("start_us")).otherwise(0)), **{c: F.sum(cents(c)) for c in _AMOUNTS.values()}}
     keys = ["canonical_id", F.col("session_date").alias("date"), F.floor(t / DAY).alias("day"), F.floor((t + delay) / DAY).alias("late"), F.ceil((t + delay) / DAY).alias("known"), place("table_id").alias("table"), place("pit_id").alias("pit"), place("gaming_area").alias("area")]
-    daily = rows.groupBy(*keys).agg(*[c.alias(k) for k, c in sums.items()])
+    lo, hi = (min(times) - phase) // DAY, (max(times) - phase) // DAY
+    oldest = lo - max(reach_days, *[d for ds in WINDOWS.values() for d in ds])
+    seen_by_any = (F.ceil((t + delay) / DAY) <= hi) & (F.floor((t + delay) / DAY) >= oldest)
+    daily = written(rows.where(seen_by_any).groupBy(*keys).agg(*[c.alias(k) for k, c in sums.items()]))
 
     measures = {"sessions": WINDOWS["sessions"], "wins": WINDOWS["win_session_rate"], "timed": WINDOWS["avg_session_duration_min"], "minutes": WINDOWS["avg_session_duration_min"], **{c: WINDOWS[k] for k, c in _AMOUNTS.items()}}
     widths = sorted({d for ds in measures.values() for d in ds})
@@ -170,7 +177,7 @@ def _backfill_of(rows: DataFrame, times: list[int], phase: int, delay: int, most
     so_far = Window.partitionBy("canonical_id").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
     held = at.select("canonical_id", "s", F.lead("s").over(Window.partitionBy("canonical_id").orderBy("s")).alias("until"), *[F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(c) for c in added], *[F.max(c).over(so_far).alias(f"_{c}") for c in ("first", "last")], *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ("t30", "t90")])
     inside = F.filter(F.array(*[F.lit((x - phase) // DAY) for x in times]), lambda x: (x >= F.col("s")) & (F.col("until").isNull() | (x < F.col("until"))))
-    at = held.where((F.col("sessions_reach") > 0) & (F.col("games_reach") > CENTS)).withColumn("snap", F.explode(inside))
+    at = held.where((F.col("s") <= hi) & (F.col("until").isNull() | (F.col("until") > lo)) & (F.col("sessions_reach") > 0) & (F.col("games_reach") > CENTS)).withColumn("snap", F.explode(inside))
 
     cols = {}
     for name, ds in WINDOWS.items():
